@@ -5,9 +5,9 @@ from __future__ import annotations
 
 def all_queries() -> dict:
     """Query name to (Spark function, SQL or None)."""
-    from bindings import reports
+    from bindings import landing, reports, texts
 
     found: dict = {}
-    for module in (reports,):
+    for module in (reports, texts, landing):
         found.update(module.QUERIES)
     return found

@@ -50,12 +50,13 @@ def member_semi_join(
     keyed = df.withColumn("_key", match_fold(F.col(name)))
     names = keyed.select("_key").distinct()
     holders = (
-        names.select("_key", F.explode(_pieces("_key", _lengths(entries, "entry"))).alias("entry"))
+        _pieces(names, "_key", _lengths(entries, "entry"), "entry")
         .join(entries, "entry", "left_semi")
         .select("_key")
+        .distinct()
     )
     held = names.join(
-        entries.select(F.explode(_pieces("entry", _lengths(names, "_key"))).alias("_key")).distinct(),
+        _pieces(entries, "entry", _lengths(names, "_key"), "_key").select("_key").distinct(),
         "_key",
         "left_semi",
     )
@@ -69,14 +70,16 @@ def _lengths(df: DataFrame, column: str) -> Column:
     return sizes.agg(F.array_sort(F.collect_list("n"))).scalar()
 
 
-def _pieces(column: str, lengths: Column) -> Column:
-    """Distinct substrings of a column in the given lengths, the empty one included."""
+def _pieces(df: DataFrame, column: str, lengths: Column, name: str) -> DataFrame:
+    """Each value with its distinct substrings of the given lengths, the empty one included."""
+    sized = df.select(column, lengths.alias("_sizes"))
     text = F.col(column)
-    usable = F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text)))
+    usable = F.filter("_sizes", lambda n: (n > 0) & (n <= F.length(text)))
     cut = F.transform(
         usable,
         lambda n: F.transform(
             F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)
         ),
     )
-    return F.array_distinct(F.concat(F.flatten(cut), F.array(F.lit(""))))
+    pieces = F.array_distinct(F.concat(F.flatten(cut), F.array(F.lit(""))))
+    return sized.select(column, F.explode(pieces).alias(name))

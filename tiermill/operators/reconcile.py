@@ -22,19 +22,20 @@ def region_filter(df: DataFrame, region: str, contains: str) -> DataFrame:
     return df.filter(region_key(F.col(region)).contains(contains))
 
 
-def entity_sum(rows: DataFrame) -> DataFrame:
+def entity_sum(rows: DataFrame, per_file: Sequence[str] = ()) -> DataFrame:
     """Total and first category per file and raw name; rows without a name drop out.
+    ``per_file`` names further columns that are constant in a file and kept.
 
     The first aggregation also groups by category, so its buffers are plain numbers and
     a name with very many rows is combined before any shuffle. The second one sees a
     handful of rows per name.
     """
     named = rows.filter(F.col("raw_name").isNotNull())
-    partial = named.groupBy(*_FILE, "raw_name", "category").agg(
+    partial = named.groupBy(*_FILE, *per_file, "raw_name", "category").agg(
         F.sum(numeric_coerce(F.col("amount"))).alias("amount"),
         F.min("row_idx").alias("row_idx"),
     )
-    return partial.groupBy(*_FILE, "raw_name").agg(
+    return partial.groupBy(*_FILE, *per_file, "raw_name").agg(
         F.sum("amount").cast("bigint").alias("total"),
         F.min_by("category", "row_idx").alias("category"),
     )

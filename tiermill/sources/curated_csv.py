@@ -23,7 +23,14 @@ def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
     names = names or {}
     ordered = df.select(*COLUMNS).orderBy("period", "entity")
     renamed = ordered.select(*[F.col(c).alias(names.get(c, c)) for c in COLUMNS])
-    renamed.write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
+    renamed.write.mode("overwrite").csv(
+        path,
+        header=True,
+        quoteAll=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_csv(spark: SparkSession, path: str, names: Mapping[str, str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ joined once with that small layout.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,13 @@ def data_rows(grid: DataFrame, header_rows: DataFrame) -> DataFrame:
     return drop_empty_rows(below)
 
 
+def _holds_all(words: Sequence[str]):
+    def test(header: Column) -> Column:
+        return reduce(Column.__and__, [header.contains(w) for w in words], F.lit(True))
+
+    return test
+
+
 def find_column(headers: Column, patterns: Sequence[str]) -> Column:
     """Zero-based position of the column a pattern list points at, null if there is none.
 
@@ -80,15 +88,8 @@ def find_column(headers: Column, patterns: Sequence[str]) -> Column:
     plain = F.transform(headers, header_normalize)
     found = []
     for pattern in patterns:
-        words = pattern.lower().split()
-
-        def holds(header: Column, words=words) -> Column:
-            test = F.lit(True)
-            for word in words:
-                test = test & header.contains(word)
-            return test
-
-        position = F.array_position(F.transform(plain, holds), F.lit(True))
+        held = F.transform(plain, _holds_all(pattern.lower().split()))
+        position = F.array_position(held, F.lit(True))
         found.append(F.when(position > 0, (position - 1).cast("int")))
     return F.coalesce(*found)
 
@@ -137,11 +138,14 @@ def named_rows(
 ) -> DataFrame:
     """Data rows with one column per role; files lacking a required column are ignored.
 
-    ``layouts`` carries ``file, sheet, header_row`` and a position column per role.
+    ``layouts`` carries ``file, sheet, header_row`` and a position column per role. Each
+    optional role also gives ``has_<role>``: whether the file has that column at all.
     """
     usable = layouts.filter(F.expr(" and ".join(f"`{r}` is not null" for r in required)))
     places = usable.select("file", "sheet", "header_row", *[F.col(r).alias(f"_{r}") for r in roles])
     kept = [c for c in grid.columns if c not in ("sheet", "sheet_pos", "cells")]
     rows = grid.filter(F.col("row_idx") >= 0).join(places, ["file", "sheet"])
     rows = drop_empty_rows(rows.filter(F.col("row_idx") > F.col("header_row")))
-    return rows.select(*kept, *[F.get("cells", F.col(f"_{r}")).alias(r) for r in roles])
+    present = [F.col(f"_{r}").isNotNull().alias(f"has_{r}") for r in roles if r not in required]
+    values = [F.get("cells", F.col(f"_{r}")).alias(r) for r in roles]
+    return rows.select(*kept, *values, *present)
