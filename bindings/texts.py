@@ -81,18 +81,18 @@ _CURATED = {
 _CURATED_SQL = ", ".join(f"{v} AS {k}" for k, v in _CURATED.items())
 
 
-def _parsed(spark, sf):
+def parsed(spark, sf):
     raw = table(spark, sf, "events").selectExpr("event_id", *[f"{v} AS {k}" for k, v in _CURATED.items()])
     return curated_csv.typed_parse(raw)
 
 
 def _typed_parse_good(spark, sf):
-    good = curated_csv.good_rows(_parsed(spark, sf))
+    good = curated_csv.good_rows(parsed(spark, sf))
     return good.withColumn("ratio", F.col("ratio").cast("double"))
 
 
 def _typed_parse_rejects(spark, sf):
-    bad = curated_csv.rejected_rows(_parsed(spark, sf))
+    bad = curated_csv.rejected_rows(parsed(spark, sf))
     return bad.withColumn("errors", F.array_join("errors", "; "))
 
 
@@ -105,6 +105,11 @@ bad AS (SELECT *,
   CASE WHEN ratio <> '' AND NOT {_DEC.format('ratio')} THEN 'ratio: ''' || ratio || '''' END AS e3,
   CASE WHEN NOT {_INT.format('period')} THEN 'period: ''' || period || '''' END AS e4 FROM raw)"""
 
+GOOD_SQL = f"""WITH {_CHECKS_SQL} SELECT event_id, entity, CAST(period AS INTEGER) AS period,
+  CAST(nullif(measure_a, '') AS INTEGER) AS measure_a, CAST(nullif(measure_b, '') AS INTEGER) AS measure_b,
+  CAST(nullif(ratio, '') AS DOUBLE) AS ratio
+FROM bad WHERE e1 IS NULL AND e2 IS NULL AND e3 IS NULL AND e4 IS NULL"""
+
 QUERIES = {
     "header_normalize": (
         _of_text(text.header_normalize, "header"),
@@ -143,10 +148,7 @@ QUERIES = {
     ),
     "typed_parse_good": (
         _typed_parse_good,
-        f"""WITH {_CHECKS_SQL} SELECT event_id, entity, CAST(period AS INTEGER) AS period,
-          CAST(nullif(measure_a, '') AS INTEGER) AS measure_a, CAST(nullif(measure_b, '') AS INTEGER) AS measure_b,
-          CAST(nullif(ratio, '') AS DOUBLE) AS ratio
-        FROM bad WHERE e1 IS NULL AND e2 IS NULL AND e3 IS NULL AND e4 IS NULL""",
+        GOOD_SQL,
     ),
     "typed_parse_rejects": (
         _typed_parse_rejects,
