@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.tables import RATIO, REPORT_YEAR, entities, fact, half_up, mart, periods, plain, star, store_a, store_b
+from bindings.tables import RATIO, REPORT_YEAR, entities, fact, half_up, mart, periods, plain, star, store_a, store_b, stored_star
 from tiermill.functions import numeric
 from tiermill.operators import densify
 from tiermill.plans import layers, views
@@ -37,6 +37,10 @@ def _report(view, *args):
     return lambda spark, sf: plain(view(star(spark, sf), *args))
 
 
+def _ranked(view, *args):
+    return lambda spark, sf: plain(view(stored_star(spark, sf), *args))
+
+
 def _dense_grid(spark, sf):
     stores = [store_a(spark, sf), store_b(spark, sf)]
     return densify.dense_grid(entities(spark, sf), stores, ("measure_a", "measure_b"), periods(spark, sf))
@@ -124,23 +128,23 @@ QUERIES = {
         ),
     ),
     "member_label": (_member_label, mart("SELECT entity, CASE WHEN is_member THEN 'member' ELSE 'other' END AS label FROM ent")),
-    "ratio_report": (_report(views.ratio_report), mart(f"SELECT {_CELL}, {_DESC} AS rank_desc, {_ASC} AS rank_asc FROM star")),
+    "ratio_report": (_ranked(views.ratio_report), mart(f"SELECT {_CELL}, {_DESC} AS rank_desc, {_ASC} AS rank_asc FROM star")),
     "year_filter": (
-        _report(views.year_filter, REPORT_YEAR),
+        _ranked(views.year_filter, REPORT_YEAR),
         mart(f"SELECT * FROM (SELECT {_CELL}, {_DESC} AS rank_desc, {_ASC} AS rank_asc FROM star) WHERE period = {REPORT_YEAR}"),
     ),
-    "rank_desc": (_report(views.rank_desc), mart(f"SELECT period, {_DESC} AS position, {_POSITION} FROM star")),
-    "rank_asc": (_report(views.rank_asc), mart(f"SELECT period, {_ASC} AS position, {_POSITION} FROM star")),
+    "rank_desc": (_ranked(views.rank_desc), mart(f"SELECT period, {_DESC} AS position, {_POSITION} FROM star")),
+    "rank_asc": (_ranked(views.rank_asc), mart(f"SELECT period, {_ASC} AS position, {_POSITION} FROM star")),
     "topk_high": (
-        _report(views.topk_high),
+        _ranked(views.topk_high),
         mart(f"SELECT * FROM (SELECT period, {_DESC} AS position, {_POSITION} FROM star) WHERE position <= 10"),
     ),
     "topk_low": (
-        _report(views.topk_low),
+        _ranked(views.topk_low),
         mart(f"SELECT * FROM (SELECT period, {_ASC} AS position_asc, {_POSITION} FROM star) WHERE position_asc <= 10"),
     ),
     "topk_one_year": (
-        _report(views.topk_one_year, REPORT_YEAR),
+        _ranked(views.topk_one_year, REPORT_YEAR),
         mart(f"SELECT * FROM (SELECT period, {_DESC} AS position, {_POSITION} FROM star) WHERE position <= 10 AND period = {REPORT_YEAR}"),
     ),
     "best_n_one_year": (
@@ -230,7 +234,7 @@ QUERIES = {
         ),
     ),
     "efficiency_rank": (
-        _report(views.efficiency_rank),
+        _ranked(views.efficiency_rank),
         mart(
             f"""SELECT entity, label, period, measure_a, measure_b, ratio, {_DESC} AS rank_efficiency
             FROM star WHERE ratio IS NOT NULL AND measure_a > 0

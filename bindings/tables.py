@@ -9,19 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiermill.functions.membership import member_flag
 from tiermill.operators.densify import period_array
 from tiermill.plans import layers, views
+from tiermill.session import freeze
 
 # Ratios of this data exceed the default decimal(5,2).
-RATIO = "decimal(10,2)"
+RATIO = "decimal(12,2)"
 MEMBERS = ("Auto", "building works", "MACHINERY", "household-goods")
 REPORT_YEAR = 1998
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once and then given."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def year(column: str) -> Column:
@@ -72,6 +81,11 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.star(fact(spark, sf_dir), entities(spark, sf_dir))
 
 
+def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star as a written table, as gold is. Ranks read it twice."""
+    return freeze(star(spark, sf_dir))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the type the comparison uses."""
     casts = [

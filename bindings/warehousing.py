@@ -232,7 +232,7 @@ def _partitioned_fact(spark, sf):
     """The fact by period, with the partition of one period replaced afterwards."""
     path = run_folder(spark, "fact")
     extensions.write_partitioned(fact(spark, sf), path)
-    schema = "entity_id bigint, measure_a bigint, measure_b bigint, ratio decimal(10,2), period int"
+    schema = "entity_id bigint, measure_a bigint, measure_b bigint, ratio " + RATIO + ", period int"
     stored = spark.read.schema(schema).parquet(path)
     late = stored.filter("period = 1998").withColumn("measure_a", F.col("measure_a") + 1)
     # Rows read from the folder are frozen in a side copy before their partition goes.

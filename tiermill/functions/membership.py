@@ -67,7 +67,7 @@ def member_semi_join(
 def _lengths(df: DataFrame, column: str) -> Column:
     """Sorted distinct text lengths as a scalar array; a few hundred values at most."""
     sizes = df.select(F.length(column).alias("n")).distinct()
-    return sizes.agg(F.array_sort(F.collect_list("n"))).scalar()
+    return sizes.agg(F.sort_array(F.collect_list("n"))).scalar()
 
 
 def _pieces(df: DataFrame, column: str, lengths: Column, name: str) -> DataFrame:

@@ -9,7 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators that Python also strips.
+# Unicode white space plus the four ASCII separators that Python also strips. The flag
+# form is measurably faster here than the same set spelled out as ranges.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 

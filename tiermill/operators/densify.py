@@ -20,7 +20,7 @@ def period_array(frames: Sequence[DataFrame] | None = None, fixed: Sequence[int]
     if not frames:
         raise ValueError("periods need a closed list or at least one store")
     seen = reduce(DataFrame.union, [f.select("period") for f in frames]).distinct()
-    return seen.filter("period is not null").agg(F.array_sort(F.collect_list("period"))).scalar()
+    return seen.filter("period is not null").agg(F.sort_array(F.collect_list("period"))).scalar()
 
 
 def dense_grid(

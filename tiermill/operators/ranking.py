@@ -11,9 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiermill.session import freeze_counted
+
 # Values are taken apart in digits of this many bits, so that no window group holds more
-# than 2**18 distinct values however many rows or values a period has.
-_DIGIT_BITS = 17
+# than 2**21 distinct values however many rows or values a period has.
+_DIGIT_BITS = 20
+
+# About 50 MB of rank rows.
+BROADCAST_ROWS = 1_000_000
 
 
 def _scaled(column: Column, kind: T.DataType) -> tuple[Column, int]:
@@ -31,58 +36,52 @@ def rank_table(df: DataFrame, value: str, by: str = "period") -> DataFrame:
     """Per (group, value): its row count and the competition ranks in both directions.
 
     Columns: ``by``, ``value``, ``n``, ``rank_desc`` (nulls first) and ``rank_asc`` (nulls
-    last), ``rank_desc_filled`` (the descending rank among filled values only).
+    last).
     """
     whole, bits = _scaled(F.col(value), df.schema[value].dataType)
-    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("n"))
-    filled = counts.filter(F.col(value).isNotNull()).withColumn("_v", whole)
-
-    # Digits from coarse to fine; a prefix is the value without its finer digits.
+    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("_v", whole)
     levels = max(1, -(-bits // _DIGIT_BITS))
-    prefixes = [F.shiftright("_v", _DIGIT_BITS * d) for d in range(levels)]
-
-    lower = None
-    for depth in reversed(range(levels)):
-        here = (
-            filled.groupBy(by, prefixes[depth].alias("_p")).agg(F.sum("n").alias("n"))
-            if depth
-            else filled.withColumn("_p", F.col("_v"))
-        )
-        here = here.withColumn("_up", F.shiftright("_p", _DIGIT_BITS))
-        # The coarsest digit also carries the sign, so its groups are not split further.
-        group = [by] if lower is None else [by, "_up"]
-        frame = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("n").over(frame), F.lit(0))
-        if lower is None:
-            lower = here.withColumn("_before", before)
-        else:
-            coarse = lower.select(by, F.col("_p").alias("_up"), F.col("_before").alias("_base"))
-            lower = here.withColumn("_before", before).join(coarse, [by, "_up"])
-            lower = lower.withColumn("_before", F.col("_before") + F.col("_base"))
-
-    totals = counts.groupBy(by).agg(
-        F.sum(F.when(F.col(value).isNull(), F.col("n")).otherwise(0)).alias("_nulls"),
-        F.sum(F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)).alias("_filled"),
-    )
-    ranked = lower.select(by, value, "n", "_before").join(totals, by)
+    ranked = _before(counts, "_v", by, levels).withColumn("_null", F.col("_v").isNull())
     after = F.col("_filled") - F.col("_before") - F.col("n")
-    of_values = ranked.select(
+    return ranked.select(
         by,
         value,
         "n",
-        (F.col("_nulls") + after + 1).alias("rank_desc"),
+        F.when(F.col("_null"), 1).otherwise(F.col("_nulls") + after + 1).alias("rank_desc"),
         (F.col("_before") + 1).alias("rank_asc"),
-        (after + 1).alias("rank_desc_filled"),
     )
-    of_nulls = totals.filter("_nulls > 0").select(
-        by,
-        F.lit(None).cast(df.schema[value].dataType).alias(value),
-        F.col("_nulls").alias("n"),
-        F.lit(1).cast("bigint").alias("rank_desc"),
-        (F.col("_filled") + 1).alias("rank_asc"),
-        F.lit(None).cast("bigint").alias("rank_desc_filled"),
+
+
+def _before(counts: DataFrame, value: str, by: str, levels: int) -> DataFrame:
+    """Add ``_before``, the rows of the group with a smaller value (all filled ones for a
+    null), and the group's ``_nulls`` and ``_filled`` row counts.
+
+    With one level this is a running sum over the distinct values of a group. With more,
+    values are split by their leading digits: sums run inside each part, and each part
+    starts from the sum of the parts below, found the same way on the part totals.
+    """
+    part = f"{value}_"
+    group = [by] if levels == 1 else [by, part]
+    split = counts if levels == 1 else counts.withColumn(part, F.shiftright(value, _DIGIT_BITS))
+    smaller = (
+        Window.partitionBy(*group).orderBy(F.asc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = split.withColumn("_before", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
+    if levels == 1:
+        everything = Window.partitionBy(by)
+        is_null = F.col(value).isNull()
+        return inside.withColumns(
+            {
+                "_nulls": F.sum(F.when(is_null, F.col("n")).otherwise(0)).over(everything),
+                "_filled": F.sum(F.when(is_null, 0).otherwise(F.col("n"))).over(everything),
+            }
+        )
+    parts = _before(split.groupBy(by, part).agg(F.sum("n").alias("n")), part, by, levels - 1)
+    base = parts.select(
+        F.col(by).alias("_by"), F.col(part).alias("_part"), F.col("_before").alias("_base"), "_nulls", "_filled"
     )
-    return of_values.unionByName(of_nulls)
+    placed = inside.join(base, (F.col(by) == F.col("_by")) & F.col(part).eqNullSafe(F.col("_part")))
+    return placed.withColumn("_before", F.col("_before") + F.col("_base")).drop("_by", "_part", "_base", part)
 
 
 def _lookup(df: DataFrame, ranks: DataFrame, value: str, by: str, names: dict[str, str]) -> DataFrame:
@@ -93,13 +92,22 @@ def _lookup(df: DataFrame, ranks: DataFrame, value: str, by: str, names: dict[st
     return df.join(found, same).drop("_by", "_value")
 
 
-def with_ranks(df: DataFrame, value: str, names: dict[str, str], by: str = "period") -> DataFrame:
+def with_ranks(
+    df: DataFrame,
+    value: str,
+    names: dict[str, str],
+    by: str = "period",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Add rank columns; ``names`` maps columns of :func:`rank_table` to output names.
 
-    No broadcast is forced: the table has one row per distinct value, and adaptive
-    execution broadcasts it when its measured size allows, else splits hot values.
+    ``df`` is read twice, so it should be a stored table. The rank table, one row per
+    distinct value, is written first and its rows counted on the way. Up to
+    ``broadcast_rows`` it is broadcast and ``df`` is not shuffled at all; beyond that the
+    join shuffles by value, where adaptive execution splits the hot values.
     """
-    return _lookup(df, rank_table(df, value, by), value, by, names)
+    ranks, size = freeze_counted(rank_table(df, value, by).select(by, value, *names))
+    return _lookup(df, F.broadcast(ranks) if size <= broadcast_rows else ranks, value, by, names)
 
 
 def top_k(df: DataFrame, value: str, k: int, rank: str, name: str, by: str = "period") -> DataFrame:

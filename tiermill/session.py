@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime re-planning is what keeps skewed joins whole and small dimensions broadcast.
 # Nothing here depends on the size of the cluster.
@@ -54,6 +55,18 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: values drawn once stay the same when executors are lost."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as a table written to the shared folder.
+
+    Readers see the same rows however often executors are lost, and scan only the columns
+    they need.
+    """
+    return freeze_counted(df)[0]
+
+
+def freeze_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`freeze` with the row count, which is taken while the table is written."""
+    spark = df.sparkSession
+    path = run_folder(spark, "table")
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), counted.get["n"]

@@ -83,12 +83,12 @@ def _holds_all(words: Sequence[str]):
 def find_column(headers: Column, patterns: Sequence[str]) -> Column:
     """Zero-based position of the column a pattern list points at, null if there is none.
 
-    Patterns are tried in order; within one, the first header holding all its words wins.
+    Headers are normalised already. Patterns are tried in order; within one, the first
+    header holding all its words wins.
     """
-    plain = F.transform(headers, header_normalize)
     found = []
     for pattern in patterns:
-        held = F.transform(plain, _holds_all(pattern.lower().split()))
+        held = F.transform(headers, _holds_all(pattern.lower().split()))
         position = F.array_position(held, F.lit(True))
         found.append(F.when(position > 0, (position - 1).cast("int")))
     return F.coalesce(*found)
@@ -98,7 +98,8 @@ def column_resolve(
     headers: DataFrame, roles: Mapping[str, Sequence[str]], column: str = "headers"
 ) -> DataFrame:
     """Add the position of each role's column. Works row by row, without a shuffle."""
-    return headers.withColumns({r: find_column(F.col(column), p) for r, p in roles.items()})
+    plain = headers.withColumn("_plain", F.transform(column, header_normalize))
+    return plain.withColumns({r: find_column(F.col("_plain"), p) for r, p in roles.items()}).drop("_plain")
 
 
 def layout(
