@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.functions.membership import member_flag
@@ -87,13 +87,11 @@ def ingest(
     cells = workbook.readable(landing)
 
     rows = landed_rows(cells, profile, listed)
-    counted = Observation()
-    curated = reconcile(rows, profile, collapse_rule).observe(counted, F.count(F.lit(1)).alias("n"))
-    curated_csv.write_csv(curated, csv_path, profile.csv_names)
-    if not counted.get["n"]:
+    written = curated_csv.write_csv(reconcile(rows, profile, collapse_rule), csv_path, profile.csv_names)
+    if not written:
         raise ValueError(f"no usable rows in the workbooks below {source}")
     skipped = [row.file for row in workbook.unreadable(landing).select("file").distinct().collect()]
-    return {"curated": counted.get["n"], "unreadable": skipped}
+    return {"curated": written, "unreadable": skipped}
 
 
 def load(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.functions.numeric import fit_decimal, parse_integer, parse_number
@@ -18,12 +18,17 @@ NULL_TOKENS = (
 )
 
 
-def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None) -> None:
-    """Sorted by period and entity, quoted, with a header. ``names`` renames columns."""
+def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None) -> int:
+    """Sorted by period and entity, quoted, with a header. ``names`` renames columns.
+
+    Gives the row count. It is observed above the sort, because the sort also reads its
+    input once to sample the ranges.
+    """
     names = names or {}
     ordered = df.select(*COLUMNS).orderBy("period", "entity")
     renamed = ordered.select(*[F.col(c).alias(names.get(c, c)) for c in COLUMNS])
-    renamed.write.mode("overwrite").csv(
+    counted = Observation()
+    renamed.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(
         path,
         header=True,
         quoteAll=True,
@@ -31,6 +36,7 @@ def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    return counted.get["n"]
 
 
 def read_csv(spark: SparkSession, path: str, names: Mapping[str, str] | None = None) -> DataFrame:
