@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from bindings.tables import table
 from tiermill.operators import reconcile
+from tiermill.session import freeze
 from tiermill.sources import grid, manifest, workbook
 
 # Fixed order of files; finished orders are kind b, open ones kind a, other files are not
@@ -275,9 +276,9 @@ def books(spark, sf):
 
 
 def _workbook_scan(spark, sf):
-    cells = workbook.workbook_scan(books(spark, sf)).filter("error is null")
+    cells = workbook.readable(freeze(workbook.workbook_scan(books(spark, sf))), [])
     found = grid.layout(cells, ("índice", "contenido"), ("institución", "código"), ("departamento",))
-    placed = grid.column_resolve(found, _BOOK_ROLES)
+    placed = freeze(grid.column_resolve(found, _BOOK_ROLES))
     rows = grid.named_rows(cells, placed, tuple(_BOOK_ROLES), ("region", "entity", "amount"))
     named = manifest.file_id_from_path(rows, "file")
     return named.select("file_id", "row_idx", *_BOOK_ROLES, "has_category")

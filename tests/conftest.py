@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
         spark_sql_warehouse_dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

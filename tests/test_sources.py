@@ -198,6 +198,7 @@ def test_workbooks_to_gold(spark, landing, warehouse, tmp_path, rows):
     assert again["counts"] == summary["counts"]
     log = warehouse.audit_log().collect()
     assert [r.stage for r in log] == ["gold", "silver", "bronze"] * 2
+    assert all(r.duration_s > 0 and r.ended_at >= r.started_at for r in log)
 
 
 def test_bucketed_gold_joins_without_shuffle(spark, landing, warehouse, tmp_path):

@@ -64,7 +64,7 @@ def grid_invariant(fact: DataFrame, entities: DataFrame, periods: DataFrame) ->
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).scalar() for df in (fact, entities, periods)
     ]
-    one = fact.sparkSession.range(1).select(
+    one = fact.sparkSession.range(0, 1, 1, 1).select(
         *[c.alias(n) for c, n in zip(counts, ("n_facts", "n_entities", "n_periods"))]
     )
     return one.withColumn("complete", F.expr("n_facts = n_entities * n_periods"))

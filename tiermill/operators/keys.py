@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermill.session import freeze
+from tiermill.session import freeze, literal_rows
 
 _ROW_BITS = 33
 
@@ -15,7 +15,8 @@ _ROW_BITS = 33
 def surrogate_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Dense 1..n key in the order of the given columns.
 
-    Rows are range-partitioned and sorted once, then frozen with the position that
+    The columns should be unique together; rows that tie share a partition and are numbered
+    in any order. Rows are range-partitioned and sorted once, then frozen with the position that
     ``monotonically_increasing_id`` gives (partition number and row in partition). The
     frozen copy makes the numbering survive lost executors; a count per partition, one
     row each, turns positions into a dense sequence without a global window.
@@ -48,7 +49,7 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Da
 
 def seed_dim(target: DataFrame, rows: Sequence[tuple], schema: str, key: str) -> DataFrame:
     """Idempotent seeding of a dimension from literal rows."""
-    seeds = target.sparkSession.createDataFrame(list(rows), schema)
+    seeds = literal_rows(target.sparkSession, rows, schema)
     return insert_ignore(target, seeds, [key])
 
 

@@ -110,11 +110,20 @@ def with_ranks(
     return _lookup(df, F.broadcast(ranks) if size <= broadcast_rows else ranks, value, by, names)
 
 
-def top_k(df: DataFrame, value: str, k: int, rank: str, name: str, by: str = "period") -> DataFrame:
+def top_k(
+    df: DataFrame,
+    value: str,
+    k: int,
+    rank: str,
+    name: str,
+    by: str = "period",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Rows of rank at most ``k`` with ties, under the rank column ``name``.
 
-    At most ``k`` values per group qualify, so this lookup table is always small enough to
-    broadcast and the rows themselves are never shuffled or sorted.
+    At most ``k`` values per group qualify, so the lookup table is a few rows per period
+    and the rows of ``df`` are neither shuffled nor sorted. It is counted all the same, as
+    in :func:`with_ranks`, for groups other than periods.
     """
-    best = rank_table(df, value, by).filter(F.col(rank) <= k)
-    return _lookup(df, F.broadcast(best), value, by, {rank: name})
+    best, size = freeze_counted(rank_table(df, value, by).filter(F.col(rank) <= k).select(by, value, rank))
+    return _lookup(df, F.broadcast(best) if size <= broadcast_rows else best, value, by, {rank: name})

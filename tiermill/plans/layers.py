@@ -50,7 +50,7 @@ def dim_entity(entities: DataFrame) -> DataFrame:
 
 def dim_period(spark: SparkSession, periods: Column) -> DataFrame:
     """Period dimension. The period number is its own key, so facts need no lookup."""
-    years = spark.range(1).select(F.explode(periods).alias("period"))
+    years = spark.range(0, 1, 1, 1).select(F.explode(periods).alias("period"))
     return years.select("period", F.col("period").cast("string").alias("period_label"))
 
 

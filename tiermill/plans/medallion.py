@@ -25,6 +25,7 @@ from tiermill.operators.reconcile import (
 from tiermill.plans import layers, views
 from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
+from tiermill.session import freeze
 from tiermill.sources import curated_csv, grid, manifest, workbook
 
 logger = logging.getLogger(__name__)
@@ -49,7 +50,8 @@ def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame) -> DataFr
             "_second": profile.amount_patterns[second],
         },
     ).withColumn("amount", F.when(F.col("kind") == first, F.col("_first")).otherwise(F.col("_second")))
-    rows = grid.named_rows(cells, placed, ROLES, ("region", "entity", "amount"))
+    # One row per file. Stored, its size is known and decides whether the join broadcasts.
+    rows = grid.named_rows(cells, freeze(placed), ROLES, ("region", "entity", "amount"))
     local = region_filter(rows, "region", profile.region_contains)
     facts = manifest.manifest_join(manifest.file_id_from_path(local, "file"), listed)
     return facts.withColumnRenamed("entity", "raw_name")
@@ -57,7 +59,8 @@ def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame) -> DataFr
 
 def reconcile(rows: DataFrame, profile: Profile, collapse_rule: str = "last") -> DataFrame:
     """Landed rows to the curated frame: every name in every period seen."""
-    totals = entity_sum(rows, ["has_category"])
+    # A row per file and name, read several times below; the landed rows are read once.
+    totals = freeze(entity_sum(rows, ["has_category"]))
     values = collapse(totals, collapse_rule)
     stores = [store_of(values, k, m) for k, m in zip(profile.kinds, ("measure_a", "measure_b"))]
     cells = dense_grid(
@@ -84,14 +87,15 @@ def ingest(
     wanted = files.join(listed, "file_id", "left_semi")
     warehouse.refresh("bronze", "landing", workbook.workbook_scan(wanted))
     landing = warehouse.read("bronze", "landing")
-    cells = workbook.readable(landing)
+    # At most one name per manifest entry.
+    broken = [row.file for row in workbook.unreadable(landing).select("file").distinct().collect()]
+    cells = workbook.readable(landing, broken)
 
     rows = landed_rows(cells, profile, listed)
     written = curated_csv.write_csv(reconcile(rows, profile, collapse_rule), csv_path, profile.csv_names)
     if not written:
         raise ValueError(f"no usable rows in the workbooks below {source}")
-    skipped = [row.file for row in workbook.unreadable(landing).select("file").distinct().collect()]
-    return {"curated": written, "unreadable": skipped}
+    return {"curated": written, "unreadable": broken}
 
 
 def load(

@@ -15,6 +15,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.session import literal_rows
+
 LAYERS = ("bronze", "silver", "gold", "audit")
 AUDIT_COLUMNS = (
     "log_id", "stage", "status", "message", "n_rows", "started_at", "ended_at", "duration_s", "created_at",
@@ -92,9 +94,8 @@ class Warehouse:
     ) -> None:
         """Append one audit row, on its own and apart from any layer write."""
         ended = ended or datetime.now(timezone.utc)
-        row = [(stage, status, message, n_rows, started, ended)]
         schema = "stage string, status string, message string, n_rows bigint, started_at timestamp, ended_at timestamp"
-        entry = self.spark.createDataFrame(row, schema)
+        entry = literal_rows(self.spark, [(stage, status, message, n_rows, started, ended)], schema)
         columns: dict[str, Column] = {
             "log_id": F.unix_micros(F.current_timestamp()),
             "duration_s": (F.unix_micros("ended_at") - F.unix_micros("started_at")) / F.lit(1e6),

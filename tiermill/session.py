@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime re-planning is what keeps skewed joins whole and small dimensions broadcast.
 # Nothing here depends on the size of the cluster.
@@ -54,6 +56,17 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Constant rows as part of the plan, so that their small size is known to the planner."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """The rows as a table written to the shared folder.
 

@@ -7,19 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.session import literal_rows
+
 SCHEMA = "file_id string, kind string, period int, file_rank int"
 
 
 def manifest_frame(spark: SparkSession, entries: Sequence[tuple[str, str, int]]) -> DataFrame:
     """Manifest as rows; ``file_rank`` keeps its order."""
     rows = [(*entry, rank) for rank, entry in enumerate(entries)]
-    return spark.createDataFrame(rows, SCHEMA)
+    return literal_rows(spark, rows, SCHEMA)
 
 
 def manifest_join(df: DataFrame, manifest: DataFrame, file_id: str = "file_id") -> DataFrame:
     """Tag rows with kind, period and rank; rows of unlisted files fall out.
 
-    A manifest has one row per file, so Spark's own size estimate decides the broadcast.
+    A manifest made of constants is known to be small, so the planner broadcasts it and a
+    file with very many rows stays spread over its tasks.
     """
     listed = manifest.withColumnRenamed("file_id", file_id)
     return df.join(listed, file_id, "inner")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree.ElementTree import iterparse
 
 import pandas as pd
@@ -37,10 +37,15 @@ def workbook_scan(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode, GRID)
 
 
-def readable(grid: DataFrame) -> DataFrame:
-    """Rows of the files that decoded to the end; a file with an error is left out whole."""
-    broken = grid.filter(F.col("error").isNotNull()).select("file").distinct()
-    return grid.filter(F.col("error").isNull()).drop("error").join(broken, "file", "left_anti")
+def readable(grid: DataFrame, broken: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the files that decoded to the end; a file with an error is left out whole.
+
+    ``broken`` names the damaged files where they are known, which saves the join.
+    """
+    good = grid.filter(F.col("error").isNull()).drop("error")
+    if broken is not None:
+        return good.filter(~F.col("file").isin(list(broken))) if broken else good
+    return good.join(unreadable(grid).select("file").distinct(), "file", "left_anti")
 
 
 def unreadable(grid: DataFrame) -> DataFrame:
