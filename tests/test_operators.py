@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import densify, keys, quality, ranking, reconcile
 from tiermill.plans import layers, views
+from tiermill.profile import HIGHER_EDUCATION as PROFILE
 
 CELLS = [
     ("A", 2022, 100, 8), ("B", 2022, 50, 0), ("A", 2023, 120, 8), ("B", 2023, 60, 10), ("C", 2023, 0, 4),
@@ -96,10 +97,14 @@ def test_efficiency(star):
 
 
 def test_published_views(spark, star):
-    names = views.publish(star, "t_", {"entity": "nombre_ies"})
+    names = views.publish(star, PROFILE.view_names, PROFILE.view_columns)
     assert len(names) == 4
-    assert spark.sql("SELECT count(nombre_ies) AS n FROM t_evolution").first().n == 9
-    assert spark.sql("SELECT count(*) AS n FROM t_ratio_report WHERE period = 2024").first().n == 3
+    best = spark.sql("SELECT nombre_ies FROM v_top_ies_by_ratio WHERE posicion <= 1 AND `año` = 2024").collect()
+    assert [r.nombre_ies for r in best] == ["A"]
+    report = spark.sql("SELECT * FROM v_relacion_estudiante_docente WHERE `año` = 2024")
+    assert report.count() == 3 and "rank_ratio_asc" in report.columns
+    assert spark.sql("SELECT sum(cantidad_ies) AS n FROM v_promedio_por_sue").first().n == 9
+    assert spark.sql("SELECT count(ratio_ano_anterior) AS n FROM v_evolucion_ies").first().n == 4
 
 
 @pytest.mark.parametrize("kind", ["decimal(5,2)", "decimal(12,2)", "bigint", "int"])

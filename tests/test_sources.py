@@ -193,6 +193,9 @@ def test_workbooks_to_gold(spark, landing, warehouse, tmp_path, rows):
         key=repr,
     )
 
+    report = {r.check_name: r.n_violations for r in medallion.quality(warehouse).collect()}
+    assert len(report) == 13 and not any(report.values())
+
     again = medallion.load(warehouse, csv_path, PROFILE, buckets=4)
     assert rows(medallion.gold_star(warehouse, PROFILE).drop("entity_id")) == rows(star.drop("entity_id"))
     assert again["counts"] == summary["counts"]
@@ -251,6 +254,10 @@ def test_rejects_give_warnings_and_overflow_raises(spark, warehouse, tmp_path):
         medallion.load(warehouse, big, PROFILE)
     kept = medallion.load(warehouse, big, PROFILE, on_overflow="quarantine")
     assert kept["gold"] == 3
+    wide = str(tmp_path / "wide")
+    _curated(spark, wide, [("U" * 501, 2022, 5, 1, "", "x", "SUE")])
+    with pytest.raises(ValueError, match="exceed 500"):
+        medallion.load(warehouse, wide, PROFILE)
 
 
 def test_category_seed(spark, rows):

@@ -13,7 +13,14 @@ from tiermill.functions.membership import member_flag
 from tiermill.functions.numeric import STORED_RATIO, member_label, safe_ratio
 from tiermill.operators.densify import dense_grid, grid_invariant, period_array
 from tiermill.operators.keys import surrogate_key
-from tiermill.operators.quality import layer_counts
+from tiermill.operators.quality import (
+    domain_violations,
+    fk_orphans,
+    layer_counts,
+    null_violations,
+    quality_report,
+    unique_violations,
+)
 from tiermill.operators.reconcile import (
     category_pick,
     collapse,
@@ -30,6 +37,9 @@ from tiermill.sources import curated_csv, grid, manifest, workbook
 
 logger = logging.getLogger(__name__)
 
+# Longest texts the layer tables take; fixed by their column types.
+TEXT_LIMITS = {"entity": 500, "category": 50, "label": 20, "source_file": 255}
+
 ROLES = ("region", "entity", "category", "amount")
 
 
@@ -134,6 +144,11 @@ def load(
         warehouse.refresh("bronze", "parsed", parsed.withColumn("is_good", good), ["is_good"])
         stored = warehouse.read("bronze", "parsed")
         rows = curated_csv.good_rows(stored.filter("is_good").drop("is_good"))
+        for row in domain_violations(rows, TEXT_LIMITS).filter("n_bad > 0").collect():
+            problem = f"{row.n_bad} values of {row.column_name} exceed {TEXT_LIMITS[row.column_name]} characters"
+            if on_overflow == "raise":
+                raise ValueError(problem)
+            summary["errors"].append(f"bronze: {problem}")
         summary["bronze"] = warehouse.refresh(
             "bronze",
             "curated",
@@ -214,6 +229,28 @@ def validate(warehouse: Warehouse, summary: dict) -> None:
         raise ValueError(f"fact is not a full grid: {grid_row.asDict()}")
 
 
+def quality(warehouse: Warehouse) -> DataFrame:
+    """Violations of the layer constraints: unique keys, required columns, references."""
+    entity, fact = warehouse.read("silver", "entity"), warehouse.read("gold", "fact")
+    dim = warehouse.read("gold", "dim_entity")
+    checks = {
+        "silver.entity unique": unique_violations(entity, ["entity"]),
+        "silver.entity required": null_violations(entity, ["entity_id", "entity"]),
+        "gold.dim_entity unique": unique_violations(dim, ["entity_id"]),
+        "gold.dim_entity reference": fk_orphans(dim, entity, "entity_id", "entity_id"),
+        "gold.fact unique": unique_violations(fact, ["entity_id", "period"]),
+        "gold.fact required": null_violations(fact, ["entity_id", "period", "measure_a", "measure_b"]),
+        "gold.fact entity reference": fk_orphans(fact, dim, "entity_id", "entity_id"),
+        "gold.fact period reference": fk_orphans(fact, warehouse.read("gold", "dim_period"), "period", "period"),
+        "gold.fact ratio domain": domain_violations(fact, decimals={"ratio": STORED_RATIO}),
+    }
+    for measure in ("measure_a", "measure_b"):
+        store = warehouse.read("silver", measure)
+        checks[f"silver.{measure} unique"] = unique_violations(store, ["entity_id", "period"])
+        checks[f"silver.{measure} reference"] = fk_orphans(store, entity, "entity_id", "entity_id")
+    return quality_report(checks)
+
+
 def gold_star(warehouse: Warehouse, profile: Profile) -> DataFrame:
     """The gold layer as the star that report views take."""
     fact = warehouse.read("gold", "fact").drop("created_at", "updated_at")

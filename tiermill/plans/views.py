@@ -204,14 +204,19 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
 
 
-def publish(s: DataFrame, prefix: str = "v_", names: Mapping[str, str] | None = None) -> list[str]:
-    """Register the four standing views for SQL clients of this session."""
-    views = {
+def publish(
+    s: DataFrame, view_names: Mapping[str, str] | None = None, columns: Mapping[str, str] | None = None
+) -> list[str]:
+    """Register the four standing views for the SQL of this session, under the names of a
+    data domain where given."""
+    frames = {
         "ratio_report": ratio_report(s),
         "member_averages": member_averages(s),
         "top_by_ratio": rank_desc(s),
         "evolution": lag_ratio(s),
     }
-    for name, view in views.items():
-        rename(view, names or {}).createOrReplaceTempView(prefix + name)
-    return [prefix + name for name in views]
+    names = []
+    for view, frame in frames.items():
+        names.append((view_names or {}).get(view, view))
+        rename(frame, columns or {}).createOrReplaceTempView(names[-1])
+    return names

@@ -25,6 +25,8 @@ class Profile:
     trend_labels: tuple[str, str, str, str] = ("base", "up", "down", "same")
     csv_names: dict[str, str] = field(default_factory=dict)
     export_headers: dict[str, str] = field(default_factory=dict)
+    view_names: dict[str, str] = field(default_factory=dict)
+    view_columns: dict[str, str] = field(default_factory=dict)
     periods: tuple[int, ...] | None = None
     categories: tuple[tuple[str, str, str], ...] = ()
 
@@ -115,6 +117,30 @@ HIGHER_EDUCATION = Profile(
         "measure_b": "Total Docentes",
         "ratio": "Estudiantes por Docente",
     },
+    view_names={
+        "ratio_report": "v_relacion_estudiante_docente",
+        "member_averages": "v_promedio_por_sue",
+        "top_by_ratio": "v_top_ies_by_ratio",
+        "evolution": "v_evolucion_ies",
+    },
+    view_columns={
+        "entity": "nombre_ies",
+        "category": "sector_ies",
+        "is_member": "es_sue",
+        "label": "clasificacion_sue",
+        "period": "año",
+        "measure_a": "total_estudiantes",
+        "measure_b": "total_docentes",
+        "ratio": "estudiantes_por_docente",
+        "rank_desc": "rank_ratio_desc",
+        "rank_asc": "rank_ratio_asc",
+        "position": "posicion",
+        "prev_ratio": "ratio_ano_anterior",
+        "n_entities": "cantidad_ies",
+        "avg_a": "promedio_estudiantes",
+        "avg_b": "promedio_docentes",
+        "avg_ratio": "promedio_ratio",
+    },
     periods=(2022, 2023, 2024),
     categories=(
         ("oficial", "Oficial", "Institución pública/estatal"),
