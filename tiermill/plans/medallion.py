@@ -139,25 +139,27 @@ def load(
     def bronze() -> int:
         text = curated_csv.read_csv(spark, csv_path, profile.csv_names)
         parsed = curated_csv.typed_parse(text, ratio_kind, on_overflow)
-        # Good and bad rows leave in one pass over the file, kept apart by partition.
-        good = F.size("errors") == 0
-        warehouse.refresh("bronze", "parsed", parsed.withColumn("is_good", good), ["is_good"])
-        stored = warehouse.read("bronze", "parsed")
-        rows = curated_csv.good_rows(stored.filter("is_good").drop("is_good"))
-        for row in domain_violations(rows, TEXT_LIMITS).filter("n_bad > 0").collect():
-            problem = f"{row.n_bad} values of {row.column_name} exceed {TEXT_LIMITS[row.column_name]} characters"
-            if on_overflow == "raise":
-                raise ValueError(problem)
-            summary["errors"].append(f"bronze: {problem}")
-        summary["bronze"] = warehouse.refresh(
-            "bronze",
-            "curated",
-            rows.withColumns({"id": F.monotonically_increasing_id(), "loaded_at": F.current_timestamp()}),
+        # Good and bad rows are written in one pass and kept apart by partition; the tables
+        # of either are views on it, so a refresh shows both at once.
+        both = curated_csv.split_form(parsed).withColumns(
+            {"id": F.monotonically_increasing_id(), "loaded_at": F.current_timestamp()}
         )
-        bad = curated_csv.rejected_rows(stored.filter("not is_good").drop("is_good"))
-        summary["rejected"] = warehouse.refresh("bronze", "rejected", bad)
-        if summary["rejected"]:
-            summary["errors"].append(f"bronze: {summary['rejected']} rows rejected")
+
+        def check(version: DataFrame) -> None:
+            counts = {r.is_good: r["count"] for r in version.groupBy("is_good").count().collect()}
+            summary["bronze"], summary["rejected"] = counts.get(True, 0), counts.get(False, 0)
+            if summary["rejected"]:
+                summary["errors"].append(f"bronze: {summary['rejected']} rows rejected")
+            for row in domain_violations(version.filter("is_good"), TEXT_LIMITS).filter("n_bad > 0").collect():
+                problem = f"{row.n_bad} values of {row.column_name} exceed {TEXT_LIMITS[row.column_name]} characters"
+                if on_overflow == "raise":
+                    raise ValueError(problem)
+                summary["errors"].append(f"bronze: {problem}")
+
+        warehouse.refresh("bronze", "parsed", both, ["is_good"], check=check)
+        names = [c for c in both.columns if c != "is_good"]
+        warehouse.define("bronze", "curated", curated_csv.good_columns(names), "parsed", "is_good")
+        warehouse.define("bronze", "rejected", curated_csv.reject_columns(names), "parsed", "NOT is_good")
         return summary["bronze"]
 
     def silver() -> int:

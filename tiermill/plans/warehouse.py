@@ -8,7 +8,7 @@ the old version in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -56,9 +56,11 @@ class Warehouse:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         bucket_by: tuple[int, Sequence[str]] | None = None,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> int:
         """Replace a table and give its row count, counted while it is written.
 
+        ``check`` sees the new version before readers do; if it raises, they keep the old one.
         Bucketing the fact and the entity dimension alike by ``entity_id`` lets later
         joins and lags by entity run without a shuffle.
         """
@@ -72,9 +74,19 @@ class Warehouse:
             buckets, keys = bucket_by
             writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
         writer.saveAsTable(self.name(layer, version))
+        if check:
+            check(self.read(layer, version))
         self._swap(layer, table, version)
         return counted.get["n"]
 
+    def define(self, layer: str, table: str, columns: Mapping[str, str], source: str, where: str) -> None:
+        """A view on another table of the layer: name to expression, and a condition."""
+        chosen = ", ".join(f"{expression} AS `{name}`" for name, expression in columns.items())
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS "
+            f"SELECT {chosen} FROM {self.name(layer, source)} WHERE {where}"
+        )
+
     def _swap(self, layer: str, table: str, version: str) -> None:
         """Point the view at a version, keep the one before for readers still on it."""
         view, target = self.name(layer, table), self.name(layer, version)

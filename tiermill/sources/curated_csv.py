@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,16 +83,37 @@ def typed_parse(
     )
 
 
+_TYPED = ("period", "measure_a", "measure_b", "ratio")
+
+
+def _plain(columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if not c.startswith("_") and c != "errors"]
+
+
+def good_columns(columns: Sequence[str]) -> dict[str, str]:
+    """Name to SQL expression of a parsed row that is good: its typed values."""
+    return {c: f"`_{c}`" if c in _TYPED else f"`{c}`" for c in _plain(columns)}
+
+
+def reject_columns(columns: Sequence[str]) -> dict[str, str]:
+    """Name to SQL expression of a reject: its original text and the error list."""
+    return {c: f"`{c}`" for c in [*_plain(columns), "errors"]}
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     """Rows that parsed, under their typed values."""
-    typed = {"period", "measure_a", "measure_b", "ratio"}
-    plain = [c for c in parsed.columns if not c.startswith("_") and c != "errors"]
-    return parsed.filter(F.size("errors") == 0).select(
-        *[F.col(f"_{c}").alias(c) if c in typed else F.col(c) for c in plain]
-    )
+    chosen = good_columns(parsed.columns)
+    return parsed.filter("size(errors) = 0").select(*[F.expr(e).alias(c) for c, e in chosen.items()])
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
     """Rows that did not parse, as the original text plus the error list."""
-    plain = [c for c in parsed.columns if not c.startswith("_")]
-    return parsed.filter(F.size("errors") > 0).select(*plain)
+    return parsed.filter("size(errors) > 0").select(*reject_columns(parsed.columns))
+
+
+def split_form(parsed: DataFrame) -> DataFrame:
+    """Parsed rows as one table: ``is_good`` tells the two kinds apart, and the text of
+    numbers is kept for rejects only."""
+    bad = F.size("errors") > 0
+    texts = {c: F.when(bad, F.col(c)) for c in _TYPED}
+    return parsed.withColumns({**texts, "is_good": ~bad})
