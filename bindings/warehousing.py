@@ -84,7 +84,6 @@ def _bronze_load(spark, sf):
     warehouse = _warehouse(spark, "bronze")
     rows = curated_csv.good_rows(texts.parsed(spark, sf)).withColumn("loaded_at", F.current_timestamp())
     warehouse.refresh("bronze", "curated", rows)
-    warehouse.refresh("bronze", "curated", rows)
     return plain(warehouse.read("bronze", "curated").drop("loaded_at"))
 
 

@@ -85,12 +85,12 @@ def test_cell_kinds(spark):
             "xl/worksheets/sheet1.xml",
             f"""<worksheet xmlns="{main}"><sheetData><row r="2"><c r="A2" t="s"><v>1</v></c><c r="C2"><v>3.5</v></c>
             <c r="D2" t="b"><v>1</v></c><c r="E2" t="e"><v>#REF!</v></c><c r="AA2" t="str"><v>z</v></c></row>
-            <row><c><v>4</v></c></row></sheetData></worksheet>""",
+            <row><c><v>4</v></c><c t="str"><v>N/A</v></c></row></sheetData></worksheet>""",
         )
     files = spark.createDataFrame([("f", bytearray(made.getvalue()))], "path string, content binary")
     rows = workbook.workbook_scan(files).filter("row_idx >= 0").orderBy("row_idx").collect()
     assert rows[0].cells == ["dos", None, "3.5", "True"] + [None] * 22 + ["z"]
-    assert (rows[1].row_idx, rows[1].cells) == (2, ["4"])
+    assert (rows[1].row_idx, rows[1].cells) == (2, ["4", None])
 
 
 def test_sheet_pick(spark, rows):

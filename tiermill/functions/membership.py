@@ -21,13 +21,19 @@ def member_flag(name: Column, members: Iterable[str], min_len: int = 0) -> Colum
     entries = sorted({fold_literal(m) for m in members})
     if not entries:
         return F.lit(False)
-    folded = match_fold(name)
-    # A longer entry adds nothing to the first test when it contains a shorter one.
+    # A longer entry adds nothing when it contains a shorter one that a name may hold.
     shortest = [e for e in entries if not any(o != e and o in e for o in entries)]
-    flag = F.lit("\n".join(entries)).contains(folded)
-    for entry in shortest:
-        flag = flag | folded.contains(entry)
-    return flag & (F.length(folded) >= min_len) if min_len else flag
+    joined = F.lit("\n".join(entries))
+
+    def test(folded: Column) -> Column:
+        flag = joined.contains(folded)
+        for entry in shortest:
+            flag = flag | folded.contains(entry)
+        return flag & (F.length(folded) >= min_len) if min_len else flag
+
+    # The one-element array binds the folded name, so that it is computed once per row also
+    # where the flag is used in a filter.
+    return F.exists(F.array(match_fold(name)), test)
 
 
 def member_semi_join(

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.sources.curated_csv import NULL_TOKENS
+
 GRID = (
     "file string, sheet string, sheet_pos int, row_idx int, cells array<string>, error string"
 )
@@ -140,17 +142,19 @@ def _column(reference: str | None, default: int) -> int:
 
 
 def _cell(element, shared: list[str]) -> str | None:
+    """Text of a cell; errors and the texts for a missing value read as null."""
     kind = element.get("t")
     if kind == "inlineStr":
-        return next((_text(c) for c in element if _tag(c) == "is"), None) or None
-    value = next((c.text for c in element if _tag(c) == "v"), None)
+        value = next((_text(c) for c in element if _tag(c) == "is"), None)
+    else:
+        value = next((c.text for c in element if _tag(c) == "v"), None)
     if value is None or kind == "e":
         return None
     if kind == "s":
-        return shared[int(value)] or None
-    if kind == "b":
-        return "True" if value == "1" else "False"
-    return value or None
+        value = shared[int(value)]
+    elif kind == "b":
+        value = "True" if value == "1" else "False"
+    return None if value in NULL_TOKENS else value
 
 
 def _sheet_rows(stream, shared: list[str]) -> Iterator[tuple[int, list[str | None]]]:
