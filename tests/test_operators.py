@@ -129,8 +129,9 @@ def test_ranks_match_window(spark, rows, kind, broadcast_rows):
     )
     got = ranking.with_ranks(df, "v", {"rank_desc": "d", "rank_asc": "a"}, broadcast_rows=broadcast_rows)
     assert rows(got, "i", "d", "a") == rows(want)
-    top = ranking.top_k(df, "v", 10, "rank_asc", "a")
-    assert rows(top, "i", "a") == rows(want.filter("a <= 10"), "i", "a")
+    for name, highest in (("a", False), ("d", True)):
+        top = ranking.top_k(df, "v", 10, name, highest, broadcast_rows=broadcast_rows)
+        assert rows(top, "i", name) == rows(want.filter(f"{name} <= 10"), "i", name)
 
 
 def test_rank_rejects_doubles(spark):

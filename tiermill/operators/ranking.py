@@ -17,8 +17,8 @@ from tiermill.session import freeze_counted
 # than 2**21 distinct values however many rows or values a period has.
 _DIGIT_BITS = 20
 
-# About 50 MB of rank rows.
-BROADCAST_ROWS = 1_000_000
+# About 20 MB of rank rows; building a larger hash table costs more than a shuffle saves.
+BROADCAST_ROWS = 250_000
 
 
 def _scaled(column: Column, kind: T.DataType) -> tuple[Column, int]:
@@ -114,16 +114,23 @@ def top_k(
     df: DataFrame,
     value: str,
     k: int,
-    rank: str,
     name: str,
+    highest: bool = True,
     by: str = "period",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of rank at most ``k`` with ties, under the rank column ``name``.
 
-    At most ``k`` values per group qualify, so the lookup table is a few rows per period
-    and the rows of ``df`` are neither shuffled nor sorted. It is counted all the same, as
-    in :func:`with_ranks`, for groups other than periods.
+    Nulls rank first among the highest and last among the lowest. At most ``k`` values per
+    group can qualify. They are cut down to that in every task before they are shuffled,
+    and the rows of ``df`` are neither shuffled nor sorted to look them up. The lookup
+    table is counted all the same, for groups other than periods.
     """
-    best, size = freeze_counted(rank_table(df, value, by).filter(F.col(rank) <= k).select(by, value, rank))
-    return _lookup(df, F.broadcast(best) if size <= broadcast_rows else best, value, by, {rank: name})
+    order = F.desc_nulls_first(value) if highest else F.asc_nulls_last(value)
+    ordered = Window.partitionBy(by).orderBy(order)
+    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.withColumn("_i", F.row_number().over(ordered)).filter(F.col("_i") <= k)
+    better = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = first.select(by, value, (F.coalesce(better, F.lit(0)) + 1).alias(name))
+    best, size = freeze_counted(ranked.filter(F.col(name) <= k))
+    return _lookup(df, F.broadcast(best) if size <= broadcast_rows else best, value, by, {name: name})

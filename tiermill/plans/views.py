@@ -65,13 +65,13 @@ def _position_columns() -> list[str]:
 
 def topk_high(s: DataFrame, k: int = 10) -> DataFrame:
     """Highest ratios per period, ties kept."""
-    best = top_k(s, "ratio", k, "rank_desc", "position")
+    best = top_k(s, "ratio", k, "position")
     return best.select("period", "position", *_position_columns()).orderBy(F.desc("period"), "position", "entity")
 
 
 def topk_low(s: DataFrame, k: int = 10) -> DataFrame:
     """Lowest ratios per period, ties kept."""
-    best = top_k(s, "ratio", k, "rank_asc", "position_asc")
+    best = top_k(s, "ratio", k, "position_asc", highest=False)
     chosen = best.select("entity", "label", "category", "period", "measure_a", "measure_b", "ratio", "position_asc")
     return chosen.orderBy(F.desc("period"), "position_asc", "entity")
 
