@@ -5,13 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import quality, sql
+from tiermill.llm import mixing, quality, sql, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def visits(pages: DataFrame) -> DataFrame:
+    """Archive records of four visits to every page: full responses, revisits that agree and revisits that do not."""
+    visit, page = F.col("visit"), F.col("page_id")
+    body = F.coalesce("html", F.lit(""))
+    tag = F.substring(F.md5(body), 1, 16)
+    kind = F.when(visit == 2, page % 3)
+    full = (visit == 0) | (kind == 2)
+    headers = {
+        "ETag": F.when(visit == 1, F.concat(F.lit('W/"'), tag, F.lit('"')))
+        .when(kind == 0, F.lit('"stale"'))
+        .when(kind == 1, F.lit(None).cast("string"))
+        .when(kind == 2, F.concat(F.lit('"'), F.reverse(tag), F.lit('"')))
+        .otherwise(F.concat(F.lit('"'), tag, F.lit('"'))),
+        "Last-Modified": F.when(full | (kind == 1), F.concat(F.lit("day "), (page % 1000).cast("string"))),
+        "Date": F.concat(F.lit("visit "), visit.cast("string")),
+        "Cache-Control": F.when(visit != 2, F.concat(F.lit("max-age="), (visit * 60).cast("string"))),
+        "Content-Type": F.when(full, F.lit("text/html")).otherwise(F.lit("text/plain")),
+        "Content-Length": F.when(full, F.length(body).cast("string")),
+    }
+    named = F.map_from_entries(
+        F.filter(F.array(*[F.struct(F.lit(k), v.alias("v")) for k, v in headers.items()]), lambda e: e["v"].isNotNull())
+    )
+    return pages.withColumn("visit", F.explode(F.array(*map(F.lit, range(4))))).select(
+        (page * 4 + visit).alias("record_id"),
+        "url",
+        (page + visit * 1000).alias("fetched_at"),
+        F.when(full, 200).otherwise(304).alias("status"),
+        named.alias("headers"),
+        F.when(full, F.md5(F.concat(body, visit.cast("string")))).alias("digest"),
+    )
+
+
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(visits(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return resolved.withColumn("headers", F.array_join(lines, "\n"))
+
+
+def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "text", "source", "copy", "n_copies", "shuffle_key")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -19,5 +62,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
+    "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
 }

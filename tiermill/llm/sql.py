@@ -47,3 +47,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND {" AND ".join(map(_rule, RULES))} AS kept
 FROM judged
 """
+
+
+WARC_REVISITS = """
+WITH visits AS (
+  SELECT page_id, v, url, coalesce(html, '') AS body, substr(md5(coalesce(html, '')), 1, 16) AS tag,
+         CASE WHEN v = 2 THEN page_id % 3 END AS kind
+  FROM pages, unnest([0, 1, 2, 3]) AS u(v)
+),
+bare AS (SELECT *, regexp_replace(regexp_replace(trim(url), '^(?i)https?://', ''), '#.*$', '') AS b,
+                v = 0 OR coalesce(kind = 2, false) AS is_full FROM visits),
+parted AS (SELECT *, regexp_extract(b, '^[^/?]*') AS host FROM bare),
+trimmed AS (
+  SELECT *, regexp_replace(regexp_replace(lower(host), ':(80|443)$', ''), '^(www|m)\\.', '') AS h,
+         regexp_replace(substr(b, length(host) + 1), '([?&])(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '\\1', 'g') AS rest
+  FROM parted
+),
+records AS (
+  SELECT page_id * 4 + v AS record_id, page_id + v * 1000 AS fetched_at, is_full,
+         h || regexp_replace(regexp_replace(regexp_replace(regexp_replace(rest, '&+', '&', 'g'), '\\?&', '?', 'g'),
+                             '[?&]+$', ''), '/+$', '') AS key,
+         CASE WHEN v = 1 THEN 'W/"' || tag || '"' WHEN kind = 0 THEN '"stale"' WHEN kind = 1 THEN NULL
+              WHEN kind = 2 THEN '"' || reverse(tag) || '"' ELSE '"' || tag || '"' END AS etag,
+         CASE WHEN is_full OR kind = 1 THEN 'day ' || (page_id % 1000) END AS modified,
+         'visit ' || v AS date, CASE WHEN v <> 2 THEN 'max-age=' || (v * 60) END AS cache,
+         CASE WHEN is_full THEN 'text/html' ELSE 'text/plain' END AS ctype,
+         CASE WHEN is_full THEN CAST(length(body) AS VARCHAR) END AS clength,
+         CASE WHEN is_full THEN md5(body || v) END AS digest
+  FROM trimmed
+),
+placed AS (
+  SELECT *, last_value(CASE WHEN is_full THEN record_id END IGNORE NULLS) OVER
+    (PARTITION BY key ORDER BY fetched_at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rid
+  FROM records
+),
+joined AS (
+  SELECT p.*, r.record_id AS response_id, r.fetched_at AS response_at, r.etag AS r_etag, r.modified AS r_modified,
+         r.cache AS r_cache, r.ctype AS r_ctype, r.clength AS r_clength, r.digest AS r_digest,
+         CASE WHEN r.record_id IS NULL THEN 'no_response'
+              WHEN p.etag IS NOT NULL AND r.etag IS NOT NULL THEN
+                CASE WHEN ltrim(p.etag, 'W/') = ltrim(r.etag, 'W/') THEN 'match' ELSE 'mismatch' END
+              WHEN p.modified IS NOT NULL AND r.modified IS NOT NULL THEN
+                CASE WHEN p.modified = r.modified THEN 'match' ELSE 'mismatch' END
+              ELSE 'unchecked' END AS resolution
+  FROM placed p LEFT JOIN records r ON p.rid = r.record_id WHERE NOT p.is_full
+)
+SELECT record_id, key AS canonical_url, fetched_at, response_id, response_at, resolution,
+       CASE WHEN resolution IN ('match', 'unchecked') THEN r_digest END AS digest,
+       CASE WHEN resolution IN ('match', 'unchecked') THEN
+         concat_ws(chr(10), 'cache-control: ' || coalesce(cache, r_cache), 'content-length: ' || r_clength,
+                   'content-type: ' || r_ctype, 'date: ' || date, 'etag: ' || coalesce(etag, r_etag),
+                   'last-modified: ' || r_modified) END AS headers
+FROM joined
+"""
+
+POISSON_MIX = """
+WITH sizes AS (SELECT source, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY source),
+weighed AS (SELECT *, sqrt(CAST(chars AS DOUBLE)) AS weight FROM sizes),
+rates AS (SELECT source, CASE WHEN chars > 0 THEN weight / (SELECT sum(weight) FROM weighed)
+                 * (SELECT sum(chars) FROM weighed) / chars ELSE 1.0 END AS rate FROM weighed),
+parted AS (SELECT *, greatest(1, CAST(ceil(rate / 16) AS BIGINT)) AS parts FROM rates),
+terms AS (SELECT source, k, sum(exp(-rate / parts + k * ln(rate / parts) - lgamma(k + 1)))
+                 OVER (PARTITION BY source ORDER BY k) AS cdf
+          FROM parted, unnest(generate_series(0, 96)) AS g(k)),
+drawn AS (
+  SELECT d.doc_id, d.text, d.source, j, (CAST('0x' || substr(md5('20240|' || coalesce(CAST(d.doc_id AS VARCHAR), '')
+         || '|' || j), 1, 13) AS BIGINT) + 0.5) / CAST(16 AS DOUBLE) ** 13 AS u
+  FROM documents d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source, unnest(generate_series(1, p.parts)) AS s(j)
+),
+counted AS (
+  SELECT d.doc_id, any_value(d.text) AS text, d.source, count(*) FILTER (t.cdf <= d.u) AS n_copies
+  FROM drawn d JOIN terms t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.doc_id, d.source
+)
+SELECT doc_id, text, source, copy, n_copies,
+       md5('20240s|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS shuffle_key
+FROM counted, unnest(generate_series(1, n_copies)) AS c(copy)
+"""
