@@ -123,3 +123,25 @@ SELECT doc_id, text, source, copy, n_copies,
        md5('20240s|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS shuffle_key
 FROM counted, unnest(generate_series(1, n_copies)) AS c(copy)
 """
+
+SUBSTRINGS = """
+WITH listed AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+windows AS (
+  SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w FROM listed, unnest(generate_series(1, len(words) - 34)) AS g(i)
+),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT r, list(DISTINCT i + k) AS places FROM repeated, unnest(generate_series(0, 34)) AS g(k) GROUP BY r),
+kept AS (
+  SELECT doc_id, words, coalesce(len(places), 0) AS n_removed,
+         CASE WHEN places IS NULL THEN words
+              ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END AS rest
+  FROM listed LEFT JOIN gone USING (r)
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(array_to_string(rest, ' ')) AS kept_sha256
+FROM kept
+"""
