@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import mixing, quality, sql, substring, warc
+from tiermill.llm import mixing, quality, rindex, sql, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "text", "source", "copy", "n_copies", "shuffle_key")
 
 
+def op4_rindex_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = rindex.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -69,6 +74,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
+    "op4_rindex_dedup": (op4_rindex_dedup, sql.LONG_MATCHES),
     "op5_countmin_substrings": (op5_countmin_substrings, sql.SUBSTRINGS),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
 }

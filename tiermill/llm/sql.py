@@ -145,3 +145,25 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT)
        sha256(array_to_string(rest, ' ')) AS kept_sha256
 FROM kept
 """
+
+LONG_MATCHES = """
+WITH bodies AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS w FROM bodies, unnest(generate_series(0, length(h) // 2 - 200)) AS g(i)
+),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1),
+opened AS (SELECT r, i, CASE WHEN i > lag(i) OVER o + 200 THEN 1 ELSE 0 END AS opens FROM repeated
+           WINDOW o AS (PARTITION BY r ORDER BY i)),
+numbered AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM opened),
+spans AS (SELECT r, min(i) AS a, max(i) + 200 AS z FROM numbered GROUP BY r, s),
+gaps AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM spans),
+cut AS (
+  SELECT g.r, count(*) AS n, sum(z - a) AS removed, max(z) AS tail,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM gaps g JOIN bodies b ON g.r = b.r GROUP BY g.r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM bodies LEFT JOIN cut USING (r)
+"""
