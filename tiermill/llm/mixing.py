@@ -46,9 +46,10 @@ def source_rates(docs: DataFrame, source: str, text: str, weights: DataFrame | N
         chosen = weights.select(F.col("source").alias("_chosen"), F.col("weight").cast("double").alias("weight"))
         sizes = sizes.join(chosen, F.col("_source").eqNullSafe(F.col("_chosen")), "left").drop("_chosen")
         sizes = sizes.fillna(0.0, ["weight"])
-    total = freeze(sizes).agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") * scale / F.col("chars")
-    rates = sizes.join(F.broadcast(total)).withColumn("rate", F.when(F.col("chars") > 0, rate).otherwise(F.lit(1.0)))
+    sizes = freeze(sizes)
+    chars, weight = sizes.agg(F.sum("chars"), F.sum("weight")).first()  # two numbers
+    rate = F.col("weight") / F.lit(weight) * F.lit(chars) * scale / F.col("chars")
+    rates = sizes.withColumn("rate", F.when(F.col("chars") > 0, rate).otherwise(F.lit(1.0)))
     rates = rates.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PART_MEAN).cast("int")))
     mean = F.col("rate") / F.col("parts")
     steps = F.aggregate(
