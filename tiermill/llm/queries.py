@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import mixing, quality, rindex, sql, substring, warc
+from tiermill.llm import mixing, neardup, quality, rindex, sql, substring, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,10 +71,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
     "op4_rindex_dedup": (op4_rindex_dedup, sql.LONG_MATCHES),
     "op5_countmin_substrings": (op5_countmin_substrings, sql.SUBSTRINGS),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
+    "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
 }
