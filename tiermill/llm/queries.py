@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import mixing, neardup, quality, rindex, sql, substring, warc
+from tiermill.llm import mixing, neardup, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,10 @@ def op5_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -80,6 +85,7 @@ QUERIES = {
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
     "op4_rindex_dedup": (op4_rindex_dedup, sql.LONG_MATCHES),
     "op5_countmin_substrings": (op5_countmin_substrings, sql.SUBSTRINGS),
+    "op6_token_counts": (op6_token_counts, None),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
     "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
 }
