@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import mixing, neardup, quality, rindex, sql, substring, tokens, warc
+from tiermill.llm import mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_semi_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+
+    def told(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [
+        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select("doc_id", *counts, F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -86,6 +99,7 @@ QUERIES = {
     "op4_rindex_dedup": (op4_rindex_dedup, sql.LONG_MATCHES),
     "op5_countmin_substrings": (op5_countmin_substrings, sql.SUBSTRINGS),
     "op6_token_counts": (op6_token_counts, None),
+    "op7_semi_crf_pii": (op7_semi_crf_pii, None),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
     "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
 }
