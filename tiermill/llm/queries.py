@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
+from tiermill.llm import leaks, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op9_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = leaks.question_and_answer(table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), items)
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"))
 
@@ -101,5 +106,6 @@ QUERIES = {
     "op6_token_counts": (op6_token_counts, None),
     "op7_semi_crf_pii": (op7_semi_crf_pii, None),
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
+    "op9_bm25_decontamination": (op9_bm25_decontamination, None),
     "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
 }
