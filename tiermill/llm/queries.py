@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import leaks, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
+from tiermill.llm import leaks, licenses, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "text", "source", "copy", "n_copies", "shuffle_key")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_rindex_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = rindex.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -101,6 +105,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
+    "op3_license_scan": (op3_license_scan, None),
     "op4_rindex_dedup": (op4_rindex_dedup, sql.LONG_MATCHES),
     "op5_countmin_substrings": (op5_countmin_substrings, sql.SUBSTRINGS),
     "op6_token_counts": (op6_token_counts, None),
