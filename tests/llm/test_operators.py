@@ -1,0 +1,318 @@
+"""Each operator against a plain version, over every odd case, and on empty tables."""
+
+from __future__ import annotations
+
+import math
+import random
+import string
+import sys
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import brute  # noqa: E402
+
+from tiermill.llm import leaks, licenses, mixing, neardup, pii, quality, rindex, substring, tokens, warc  # noqa: E402
+from tiermill.llm import textbatch as tb  # noqa: E402
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_long_matches(frame, corpus):
+    got = rindex.remove_repeats(frame(corpus)).withColumn("kept", F.sha2("kept", 256)).collect()
+    assert brute.counted(got) == brute.counted(brute.long_matches(corpus, 200))
+
+
+def test_long_matches_of_busy_anchors(frame, corpus, monkeypatch):
+    """With almost every anchor over the limit, windows are counted by their own hashes."""
+    monkeypatch.setattr(rindex, "BUSY", 1)
+    rows = corpus + [(100 + i, corpus[13][1] + f" {i} " + corpus[11][1][i:]) for i in range(6)]
+    got = rindex.remove_repeats(frame(rows), length=60).withColumn("kept", F.sha2("kept", 256)).collect()
+    assert brute.counted(got) == brute.counted(brute.long_matches(rows, 60))
+
+
+def test_matching_statistics():
+    draw = random.Random(1)
+    for _ in range(120):
+        pieces = [bytes(draw.choice(b"ab") for _ in range(draw.randrange(12))) for _ in range(draw.randrange(1, 7))]
+        pieces.append(pieces[0])
+        text = np.frombuffer(b"".join(pieces), np.uint8)
+        suffixes = [p[i:] for p in pieces for i in range(len(p))]
+
+        def common(a, b):
+            return next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+
+        want = [max((common(s, t) for j, t in enumerate(suffixes) if j != i), default=0) for i, s in enumerate(suffixes)]
+        assert rindex.matching_statistics(text, np.append(0, np.cumsum([len(p) for p in pieces]))).tolist() == want
+
+
+@pytest.mark.parametrize("window", [35, 6])
+def test_word_repeats(frame, corpus, window):
+    got = substring.remove_repeats(frame(corpus), window=window)
+    got = got.withColumn("kept_text", F.sha2("kept_text", 256)).collect()
+    assert brute.counted(got) == brute.counted(brute.word_repeats(corpus, window))
+
+
+def test_near_duplicates(frame, corpus):
+    assert brute.counted(neardup.link(frame(corpus)).collect()) == brute.counted(brute.near_duplicates(corpus))
+
+
+def test_near_duplicates_around_the_threshold(frame):
+    """Chains of copies that are linked only through one another, and pairs just under the limit."""
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, base = [], [draw.choice(vocabulary) for _ in range(120)]
+    for i in range(90):
+        text = base[:]
+        for _ in range(draw.randrange(0, 6)):
+            text[draw.randrange(len(text))] = draw.choice(vocabulary)
+        rows.append((1000 - i, " ".join(text)))
+        if i % 10 == 9:
+            base = text
+    assert brute.counted(neardup.link(frame(rows)).collect()) == brute.counted(brute.near_duplicates(rows))
+
+
+def test_sketch_estimates_similarity():
+    draw = np.random.default_rng(3)
+    a = draw.integers(0, 1 << 52, 300).astype(np.uint64)
+    b = np.concatenate([a[:200], draw.integers(0, 1 << 52, 100).astype(np.uint64)])
+    doc = np.repeat([0, 1, 2], [300, 300, 1])
+    rows = neardup.sketches(doc, np.concatenate([a, b, a[:1]]), 3, 2000)
+    assert (rows != neardup._UNFILLED).all()
+    assert abs((rows[0] == rows[1]).mean() - 0.5) < 0.06
+
+
+def test_quality_counts(frame, corpus):
+    got = quality.judge(frame(corpus))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert brute.counted(got.select(names).collect()) == brute.counted(brute.quality(corpus))
+    assert not got.filter("kept and base_failed").count()
+    assert set(frame(corpus).columns) <= set(got.columns)
+
+
+def test_quality_rules(frame):
+    good = " ".join("the quick brown fox is over a lazy dog and so on".split() + [f"word{c}" for c in string.ascii_letters])
+    rows = [(1, good), (2, good.replace("word", "### $$ ")), (3, " ".join(f"zz{c}{d}" for c in "abcdefghij" for d in "abcdefghijkl"))]
+    verdicts = dict(quality.judge(frame(rows)).select("doc_id", "kept").collect())
+    assert verdicts == {1: True, 2: False, 3: False}
+
+
+def test_token_counts(frame, corpus):
+    rows = corpus + [(50, "a<|endoftext|>b  <|endoftext|>"), (51, "don't I'LL \u0085 x² ½ \U0001f642\U0001f642 日本語 \r\n\n z")]
+    encoded = Tokenizer.from_file(VOCABULARY).encode_batch([t or "" for _, t in rows], add_special_tokens=False)
+    want = [(i, len((t or "").encode()), len(e.ids), len(e.ids) > 1024) for (i, t), e in zip(rows, encoded)]
+    for common in (tokens.COMMON, 5):
+        assert brute.counted(tokens.count_tokens(frame(rows), VOCABULARY, common=common).collect()) == brute.counted(want)
+
+
+PRIVATE = [
+    "mail bob.smith@mail1.example.com now", "a@b.c@d.e x@y", "10.20.30.40 and 1.2.3.4.5.6.7.8 and 256.1.1.1", "4012888888881881 or 4012 8888-8888 1881",
+    "+1 (578) 555-6437 4918187128635271", "call +49 30 1234567.", 'the token = "97ffa88d7c5f5655e365004e29bd123c" here', "version 3.0 of 2024", "",
+]
+
+
+def test_rules_for_personal_data():
+    draw = random.Random(5)
+    texts = PRIVATE + ["".join(draw.choice("a1.@+- (9é05\n4x٣") for _ in range(draw.randrange(60))) for _ in range(5000)]
+    for text in texts:
+        assert pii.base_spans(text) == brute.personal(text)
+
+
+def _labelled_regions(seed, n):
+    draw = random.Random(seed)
+    out = []
+    for _ in range(n):
+        name = "".join(draw.choice(string.ascii_lowercase) for _ in range(6))
+        digits = "4" + "".join(draw.choice(string.digits) for _ in range(14))
+        digits += next(d for d in string.digits if brute.luhn(digits + d))
+        value = draw.choice([
+            f"{name}.{draw.randrange(99)}@mail{draw.randrange(9)}.example.com", ".".join(str(draw.randrange(1, 255)) for _ in range(4)), digits,
+            f"+1 ({draw.randrange(200, 999)}) 555-{draw.randrange(1000, 9999)}", f"version {draw.randrange(9)}.0", f"{draw.randrange(2000)} pages",
+        ])
+        filler = ["".join(draw.choice("aeioulrstn") for _ in range(draw.randint(2, 8))) for _ in range(8)]
+        text = " ".join([*filler[:4], value, *filler[4:]])
+        out.append((text, pii.labelled(text)))
+    return out
+
+
+def test_model_on_held_out_regions():
+    model = pii.fit(_labelled_regions(1, 150), rounds=6)
+    right = wanted = found = 0
+    for text, spans in _labelled_regions(2, 150):
+        got = model.decode(text, pii.tokens(text, 0, len(text)))
+        right, wanted, found = right + len(set(got) & set(spans)), wanted + len(spans), found + len(got)
+    assert right >= 0.95 * wanted and right >= 0.95 * found
+
+
+def test_personal_data_of_documents(frame, corpus):
+    rows = corpus + [(200 + i, t) for i, t in enumerate(PRIVATE)]
+    model = pii.fit(_labelled_regions(1, 60), rounds=3)
+    got = pii.find_spans(frame(rows), model).collect()
+    want = brute.counted((i, tuple((a, pii.KINDS[k], z) for a, k, z in brute.personal(t))) for i, t in rows)
+    assert brute.counted((r.doc_id, tuple(map(tuple, r.base))) for r in got) == want
+    assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in got)
+    masked = {r.doc_id: r.text for r in pii.mask(frame(rows), model).collect()}
+    assert masked[200] == "mail [EMAIL] now" and masked[0] is None and masked[6] == dict(rows)[6]
+
+
+def test_training_on_documents(frame):
+    model = pii.train(frame([(i, t + " " + str(i)) for i, t in enumerate(PRIVATE)]))
+    assert model.names
+    assert pii.train(frame([])).names == {}
+
+
+ITEMS = [(1, "what is the name of the large red planet near the sun", "it is called mars by most people here"), (2, "", ""), (3, None, None),
+         (4, "alpha beta gamma delta epsilon zeta eta theta iota kappa", ""), (1, "what is the name of the large red planet near the sun", "it is called mars by most people here")]
+
+
+def test_leaks(spark, frame, corpus):
+    items = spark.createDataFrame(ITEMS, "item_id long, question string, answer string")
+    planted = f"{ITEMS[0][1]} {ITEMS[0][2]}"
+    rows = corpus + [
+        (300, "before " * 90 + planted.upper().replace(" NAME", ", *name*") + " after"), (301, ITEMS[0][1] + " and no answer at all"),
+        (302, planted.replace("mars", "venus").replace("large", "small")), (303, ITEMS[3][1]),
+    ]
+    got = leaks.find_leaks(frame(rows), items)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(300, 1), (300, 1), (303, 4)]
+    kept = leaks.drop_leaks(frame(rows), items)
+    assert kept.columns == frame(rows).columns
+    assert brute.counted(kept.select("doc_id", "text").collect()) == brute.counted(r for r in rows if r[0] not in (300, 303))
+
+
+def test_pruned_search_equals_plain_scores():
+    draw = random.Random(4)
+    vocabulary = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randrange(3, 20))), "") for i in range(40)]
+    lists = [leaks._hashes(q) for _, q, _ in rows]
+    share = Counter(int(t) for x in lists for t in set(x.tolist()))
+    mean = sum(map(len, lists)) / len(lists)
+    index = leaks.Index(rows, share, len(rows), mean)
+    text = leaks._hashes(" ".join(draw.choice(vocabulary) for _ in range(500)))
+    got = Counter(zip(*(x.tolist() for x in index.search(index.term_numbers(text), np.array([0, len(text)]), 0.4)[:2])))
+    want = Counter()
+    for start in range(0, 437, 64):
+        own = set(text[start : start + 128].tolist())
+        for i, terms in enumerate(lists):
+            n = Counter(terms.tolist())
+            impact = {
+                t: math.log(1 + (len(rows) - share[t] + 0.5) / (share[t] + 0.5)) * k * 2.2 / (k + 1.2 * (0.25 + 0.75 * len(terms) / mean))
+                for t, k in n.items()
+            }
+            want[0, i] += sum(v for t, v in impact.items() if t in own) >= 0.4 * sum(impact.values())
+    assert got == +want
+
+
+def test_licenses(frame, corpus):
+    draw = random.Random(2)
+    rows = list(corpus)
+    for i in range(60):
+        notice = draw.choice(list(licenses.TEMPLATES.values())).split()
+        for _ in range(draw.randrange(3)):
+            notice[draw.randrange(len(notice))] = "x"
+        filler = (corpus[14][1] or "").split()
+        rows.append((400 + i, " ".join(filler[i : i + 50] + notice + filler[i : 2 * i])))
+    table = str.maketrans({c: " " for c in string.punctuation})
+    wanted = {}
+    for name, body in licenses.TEMPLATES.items():
+        w = brute.lower(body).translate(table).split()
+        wanted[name] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    want = Counter()
+    for i, text in rows:
+        w = brute.words(brute.lower(text).translate(table))
+        own = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        for name, shingles in wanted.items():
+            size = 1 << (len(shingles).bit_length() - 1)
+            windows = range(0, max(1, max(3, -(-len(own) // size)) - 2)) if own else ()
+            best = max((100.0 * len(set(own[k * size : (k + 3) * size]) & shingles) / len(shingles) for k in windows), default=0)
+            want[i, name, best] += best >= 75
+    got = licenses.find_licenses(frame(rows)).select("doc_id", "template", "containment").collect()
+    assert brute.counted(got) == +want
+
+
+def test_short_template_is_refused():
+    with pytest.raises(ValueError):
+        licenses.groups({"x": "only four words here"})
+
+
+def test_mix_follows_rates(spark, frame):
+    rows = [(i, "x" * (10 + i % 7)) for i in range(3000) if i % 3 or i % 6 == 0]
+    weights = spark.createDataFrame([("s0", 3.0), ("s1", 1.0), ("none", 9.0)], "source string, weight double")
+    got = mixing.replicate(frame(rows), weights)
+    assert set(frame(rows).columns) <= set(got.columns)
+    by = {r.source: r for r in got.groupBy("source").agg(F.sum(F.length("text")).alias("c"), F.countDistinct("shuffle_key").alias("k"), F.count("*").alias("n")).collect()}
+    assert set(by) == {"s0", "s1"}  # a source without a weight is left out
+    assert abs(by["s0"].c / by["s1"].c - 3) < 0.4
+    assert all(r.k == r.n for r in by.values())
+    assert brute.counted(got.collect()) == brute.counted(mixing.replicate(frame(rows, 5), weights).collect())
+
+
+def test_mix_of_large_means_and_odd_rows(spark, frame, corpus):
+    weights = spark.createDataFrame([("s0", 1.0)], "source string, weight double")
+    one = mixing.replicate(frame([(3, "abc"), *[(3 * i + 1, "y" * 60) for i in range(100)]]), weights)
+    assert 1700 < one.count() < 2300  # mean 2003 / 3 characters: several parts are added up
+    assert mixing.replicate(frame(corpus)).filter("source is null").select("n_copies").distinct().count() <= 1
+
+
+RECORDS = [
+    (1, "https://www.A.org/x/?utm_source=f#top", 10, 200, {"ETag": '"0"', "Content-Type": "html", "Etag": '"1"'}, "d1"),
+    (2, "http://a.org/x", 20, 304, {"etag": 'W/"1"', "Date": "now", "Content-Type": "no"}, None),
+    (3, "http://a.org/x", 5, 304, None, None),
+    (4, "http://a.org/x", 30, 304, {"ETag": '"9"'}, None),
+    (5, "http://a.org/x", 30, 200, {"Last-Modified": "m"}, "d5"),
+    (6, "http://a.org/x", 40, 304, {"ETag": '"9"', "Last-Modified": "m"}, None),
+    (7, "http://a.org/x", 50, 304, {}, None),
+    (7, "http://a.org/x", 50, 304, {}, None),
+    (8, None, 1, 200, None, "d8"),
+    (9, None, 2, 304, None, "other"),
+    (10, "http://b.org/x", None, 304, None, None),
+    (11, "http://a.org/x", 60, 404, {}, "d11"),
+]
+
+
+@pytest.mark.parametrize("slices", [1, 2, 50])
+def test_revisits(spark, slices):
+    schema = "record_id long, url string, fetched_at long, status int, headers map<string,string>, digest string, slice string, key string"
+    records = spark.createDataFrame([(*r, "a", "b") for r in RECORDS], schema)
+    got = warc.resolve_revisits(records, slices).collect()
+    seen = {(r.record_id, r.response_id, r.resolution) for r in got}
+    assert seen == {(2, 1, "match"), (3, None, "no_response"), (4, 1, "mismatch"), (6, 5, "match"), (7, 5, "unchecked"), (9, 8, "mismatch"), (10, None, "no_response")}
+    assert len(got) == 8
+    merged = next(r.headers for r in got if r.record_id == 2)
+    assert merged == {"etag": 'W/"1"', "content-type": "html", "date": "now"}
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        rindex.remove_repeats, substring.remove_repeats, neardup.link, quality.judge, pii.find_spans, licenses.find_licenses, mixing.replicate,
+        lambda d: tokens.count_tokens(d, VOCABULARY),
+        lambda d: leaks.find_leaks(d, d.sparkSession.createDataFrame([], "item_id long, question string, answer string")),
+    ],
+)
+def test_empty_tables(frame, run):
+    assert run(frame([])).collect() == []
+
+
+def test_empty_archive(spark):
+    schema = "record_id long, url string, fetched_at long, status int, headers map<string,string>, digest string"
+    assert warc.resolve_revisits(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_chunks_of_sliced_columns():
+    texts = ["a b", None, "", "c  d e", "ü ü"] * 50
+    column = pa.array(["skip", *texts]).slice(1)
+    seen = []
+    for _, data, offsets in tb.chunks(column, 40):
+        start, end, doc = tb.words(data, offsets)
+        raw = data.tobytes()
+        for k in range(len(offsets) - 1):
+            seen.append([raw[a:z].decode() for a, z, d in zip(start, end, doc) if d == k])
+    assert seen == [(t or "").split() for t in texts]

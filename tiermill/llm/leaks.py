@@ -45,11 +45,6 @@ PLAIN = tb.LOWER.copy()
 PLAIN[[ord(c) for c in string.punctuation]] = 0x20
 
 
-def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges, one range after another."""
-    return np.repeat(start - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-
-
 def _hashes(text: str) -> np.ndarray:
     data = PLAIN[np.frombuffer(text.encode(), np.uint8)]
     start, end, _ = tb.words(data, np.array([0, len(data)]))
@@ -113,7 +108,7 @@ class Index:
         sizes, step = np.diff(first), PASSAGE // 2
         many = np.where(sizes > 0, np.maximum(1, -(-(sizes - step) // step)), 0)
         text = np.repeat(np.arange(len(sizes)), many)
-        start = first[text] + step * _ranges(np.zeros(len(many), np.int64), many)
+        start = first[text] + step * tb.ranges(np.zeros(len(many), np.int64), many)
         end = np.minimum(start + PASSAGE, first[text + 1])
         bound = np.zeros(len(terms) + 1)
         np.cumsum(np.where(terms >= 0, self.most[terms], 0.0) if len(self.most) else np.zeros(len(terms)), out=bound[1:])
@@ -121,7 +116,7 @@ class Index:
         if not len(alive):
             return none
         size = end[alive] - start[alive]
-        own = terms[_ranges(start[alive], size)]
+        own = terms[tb.ranges(start[alive], size)]
         passage = np.repeat(np.arange(len(alive)), size)[own >= 0]
         pairs = np.unique(passage * len(self.terms) + own[own >= 0])
         passage, own = pairs // len(self.terms), pairs % len(self.terms)
@@ -129,14 +124,14 @@ class Index:
         keep = again[passage]
         passage, own = passage[keep], own[keep]
         blocks = self.term_first[own + 1] - self.term_first[own]
-        entry = _ranges(self.term_first[own], blocks)
+        entry = tb.ranges(self.term_first[own], blocks)
         total = int(self.block.max()) + 1 if len(self.block) else 1
         where = np.repeat(passage, blocks) * total + self.block[entry]
         names, place = np.unique(where, return_inverse=True)
         live = (np.bincount(place, self.block_most[entry]) >= low)[place]
         where, entry = where[live], entry[live]
         count = self.block_first[entry + 1] - self.block_first[entry]
-        posting = _ranges(self.block_first[entry], count)
+        posting = tb.ranges(self.block_first[entry], count)
         found = np.repeat(where // total, count) * len(self.items) + self.item[posting]
         names, place = np.unique(found, return_inverse=True)
         scores = np.bincount(place, self.impact[posting]) if len(names) else np.zeros(0)

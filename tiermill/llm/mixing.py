@@ -79,18 +79,19 @@ def replicate(
     it a source weighs its characters to the power ``exponent``. ``scale`` is the size of the
     result relative to the input.
     """
-    docs = docs.drop("copy", "n_copies", "shuffle_key", "_source", "_rate")
+    docs = docs.drop("copy", "n_copies", "shuffle_key")
+    name = next(f"_source{i}" for i in range(len(docs.columns) + 1) if not {f"_source{i}", f"_source{i}_rate"} & {*docs.columns})
     rates = freeze(source_rates(docs, source, text, weights, exponent, scale))
-    named = rates.select("_source", F.struct("parts", "cdf").alias("_rate"))
+    named = rates.select(F.col("_source").alias(name), F.struct("parts", "cdf").alias(f"{name}_rate"))
     drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("_rate.parts")),
+        F.sequence(F.lit(1), F.col(f"{name}_rate.parts")),
         F.lit(0),
-        lambda n, part: n + F.size(F.filter("_rate.cdf", lambda c: c <= uniform(seed, F.col(doc_id), part))),
+        lambda n, part: n + F.size(F.filter(f"{name}_rate.cdf", lambda c: c <= uniform(seed, F.col(doc_id), part))),
     )
     return (
-        docs.join(named, F.col(source).eqNullSafe(F.col("_source")))
+        docs.join(named, F.col(source).eqNullSafe(F.col(name)))
         .withColumn("n_copies", drawn.cast("long"))
-        .drop("_source", "_rate")
+        .drop(name, f"{name}_rate")
         .filter("n_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
         .withColumn(

@@ -6,8 +6,8 @@ space and U+0009 to U+000D.
 
 Defined results: a null or empty text has no words, all counts are 0 and it fails the
 base rules. Repeated rows are judged one by one, each the same. Input columns other than
-the text pass through unread; a name that an added column also has is taken over by the
-added column.
+the text pass through unread; a column named like an added one is replaced by it, and the
+names ``_words``, ``_lines`` and ``_digests`` are used in between and dropped.
 """
 
 from __future__ import annotations

@@ -40,6 +40,8 @@ BUSY = 4096
 #: two ranks and a position fit into one number to sort.
 BLOCK = 1 << 20
 _IDX = 21
+#: Bits of a table that tells most windows apart from the repeated ones.
+_FILTER = 1 << 20
 
 _SAID = pa.schema([("slice", pa.int32()), ("g", pa.int32()), ("anchors", pa.binary()), ("pieces", pa.binary()), ("counts", pa.binary())])
 _ASKED = pa.schema([("g", pa.int32()), ("anchors", pa.binary()), ("pieces", pa.binary()), ("weights", pa.binary())])
@@ -204,18 +206,19 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
             cut = Cut(data, offsets, length)
             place = np.searchsorted(wanted, cut.pieces)
             place[place == len(wanted)] = 0
-            at = np.flatnonzero((wanted[place] == cut.pieces) & ~done[place])
+            asked_for = wanted[place] == cut.pieces
+            light = np.flatnonzero(asked_for & (weights[place] == 0))
+            at = np.flatnonzero(asked_for & (weights[place] > 0) & ~done[place])
             _, once = np.unique(place[at], return_index=True)
             at = at[once]
             done[place[at]] = True
-            light = weights[place[at]] == 0
-            for i in at[~light]:
+            for i in at:
                 bodies.append(data[cut.first[i] : cut.first[i] + cut.count[i] + length - 1].tobytes())
-            anchors.append(cut.anchors[at[~light]])
-            pieces.append(cut.pieces[at[~light]])
-            weight.append(weights[place[at[~light]]])
-            if light.any():
-                windows.append(_busy_windows(cut, at[light], data, length))
+            anchors.append(cut.anchors[at])
+            pieces.append(cut.pieces[at])
+            weight.append(weights[place[at]])
+            if len(light):
+                windows.append(_busy_windows(cut, light, data, length))
         g, rows = own["g"][0].as_py(), []
         anchors, pieces, weight = np.concatenate(anchors), np.concatenate(pieces), np.concatenate(weight)
         for number, at in exchange.by_slice(anchors, slices):
@@ -270,6 +273,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         order = np.argsort(names, kind="stable")
         names, spans = names[order], spans[order].astype(np.int64)
         hashed = _count_rows(hashed)[0]
+        filtered = np.zeros(_FILTER, bool)
+        filtered[(hashed[:, 0] & np.uint64(_FILTER - 1)).astype(np.int64)] = True
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for _, data, offsets in tb.chunks(own["text"]):
             steps = np.zeros(len(data) + 1, np.int64)
@@ -278,13 +283,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
                 low, high = np.searchsorted(names, cut.pieces, "left"), np.searchsorted(names, cut.pieces, "right")
                 has = np.flatnonzero(high > low)
                 many = high[has] - low[has]
-                row = np.repeat(low[has] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
+                row = tb.ranges(low[has], many)
                 base = np.repeat(cut.first[has], many)
                 np.add.at(steps, base + spans[row, 0], 1)
                 np.add.at(steps, base + spans[row, 1] + length - 1, -1)
                 if len(hashed):
-                    found = _busy_windows(cut, np.arange(len(cut.first)), data, length)
-                    hit = found[_rows_in(found[:, :2], hashed), 2].astype(np.int64)
+                    first = tb.ranges(cut.first, cut.count)
+                    hashes = tb.mix(cut.sums.of(first, first + length), 5)
+                    maybe = np.flatnonzero(filtered[(hashes & np.uint64(_FILTER - 1)).astype(np.int64)])
+                    first, hashes = first[maybe], hashes[maybe]
+                    second = tb.mix(tb.byte_sums(data, 4).of(first, first + length), 6)
+                    hit = first[tb.rows_in(np.stack([hashes, second], axis=1), hashed)]
                     np.add.at(steps, hit, 1)
                     np.add.at(steps, hit + length, -1)
             gone = np.cumsum(steps[:-1]) > 0
@@ -312,7 +321,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
 def _busy_windows(cut: Cut, at: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
     """Two hashes and the first byte of every window of the given pieces."""
     count = cut.count[at]
-    first = np.repeat(cut.first[at] - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+    first = tb.ranges(cut.first[at], count)
     second = tb.byte_sums(data, 4)
     return np.stack([tb.mix(cut.sums.of(first, first + length), 5), tb.mix(second.of(first, first + length), 6), first.astype(np.uint64)], axis=1)
 
@@ -326,20 +335,6 @@ def _count_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[first], np.diff(np.append(first, len(rows)))
 
 
-def _rows_in(rows: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which rows are among the known ones."""
-    names = np.concatenate([known, rows])
-    order = np.lexsort((names[:, 1], names[:, 0]))
-    ranked = names[order]
-    new = np.ones(len(ranked), bool)
-    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
-    label = np.empty(len(names), np.int64)
-    label[order] = np.cumsum(new) - 1
-    present = np.zeros(len(names), bool)
-    present[label[: len(known)]] = True
-    return present[label[len(known) :]]
-
-
 def _count_windows(light: pa.Table) -> list[tuple]:
     """For each group the windows among its own that occur twice or more."""
     if not light.num_rows:

@@ -123,8 +123,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
             for known, cells in zip(over, _cells(anchors, slices, width)):
                 twice &= tb.isin(cells, known)
             if twice.any():
-                chosen = np.repeat(first[twice] - np.append(0, np.cumsum(count[twice])[:-1]), count[twice])
-                found.append(_window_hashes(hashes, window)[chosen + np.arange(len(chosen))])
+                found.append(_window_hashes(hashes, window)[tb.ranges(first[twice], count[twice])])
         distinct, count = _distinct(np.concatenate(found))
         g = own["g"][0].as_py()
         rows = [
@@ -151,9 +150,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
 
     def cut(own: pa.Table, repeated: pa.Table) -> pa.Table:
         known = _distinct(exchange.joined(repeated["hashes"], np.uint64).reshape(-1, 2))[0]
-        firsts, seconds = known[:, 0], known[:, 1]
         maybe = np.zeros(1 << 20, bool)
-        maybe[(firsts & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        maybe[(known[:, 0] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         n_words, n_removed, kept = [], [], []
         for _, data, offsets in tb.chunks(own["text"]):
             doc, hashes, valid = _word_windows(data, offsets, window)
@@ -161,17 +159,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
             if len(known) and valid.any():
                 both = _window_hashes(hashes, window)
                 at = np.flatnonzero(valid & maybe[(both[:, 0] & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                place = np.minimum(np.searchsorted(firsts, both[at, 0]), len(firsts) - 1)
-                hit = np.zeros(len(at), bool)
-                while True:  # several second hashes under one first one are next to each other
-                    same = (firsts[place] == both[at, 0]) & ~hit
-                    hit |= same & (seconds[place] == both[at, 1])
-                    place = np.where(same & ~hit, place + 1, place)
-                    more = same & ~hit & (place < len(firsts))
-                    place = np.minimum(place, len(firsts) - 1)
-                    if not more.any():
-                        break
-                gone = tb.covered(at[hit], window, len(doc))
+                gone = tb.covered(at[tb.rows_in(both[at], known)], window, len(doc))
             cuts = np.searchsorted(doc, np.arange(len(offsets)))
             raw = data.tobytes()
             for row in range(len(offsets) - 1):

@@ -171,3 +171,24 @@ def isin(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     at = np.searchsorted(known, values)
     at[at == len(known)] = 0
     return known[at] == values
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after another."""
+    return np.repeat(start - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
+
+
+def rows_in(rows: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which rows of two numbers are among the known ones, which are sorted by both."""
+    hit = np.zeros(len(rows), bool)
+    if not len(known):
+        return hit
+    place = np.searchsorted(known[:, 0], rows[:, 0])
+    open_ = np.flatnonzero(place < len(known))
+    while len(open_):  # a second turn only where several second numbers follow one first number
+        at = place[open_]
+        same = known[at, 0] == rows[open_, 0]
+        hit[open_] = same & (known[at, 1] == rows[open_, 1])
+        open_ = open_[same & ~hit[open_] & (at + 1 < len(known))]
+        place[open_] += 1
+    return hit

@@ -43,6 +43,8 @@ def canonical_url(url: Column) -> Column:
 
 def _time_slices(records: DataFrame, time: str, slices: int) -> Column:
     """Slice number of a time; the cuts are at most ``slices`` numbers."""
+    if slices < 2:
+        return F.lit(0)
     found = records.select(F.col(time).cast("double").alias("t")).approxQuantile(
         ["t"], [i / slices for i in range(1, slices)], 0.001
     )[0]
