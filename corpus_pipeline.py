@@ -21,16 +21,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group; of rows that repeat its id, one."""
+    """The document with the least id of each group; of rows that repeat its id, one.
+
+    A row without an id goes if a row with one is in its group, and stays otherwise.
+    """
     gone = neardup.link(docs).filter("not kept").select("doc_id").distinct()
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    again, found = freeze_counted(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    again, found = freeze_counted(docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"))
     if not found:
         return kept
     # Only rows whose id occurs more than once are compared with each other.
-    same = kept["doc_id"].eqNullSafe(again["doc_id"])
-    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, same, "left_anti").unionByName(once)
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(once)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
