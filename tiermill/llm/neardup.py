@@ -10,15 +10,16 @@ coordinates estimates the similarity with concentration bounds like those of ind
 minima. Documents of similarity 0.75 miss all bands with a probability under 3e-7.
 
 Equal sets are one class before any pairing. Classes that share a band are candidates; no
-bucket is ever expanded into its pairs. In rounds, a bucket's first classes are its pivots,
-and pivots are compared with those members that are not yet in the same component, so a
-large group of near copies costs about one comparison per member. Later rounds take more
-pivots of those buckets that still hold several components, until every bucket is one
-component or all its pairs across components have been compared: no link between different
-texts is lost that a band shows. Comparisons intersect the full sets.
+pair of a bucket is ever a row. First each class is compared with one hub, of those buckets
+it is in the class met most often, which links most near copies at one comparison each.
+Buckets that then still hold several components are resolved exactly: their classes go to
+groups of bounded size (what hangs together by open buckets, else one bucket, else pairs of
+blocks of it), and a task compares each class outside its largest component with all of the
+group in one pass over their sets. So no link between different texts is lost that a band
+shows. All comparisons are on full sets.
 
 Components come from rounds of large-star and small-star steps over linked classes, every
-round in a written table. Hot buckets: least members and pivots are limited in every task
+round in a written table. Hot buckets: counts and hubs are combined in every task
 before they are shuffled, and joins on a bucket can be split by adaptive execution.
 
 Defined results: null texts and texts without words have no shingle, link with nothing and
@@ -34,15 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tiermill.llm import textbatch as tb
 from tiermill.session import freeze, freeze_counted
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
-#: Pivots of a bucket up to each round; after the last it goes on in steps of the last.
-PIVOTS = (1, 8, 64, 512)
+#: Bounds of a group of classes that one task compares with each other.
+CLASSES, SHINGLES = 4096, 2_000_000
 _ID_BITS = np.uint64(52)
 _UNFILLED = np.uint64(2**64 - 1)
 
@@ -118,22 +118,36 @@ def _sign(batches):
         )
 
 
+#: Bytes of shingle sets that a task keeps at hand.
+KEEP = 48 << 20
+
+
 def _compare(batches):
-    """Pairs whose sets have the needed similarity; neighbouring rows often have the same pivot."""
-    last, known = None, None
+    """Pairs whose sets have the needed similarity; sets met again in the task are kept while they fit."""
+    sets: dict[str, np.ndarray] = {}
+    room = KEEP
 
     def one(text: str) -> np.ndarray:
-        raw = np.frombuffer(text.encode(), np.uint8)
-        return shingle_sets(raw, np.array([0, len(raw)]))[1]
+        nonlocal room
+        known = sets.get(text)
+        if known is None:
+            raw = np.frombuffer(text.encode(), np.uint8)
+            known = shingle_sets(raw, np.array([0, len(raw)]))[1]
+            room -= known.nbytes + 2 * len(text)
+            if room < 0:
+                sets.clear()
+                room = KEEP
+            sets[text] = known
+        return known
 
     for batch in batches:
         keep = []
-        for pivot, left, right, percent in zip(*(batch.column(n).to_pylist() for n in ("pivot", "pivot_text", "text", "percent"))):
-            if pivot != last:
-                last, known = pivot, one(left)
-            other = one(right)
-            shared = len(np.intersect1d(known, other, assume_unique=True))
-            keep.append(100 * shared >= percent * (len(known) + len(other) - shared))
+        for left, right, percent in zip(*(batch.column(n).to_pylist() for n in ("pivot_text", "text", "percent"))):
+            a, b = one(left), one(right)
+            if len(a) > len(b):
+                a, b = b, a
+            shared = int(tb.isin(a, b).sum())
+            keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
         yield batch.filter(pa.array(keep, pa.bool_())).select(["pivot", "node"])
 
 
@@ -162,6 +176,67 @@ def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(several.select("key"), "key", "left_semi")
 
 
+def _units(open_: DataFrame) -> DataFrame:
+    """Groups of classes to be compared with each other in one task each: ``kind, unit, i, j, node, root``.
+
+    A unit is all that hangs together by open buckets, if that is small, or else one bucket;
+    a bucket over the bounds is cut into blocks, and every pair of blocks is a group.
+    """
+    star = open_.select(F.col("node").alias("a"), "key").join(open_.groupBy("key").agg(F.min("node").alias("b")), "key")
+    clusters = components(star.select("a", "b")).withColumnRenamed("root", "cluster")
+    classes = open_.groupBy("node").agg(F.max("n").alias("n"), F.min("root").alias("root")).join(clusters, "node", "left")
+    classes = freeze(classes.withColumn("cluster", F.coalesce("cluster", "node")))
+    size = [F.count("*").alias("classes"), F.sum("n").alias("shingles")]
+    small = classes.groupBy("cluster").agg(*size).filter((F.col("classes") <= CLASSES) & (F.col("shingles") <= SHINGLES)).select("cluster")
+    whole = classes.join(small, "cluster", "left_semi").select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "node", "n", "root")
+    large = classes.join(small, "cluster", "left_anti").select("node")
+    parts = open_.join(large, "node", "left_semi").select(F.lit(1).alias("kind"), F.col("key").alias("unit"), "node", "n", "root")
+    units = freeze(whole.unionByName(parts))
+    blocks = F.greatest(F.ceil(F.col("classes") / CLASSES), F.ceil(F.col("shingles") / SHINGLES)).cast("int")
+    cut = units.groupBy("kind", "unit").agg(*size).select("kind", "unit", blocks.alias("blocks"))
+    placed = units.join(cut, ["kind", "unit"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.select("kind", "unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "root")
+
+
+def _linker(percent: int):
+    """Links between components among the classes of a group, as many as connect what belongs together.
+
+    Every class outside the largest component is compared with all others at once: its
+    shingles are flagged, and the flags are counted over the sets of all.
+    """
+
+    def step(group: pa.Table) -> pa.Table:
+        node = group["node"].to_numpy()
+        _, label = np.unique(group["root"].to_numpy(), return_inverse=True)
+        owner, hashes = [], []
+        for first, data, offsets in _small_chunks(group["text"]):
+            doc, own = shingle_sets(data, offsets)
+            owner.append(doc + first)
+            hashes.append(own)
+        owner = np.concatenate(owner)
+        known, number = np.unique(np.concatenate(hashes), return_inverse=True)
+        bounds = np.searchsorted(owner, np.arange(len(node) + 1))
+        sizes = np.diff(bounds)
+        flags, largest, found = np.zeros(len(known), bool), np.bincount(label).argmax(), []
+        for p in np.flatnonzero(label != largest):
+            if label[p] == largest:
+                continue
+            own = number[bounds[p] : bounds[p + 1]]
+            flags[own] = True
+            shared = np.add.reduceat(flags[number], bounds[:-1], dtype=np.int64)
+            flags[own] = False
+            for q in np.flatnonzero((100 * shared >= percent * (sizes[p] + sizes - shared)) & (label != label[p])):
+                if label[q] != label[p]:
+                    found.append((node[p], node[q]))
+                    old, new = (label[p], label[q]) if label[q] == largest else (label[q], label[p])
+                    label[label == old] = new
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return step
+
+
 def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id`` and ``kept``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -177,13 +252,17 @@ def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     )
     classes = freeze(classes)
     banded = classes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).filter("members > 1")
-    members = freeze(banded.join(shared.select("key", "hub"), "key"))
+    shared = banded.groupBy("key").agg((F.count("*") - 1).alias("others")).filter("others > 0")
+    met = freeze(banded.join(shared, "key"))
+    # The classes met most often are in the middle of their group and compared first.
+    weight = met.groupBy("node").agg(F.sum("others").alias("weight"))
+    members = freeze(met.drop("others").join(weight, "node"))
+    hubs = members.groupBy("key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"))
 
     candidates = members.select("node").distinct()
     texts = rows.join(candidates.withColumnRenamed("node", "id"), "id").select(F.col("id").alias("node"), "text")
-    texts = freeze(texts.unionByName(_unnamed_texts(rows, classes, candidates)))
-    sizes = members.select("key", "node", "n")
+    texts = texts.unionByName(_unnamed_texts(rows, classes, candidates))
+    texts = freeze(texts.filter(F.col("text").rlike("[^\\x20\\x09-\\x0D]")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
@@ -195,32 +274,15 @@ def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
         return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
 
     # First the hub that shares most bands with a class, among those of a possible size.
-    hub_sizes = sizes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")).distinct()
-    stars = members.filter("node <> hub").groupBy("node", "hub", "n").agg(F.count("*").alias("bands"))
+    hub_sizes = members.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")).distinct()
+    stars = members.join(hubs, "key").filter("node <> hub").groupBy("node", "hub", "n").agg(F.count("*").alias("bands"))
     stars = stars.join(hub_sizes, "hub").filter(near("n", "hub_n"))
     best = stars.groupBy("node").agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("pivot"))
-    tested = freeze(best.select("pivot", "node"))
-    roots = components(verified(tested))
-    done = 0
-    for upto in _steps():
-        left, open_ = freeze_counted(_unresolved(sizes, roots))
-        if not open_:
-            break
-        order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-        pivots = left.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= upto)
-        pivots = pivots.filter(F.col("turn") > done).select(
-            "key", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root")
-        )
-        pairs = left.join(pivots, "key").filter((F.col("root") != F.col("pivot_root")) & near("n", "pivot_n"))
-        pairs = pairs.select(F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node")).distinct()
-        before = tested.select(F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node"))
-        pairs, found = freeze_counted(pairs.join(before, ["pivot", "node"], "left_anti"))
-        if found:
-            tested = tested.unionByName(pairs)
-            roots = components(verified(pairs).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        # A bucket of fewer members than pivots has had all its pairs compared.
-        sizes = freeze(left.join(left.groupBy("key").count().filter(F.col("count") > upto).select("key"), "key", "left_semi").select("key", "node", "n"))
-        done = upto
+    roots = components(verified(best))
+    open_, found = freeze_counted(_unresolved(members, roots))
+    if found:
+        links = _units(open_).join(texts, "node").groupBy("kind", "unit", "i", "j").applyInArrow(_linker(percent), "a long, b long")
+        roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     placed = classes.select("h1", "h2", "node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -244,11 +306,3 @@ def _unnamed_texts(rows: DataFrame, classes: DataFrame, candidates: DataFrame) -
     hashed = nameless.mapInArrow(signed_texts, "h1 long, h2 long, text string").dropDuplicates(["h1", "h2"])
     wanted = classes.filter("least_id is null").join(candidates, "node", "left_semi").select("h1", "h2", "node")
     return hashed.join(wanted, ["h1", "h2"]).select("node", "text")
-
-
-def _steps():
-    yield from PIVOTS[1:]
-    upto = PIVOTS[-1]
-    while True:
-        upto += PIVOTS[-1]
-        yield upto
