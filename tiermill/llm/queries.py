@@ -80,10 +80,10 @@ def op7_semi_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def told(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in ("email", "ip", "card", "phone")
-    ]
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"))
 
 
