@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.tables import RATIO, REPORT_YEAR, entities, fact, half_up, mart, periods, plain, star, store_a, store_b, stored_star
+from bindings.tables import (
+    RATIO, REPORT_YEAR, entities, fact, half_up, mart, periods, plain, star, store_a, store_b, stored_star, table, year,
+)
 from tiermill.functions import numeric
 from tiermill.operators import densify
 from tiermill.plans import layers, views
+from tiermill.profile import HIGHER_EDUCATION
+from tiermill.session import freeze
 
 _CELL = "entity, category, is_member, label, period, measure_a, measure_b, ratio"
 _POSITION = "entity, label, category, measure_a, measure_b, ratio"
@@ -21,15 +25,7 @@ _CHANGES = f"""chg AS (
     SELECT *, {_LAG.format('measure_a')} AS p, {_LAG.format('measure_b')} AS pb FROM star))"""
 _AVG_RATIO = half_up("sum(CAST(round(ratio * 100) AS BIGINT))", "(100 * count(ratio))")
 
-EXPORT = {
-    "entity": "Institución",
-    "category": "Sector",
-    "label": "Clasificación",
-    "period": "Año",
-    "measure_a": "Total Estudiantes",
-    "measure_b": "Total Docentes",
-    "ratio": "Estudiantes por Docente",
-}
+EXPORT = HIGHER_EDUCATION.export_headers
 _FRAGMENT = "omer#00000000"
 
 
@@ -41,6 +37,19 @@ def _ranked(view, *args):
     return lambda spark, sf: plain(view(stored_star(spark, sf), *args))
 
 
+def _ranked_year(view):
+    """Ranks are taken within periods, so only the period that is asked for is stored."""
+    return lambda spark, sf: plain(view(freeze(star(spark, sf).filter(F.col("period") == REPORT_YEAR)), REPORT_YEAR))
+
+
+def _distinct_period_stats(spark, sf):
+    """Order rows, many per customer and year, counted by distinct customers."""
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("entity_id"), year("o_orderdate").alias("period"))
+    rows = orders.join(star(spark, sf), ["entity_id", "period"])
+    columns = ("period", "n_entities", "n_members", "n_others")
+    return plain(views.period_stats(rows, unique_grain=False).select(*columns))
+
+
 def _dense_grid(spark, sf):
     stores = [store_a(spark, sf), store_b(spark, sf)]
     return densify.dense_grid(entities(spark, sf), stores, ("measure_a", "measure_b"), periods(spark, sf))
@@ -130,7 +139,7 @@ QUERIES = {
     "member_label": (_member_label, mart("SELECT entity, CASE WHEN is_member THEN 'member' ELSE 'other' END AS label FROM ent")),
     "ratio_report": (_ranked(views.ratio_report), mart(f"SELECT {_CELL}, {_DESC} AS rank_desc, {_ASC} AS rank_asc FROM star")),
     "year_filter": (
-        _ranked(views.year_filter, REPORT_YEAR),
+        _ranked_year(views.year_filter),
         mart(f"SELECT * FROM (SELECT {_CELL}, {_DESC} AS rank_desc, {_ASC} AS rank_asc FROM star) WHERE period = {REPORT_YEAR}"),
     ),
     "rank_desc": (_ranked(views.rank_desc), mart(f"SELECT period, {_DESC} AS position, {_POSITION} FROM star")),
@@ -144,7 +153,7 @@ QUERIES = {
         mart(f"SELECT * FROM (SELECT period, {_ASC} AS position_asc, {_POSITION} FROM star) WHERE position_asc <= 10"),
     ),
     "topk_one_year": (
-        _ranked(views.topk_one_year, REPORT_YEAR),
+        _ranked_year(views.topk_one_year),
         mart(f"SELECT * FROM (SELECT period, {_DESC} AS position, {_POSITION} FROM star) WHERE position <= 10 AND period = {REPORT_YEAR}"),
     ),
     "best_n_one_year": (
@@ -233,6 +242,14 @@ QUERIES = {
             {_RATIO_OF_SUMS} AS ratio_of_sums, {_AVG_RATIO} AS avg_ratio FROM star GROUP BY 1, 2"""
         ),
     ),
+    "distinct_period_stats": (
+        _distinct_period_stats,
+        mart(
+            """SELECT CAST(year(o_orderdate) AS INTEGER) AS period, count(DISTINCT o_custkey) AS n_entities,
+            count(DISTINCT o_custkey) FILTER (is_member) AS n_members, count(DISTINCT o_custkey) FILTER (NOT is_member) AS n_others
+            FROM orders JOIN ent ON o_custkey = entity_id GROUP BY 1"""
+        ),
+    ),
     "efficiency_rank": (
         _ranked(views.efficiency_rank),
         mart(

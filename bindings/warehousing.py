@@ -79,6 +79,46 @@ def _medallion_gold(spark, sf):
     return plain(built.select("entity", "category", "is_member", "label", "period", "measure_a", "measure_b", "ratio"))
 
 
+def _medallion_reload(spark, sf):
+    """Two loads, the second with names that sort earlier: ids of known names stay."""
+    warehouse = _warehouse(spark, "reload")
+    frame = _curated(spark, sf)
+    known = F.regexp_extract("entity", "([0-9]+)$", 1).cast("int") % 3 != 0
+    for step, rows in (("first", frame.filter(known)), ("second", frame)):
+        path = f"{warehouse.root}/{step}"
+        curated_csv.write_csv(rows, path)
+        medallion.load(warehouse, path, _PROFILE, ratio_kind=RATIO)
+    return warehouse.read("gold", "dim_entity").select("entity", "entity_id")
+
+
+def _gold_views(spark, sf):
+    """The standing views, as a client of the gold database reads them, after a second load."""
+    warehouse = _warehouse(spark, "views")
+    path = f"{warehouse.root}/curated"
+    curated_csv.write_csv(_curated(spark, sf), path)
+    for _ in range(2):
+        medallion.load(warehouse, path, _PROFILE, ratio_kind=RATIO)
+    gold = warehouse.database("gold")
+    return plain(
+        spark.sql(
+            f"""SELECT r.period, r.entity, r.ratio, r.rank_desc, r.rank_asc, t.position, e.prev_ratio, m.n_entities, m.avg_ratio
+            FROM `{gold}`.ratio_report r JOIN `{gold}`.top_by_ratio t ON r.entity = t.entity AND r.period = t.period
+            JOIN `{gold}`.evolution e ON r.entity = e.entity AND r.period = e.period
+            JOIN `{gold}`.member_averages m ON r.period = m.period AND r.label = m.label"""
+        )
+    )
+
+
+def _ratio_quarantine(spark, sf):
+    """Ratios that do not fit the stored column, kept with their full value."""
+    warehouse = _warehouse(spark, "quarantine")
+    path = f"{warehouse.root}/curated"
+    curated_csv.write_csv(_curated(spark, sf).withColumn("ratio", F.lit(None).cast("decimal(18,2)")), path)
+    medallion.load(warehouse, path, _PROFILE, ratio_kind="decimal(4,2)", on_overflow="quarantine")
+    names = warehouse.read("gold", "dim_entity").select("entity_id", "entity")
+    return plain(warehouse.read("gold", "quarantine").join(names, "entity_id").select("entity", "period", "value"))
+
+
 def _bronze_load(spark, sf):
     """Events as a faulty curated file; good rows land in the bronze table."""
     warehouse = _warehouse(spark, "bronze")
@@ -88,9 +128,9 @@ def _bronze_load(spark, sf):
 
 
 def _csv_roundtrip(spark, sf):
-    """Whole document texts with their quotes and commas through the file and back."""
+    """Whole document texts with their quotes, commas and line breaks through the file and back."""
     rows = table(spark, sf, "documents").select(
-        F.regexp_replace("text", r"\s+", " ").alias("entity"),
+        F.col("text").alias("entity"),
         F.col("n_chars").cast("int").alias("period"),
         F.col("doc_id").alias("measure_a"),
         F.when(F.col("lang") != "en", F.col("doc_id")).alias("measure_b"),
@@ -167,6 +207,14 @@ def _scd2_merge(spark, sf):
         F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_active"),
     )
+    earlier = customers.filter("c_acctbal < 0").select(
+        "c_custkey",
+        F.lit("OLD").alias("c_mktsegment"),
+        extensions.day_of("2018-01-01").alias("valid_from"),
+        extensions.day_of("2019-01-01").alias("valid_to"),
+        F.when(F.col("c_custkey") % 2 == 0, False).alias("is_active"),  # null: not known
+    )
+    history = history.unionByName(earlier)
     moved = F.when(F.col("c_mktsegment") == "MACHINERY", "FURNITURE").otherwise(F.col("c_mktsegment"))
     current = customers.select("c_custkey", moved.alias("c_mktsegment"))
     return keys.scd2_merge(history, current, ["c_custkey"], ["c_mktsegment"], extensions.day_of("2024-06-01"))
@@ -266,7 +314,7 @@ def _category_dim_lookup(spark, sf):
     return extensions.category_dim_lookup(rows, dim, "c_mktsegment", "unknown")
 
 
-_ROUNDTRIP = """SELECT regexp_replace(text, '\\s+', ' ', 'g') AS entity, CAST(n_chars AS VARCHAR) AS period,
+_ROUNDTRIP = """SELECT text AS entity, CAST(n_chars AS VARCHAR) AS period,
   CAST(doc_id AS VARCHAR) AS measure_a, CASE WHEN lang <> 'en' THEN CAST(doc_id AS VARCHAR) ELSE '' END AS measure_b,
   CASE WHEN lang = 'de' THEN CAST(CAST(CAST((25 * n_chars + 1) // 2 AS DECIMAL(16,0)) * 0.01 AS DECIMAL(18,2)) AS VARCHAR)
     ELSE '' END AS ratio,
@@ -300,6 +348,21 @@ QUERIES = {
         _medallion_gold,
         mart("SELECT entity, category, is_member, label, period, measure_a, measure_b, ratio FROM star"),
     ),
+    "medallion_reload": (
+        _medallion_reload,
+        """SELECT c_name AS entity, row_number() OVER (
+          ORDER BY CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS INTEGER) % 3 = 0, c_name) AS entity_id FROM customer""",
+    ),
+    "gold_views": (
+        _gold_views,
+        mart(
+            f"""SELECT period, entity, ratio, rank() OVER d AS rank_desc, rank() OVER (PARTITION BY period ORDER BY ratio ASC NULLS LAST) AS rank_asc,
+            rank() OVER d AS position, lag(ratio) OVER (PARTITION BY entity_id ORDER BY period) AS prev_ratio,
+            count(*) OVER g AS n_entities, {half_up("sum(CAST(round(ratio * 100) AS BIGINT)) OVER g", "(100 * count(ratio) OVER g)")} AS avg_ratio
+            FROM star WINDOW d AS (PARTITION BY period ORDER BY ratio DESC NULLS FIRST), g AS (PARTITION BY period, label)"""
+        ),
+    ),
+    "ratio_quarantine": (_ratio_quarantine, mart("SELECT entity, period, ratio AS value FROM star WHERE ratio >= 100")),
     "bronze_load": (_bronze_load, texts.GOOD_SQL),
     "csv_roundtrip": (_csv_roundtrip, _ROUNDTRIP),
     "audit_log": (
@@ -341,7 +404,9 @@ QUERIES = {
           CASE WHEN c_mktsegment <> now_segment THEN {_DATE.format('2024-06-01')} END AS valid_to,
           c_mktsegment = now_segment AS is_active FROM cur WHERE c_acctbal >= 0
         UNION ALL SELECT c_custkey, now_segment, {_DATE.format('2024-06-01')}, CAST(NULL AS DATE), true FROM cur
-        WHERE c_acctbal < 0 OR c_mktsegment <> now_segment""",
+        WHERE c_acctbal < 0 OR c_mktsegment <> now_segment
+        UNION ALL SELECT c_custkey, 'OLD', {_DATE.format('2018-01-01')}, {_DATE.format('2019-01-01')},
+          CASE WHEN c_custkey % 2 = 0 THEN false END FROM cur WHERE c_acctbal < 0""",
     ),
     "unique_violations": (_unique_violations, _DUPLICATES),
     "null_violations": (_null_violations, mart(_STAR_NULLS)),

@@ -170,15 +170,18 @@ def test_workbooks_to_gold(spark, landing, warehouse, tmp_path, rows):
     csv_path = str(tmp_path / "curated")
     told = medallion.ingest(warehouse, landing, csv_path, PROFILE)
     # Three names, two periods seen in usable files.
-    assert told["curated"] == 6 and len(told["unreadable"]) == 1
+    assert told["curated"] == 6 and told["unreadable"] == 1
     lines = sorted(line for p in (tmp_path / "curated").glob("*.csv") for line in p.read_text().splitlines()[1:])
     assert [line for line in lines if line.startswith('"Uni A","2022"')] == ['"Uni A","2022","70","0","","Oficial","No SUE"']
 
     summary = medallion.load(warehouse, csv_path, PROFILE, buckets=4)
     assert summary["status"] == "success" and summary["errors"] == []
-    assert (summary["bronze"], summary["entities"], summary["gold"]) == (6, 3, 9)
+    assert (summary["bronze"], summary["entities"], summary["gold"]) == (6, 3, 6)
+    assert warehouse.read("bronze", "unreadable").select("file").distinct().count() == 1
+    codes = dict(warehouse.read("gold", "dim_entity").select("entity", "category_code").collect())
+    assert codes["Uni A"] == "oficial" and warehouse.read("gold", "dim_category").count() == 3
     star = medallion.gold_star(warehouse, PROFILE)
-    got = rows(star.filter("period <> 2023"), "entity", "category", "label", "period", "measure_a", "measure_b", F.col("ratio").cast("string"))
+    got = rows(star, "entity", "category", "label", "period", "measure_a", "measure_b", F.col("ratio").cast("string"))
     national = "UNIVERSIDAD NACIONAL DE COLOMBIA"
     # The category of Uni A is from the later listed file; 2022 had no category column.
     assert got == sorted(
@@ -231,16 +234,98 @@ def _curated(spark, path, data):
     curated_csv.write_csv(spark.createDataFrame(data, schema), path, PROFILE.csv_names)
 
 
-def test_failures_are_logged_and_leave_old_tables(spark, warehouse, tmp_path, rows):
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+@pytest.mark.parametrize("broken", ["silver_measure", "dim_entity", "gold_fact"])
+def test_failures_are_logged_and_leave_old_answers(spark, warehouse, tmp_path, rows, monkeypatch, broken):
+    """Whatever step of a load fails, the star tells the same as before, under the same names."""
+    good, more = str(tmp_path / "good"), str(tmp_path / "more")
     _curated(spark, good, [("U1", 2022, 10, 2, "5", "x", "SUE"), ("U2", 2022, 3, 1, "3", "y", "No SUE")])
-    _curated(spark, bad, [("U1", 2022, 10, 2, "5", "x", "SUE"), ("U1", 2022, 11, 2, "5", "x", "SUE")])
+    _curated(spark, more, [("A0", 2022, 99, 9, "11", "x", "SUE"), ("U1", 2022, 10, 2, "5", "x", "SUE"), ("U2", 2022, 3, 1, "3", "y", "No SUE")])
     medallion.load(warehouse, good, PROFILE)
-    before = rows(warehouse.read("gold", "fact").drop("created_at", "updated_at"))
+    before = rows(medallion.gold_star(warehouse, PROFILE))
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("broken on purpose")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion.layers, broken, fail)
+        with pytest.raises(RuntimeError, match="on purpose"):
+            medallion.load(warehouse, more, PROFILE)
+    assert rows(medallion.gold_star(warehouse, PROFILE)) == before
+    assert warehouse.audit_log(1).first().status == "error"
+    medallion.load(warehouse, more, PROFILE)
+    after = rows(medallion.gold_star(warehouse, PROFILE))
+    assert set(before) < set(after)  # ids of known names stay
+
+
+def test_repeated_key_fails_the_load(spark, warehouse, tmp_path):
+    bad = str(tmp_path / "bad")
+    _curated(spark, bad, [("U1", 2022, 10, 2, "5", "x", "SUE"), ("U1", 2022, 11, 2, "5", "x", "SUE")])
     with pytest.raises(Exception, match="key occurs twice"):
         medallion.load(warehouse, bad, PROFILE)
-    assert rows(warehouse.read("gold", "fact").drop("created_at", "updated_at")) == before
-    assert warehouse.audit_log(1).first().status == "error"
+
+
+_SECOND = """
+import sys
+sys.path[:0] = [{root!r}]
+from tiermill.plans import medallion
+from tiermill.plans.warehouse import Warehouse
+from tiermill.profile import HIGHER_EDUCATION
+from tiermill.session import build_session
+spark = build_session("again", spark_master="local[2]", spark_sql_shuffle_partitions="2", spark_ui_enabled="false",
+                      spark_sql_warehouse_dir={spare!r})
+warehouse = Warehouse(spark, {wh!r}, {names!r}).create()
+print("SEEN", medallion.gold_star(warehouse, HIGHER_EDUCATION).count())
+medallion.load(warehouse, {csv!r}, HIGHER_EDUCATION, buckets=4)
+print("LOG", warehouse.audit_log().count(), spark.sql("SELECT * FROM " + warehouse.name("gold", "v_top_ies_by_ratio")).count())
+"""
+
+
+def test_second_process_reads_and_loads(spark, warehouse, tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    path = str(tmp_path / "in")
+    _curated(spark, path, [("U1", 2022, 10, 2, "5", "x", "SUE"), ("U2", 2023, 3, 1, "3", "y", "No SUE")])
+    medallion.load(warehouse, path, PROFILE, buckets=4)
+    code = _SECOND.format(root=str(Path(__file__).parents[1]), spare=str(tmp_path / "spare"), wh=warehouse.root, names=warehouse.names, csv=path)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240)
+    assert "SEEN 4" in out.stdout and "LOG 6 4" in out.stdout, out.stdout + out.stderr[-2000:]
+
+
+def test_standing_views_follow_reloads(spark, warehouse, tmp_path, rows):
+    for turn, amount in enumerate((10, 20, 30, 40)):
+        path = str(tmp_path / f"in{turn}")
+        _curated(spark, path, [("U1", 2022, amount, 2, "", "x", "SUE"), ("U2", 2022, 3, 1, "3", "y", "No SUE")])
+        medallion.load(warehouse, path, PROFILE)
+    gold = warehouse.database("gold")
+    report = spark.sql(f"SELECT nombre_ies, total_estudiantes, rank_ratio_desc FROM `{gold}`.v_relacion_estudiante_docente")
+    assert rows(report) == [("U1", 40, 1), ("U2", 3, 2)]
+    assert rows(spark.sql(f"SELECT tipo, cantidad_ies FROM `{gold}`.v_promedio_por_sue")) == [("No SUE", 1), ("SUE", 1)]
+    assert spark.sql(f"SHOW TABLES IN `{gold}` LIKE 'fact__*'").count() == 2
+
+
+def test_line_breaks_stay_in_their_cell(spark, warehouse, tmp_path):
+    path = str(tmp_path / "in")
+    _curated(spark, path, [("U1", 2022, 10, 2, "5", "Oficial\nestatal", "SUE"), ("U\r\n2", 2022, 3, 1, "3", "y", "No SUE")])
+    summary = medallion.load(warehouse, path, PROFILE)
+    assert (summary["bronze"], summary["rejected"]) == (2, 0)
+    assert dict(warehouse.read("bronze", "curated").select("category", "label").collect()) == {"Oficial\nestatal": "SUE", "y": "No SUE"}
+
+
+def test_nothing_is_lost_without_a_trace(spark, warehouse, tmp_path, rows):
+    from dataclasses import replace
+
+    path = str(tmp_path / "in")
+    _curated(spark, path, [("U1", 2022, 5000, 1, "5000", "x", "SUE"), ("U2", 2025, 3, 1, "3", "y", "No SUE")])
+    closed = replace(PROFILE, periods=(2022, 2023))
+    summary = medallion.load(warehouse, path, closed, on_overflow="quarantine")
+    assert summary["status"] == "success with warnings" and len(summary["errors"]) == 3
+    assert rows(warehouse.read("gold", "quarantine"), "period", F.col("value").cast("string")) == [(2022, "5000.00")]
+    assert rows(warehouse.read("bronze", "quarantined"), "entity", "ratio") == [("U1", "5000")]
+    assert warehouse.read("gold", "outside_period").count() == 2
+    report = {r.check_name: r.n_violations for r in medallion.quality(warehouse).collect()}
+    assert report["gold.fact ratio domain"] == 1
 
 
 def test_rejects_give_warnings_and_overflow_raises(spark, warehouse, tmp_path):
@@ -253,7 +338,7 @@ def test_rejects_give_warnings_and_overflow_raises(spark, warehouse, tmp_path):
     with pytest.raises(Exception, match="does not fit"):
         medallion.load(warehouse, big, PROFILE)
     kept = medallion.load(warehouse, big, PROFILE, on_overflow="quarantine")
-    assert kept["gold"] == 3
+    assert kept["gold"] == 1 and kept["quarantined"] == 1
     wide = str(tmp_path / "wide")
     _curated(spark, wide, [("U" * 501, 2022, 5, 1, "", "x", "SUE")])
     with pytest.raises(ValueError, match="exceed 500"):

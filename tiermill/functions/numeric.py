@@ -39,8 +39,8 @@ def quotient(dividend: Column, divisor: Column, places: int) -> Column:
 def fit_decimal(value: Column, kind: str, on_overflow: str = "raise") -> Column:
     """Store a value in a decimal column type.
 
-    ``raise`` fails the job as a database column would; ``quarantine`` gives null, and
-    :func:`tiermill.operators.quality.domain_violations` counts the value.
+    ``raise`` fails the job as a database column would; ``quarantine`` gives null. The load
+    keeps the full value of such a cell in a quarantine table.
     """
     if on_overflow not in ("raise", "quarantine"):
         raise ValueError(f"unknown overflow policy {on_overflow!r}")

@@ -104,12 +104,14 @@ def scd2_merge(
     """Versioned dimension: close changed rows and append their new version.
 
     ``history`` has key and tracked columns plus ``valid_from, valid_to, is_active``.
-    Keys missing from ``current`` stay open. Closed versions pass through untouched.
+    Keys missing from ``current`` stay open. Closed versions pass through untouched, and so
+    do rows that do not say whether they are active.
     """
     state = ("valid_from", "valid_to", "is_active")
     columns = [*key, *tracked, *state]
-    closed = history.filter(~F.col("is_active")).select(*columns)
-    open_rows = history.filter("is_active").select(
+    active = F.col("is_active").eqNullSafe(F.lit(True))
+    closed = history.filter(~active).select(*columns)
+    open_rows = history.filter(active).select(
         *key, F.struct(*tracked, *state).alias("_old")
     )
     incoming = current.select(*key, F.struct(*tracked).alias("_new"))

@@ -28,11 +28,12 @@ def entity_sum(rows: DataFrame, per_file: Sequence[str] = ()) -> DataFrame:
 
     The first aggregation also groups by category, so its buffers are plain numbers and
     a name with very many rows is combined before any shuffle. The second one sees a
-    handful of rows per name.
+    handful of rows per name. Amounts are added as decimals, so the truncated total does
+    not depend on the order of the rows.
     """
     named = rows.filter(F.col("raw_name").isNotNull())
     partial = named.groupBy(*_FILE, *per_file, "raw_name", "category").agg(
-        F.sum(numeric_coerce(F.col("amount"))).alias("amount"),
+        F.sum(numeric_coerce(F.col("amount")).cast("decimal(28,10)")).alias("amount"),
         F.min("row_idx").alias("row_idx"),
     )
     return partial.groupBy(*_FILE, *per_file, "raw_name").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiermill.functions.numeric import STORED_RATIO, safe_ratio
 from tiermill.operators.densify import dense_grid
-from tiermill.operators.keys import single_or_raise
+from tiermill.operators.keys import single_or_raise, surrogate_key
 
 
 def silver_entity(bronze: DataFrame, member_text: str) -> DataFrame:
@@ -23,6 +23,20 @@ def silver_entity(bronze: DataFrame, member_text: str) -> DataFrame:
     return first.select("entity", "v.category", "v.is_member")
 
 
+def entity_keys(entities: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Surrogate id of every entity name ever seen.
+
+    A known name keeps its id and new names are numbered after the largest one, so what is
+    stored under an id stays true whichever layer has been loaded since.
+    """
+    names = entities.select("entity").distinct()
+    if known is None:
+        return surrogate_key(names, ["entity"], "entity_id")
+    last = known.agg(F.coalesce(F.max("entity_id"), F.lit(0))).first()[0]
+    fresh = names.join(known.select("entity"), "entity", "left_anti")
+    return known.select("entity", "entity_id").unionByName(surrogate_key(fresh, ["entity"], "entity_id", last + 1))
+
+
 def silver_measure(bronze: DataFrame, entities: DataFrame, measure: str) -> DataFrame:
     """One measure by (entity_id, period); missing values are left out.
 
@@ -68,6 +82,13 @@ def gold_fact(
     return grid.withColumn("ratio", ratio)
 
 
+def overflowed(fact: DataFrame) -> DataFrame:
+    """Cells of a fact whose ratio did not fit its column, with the full value."""
+    value = safe_ratio(F.col("measure_a"), F.col("measure_b"), "decimal(20,2)").alias("value")
+    lost = fact.filter(F.col("ratio").isNull() & (F.col("measure_b") > 0))
+    return lost.select("entity_id", "period", "measure_a", "measure_b", value)
+
+
 def star_join(fact: DataFrame, entities: DataFrame, periods: DataFrame) -> DataFrame:
     """Fact with the attributes of both dimensions, active entities only."""
     active = entities.filter("is_active") if "is_active" in entities.columns else entities

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tiermill.functions.membership import member_flag
 from tiermill.functions.numeric import STORED_RATIO, member_label, safe_ratio
 from tiermill.operators.densify import dense_grid, grid_invariant, period_array
-from tiermill.operators.keys import surrogate_key
+from tiermill.operators.keys import seed_dim
 from tiermill.operators.quality import (
     domain_violations,
     fk_orphans,
@@ -29,7 +29,7 @@ from tiermill.operators.reconcile import (
     region_filter,
     store_of,
 )
-from tiermill.plans import layers, views
+from tiermill.plans import extensions, layers, views
 from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
 from tiermill.session import freeze
@@ -97,15 +97,14 @@ def ingest(
     wanted = files.join(listed, "file_id", "left_semi")
     warehouse.refresh("bronze", "landing", workbook.workbook_scan(wanted))
     landing = warehouse.read("bronze", "landing")
-    # At most one name per manifest entry.
-    broken = [row.file for row in workbook.unreadable(landing).select("file").distinct().collect()]
-    cells = workbook.readable(landing, broken)
+    damaged = warehouse.refresh("bronze", "unreadable", workbook.unreadable(landing))
+    cells = workbook.readable(landing)
 
     rows = landed_rows(cells, profile, listed)
     written = curated_csv.write_csv(reconcile(rows, profile, collapse_rule), csv_path, profile.csv_names)
     if not written:
         raise ValueError(f"no usable rows in the workbooks below {source}")
-    return {"curated": written, "unreadable": broken}
+    return {"curated": written, "unreadable": damaged}
 
 
 def load(
@@ -132,7 +131,7 @@ def load(
         except Exception as problem:
             summary["errors"].append(f"{name}: {problem}")
             summary["status"] = "failed"
-            _quiet(lambda: warehouse.log(name, "error", str(problem)[:4000], 0, started))
+            _quiet(lambda: warehouse.log(name, "error", str(problem), 0, started))
             raise
         _quiet(lambda: warehouse.log(name, "success", message.format(n), n, started))
 
@@ -156,39 +155,66 @@ def load(
                     raise ValueError(problem)
                 summary["errors"].append(f"bronze: {problem}")
 
-        warehouse.refresh("bronze", "parsed", both, ["is_good"], check=check)
+        batch = warehouse.batch("bronze")
+        batch.write("parsed", both, ["is_good"], check=check)
         names = [c for c in both.columns if c != "is_good"]
-        warehouse.define("bronze", "curated", curated_csv.good_columns(names), "parsed", "is_good")
-        warehouse.define("bronze", "rejected", curated_csv.reject_columns(names), "parsed", "NOT is_good")
+        good = curated_csv.good_columns(names)
+        batch.define_columns("curated", good, "parsed", "is_good")
+        batch.define_columns("rejected", curated_csv.reject_columns(names), "parsed", "NOT is_good")
+        full = {c: good[c] for c in good if c != "ratio"} | {"ratio": "`ratio`"}
+        batch.define_columns("quarantined", full, "parsed", "is_good AND `_ratio` IS NULL AND `ratio` IS NOT NULL")
+        batch.commit()
+        lost = warehouse.read("bronze", "quarantined").count() if on_overflow == "quarantine" else 0
+        if lost:
+            summary["errors"].append(f"bronze: {lost} ratios quarantined")
         return summary["bronze"]
 
     def silver() -> int:
+        batch = warehouse.batch("silver")
         rows = warehouse.read("bronze", "curated")
         entities = layers.silver_entity(rows, profile.member_labels[0])
-        keyed = surrogate_key(entities, ["entity"], "entity_id")
+        known = warehouse.read("silver", "entity_key") if warehouse.exists("silver", "entity_key") else None
+        batch.write("entity_key", layers.entity_keys(entities, known))
+        keyed = entities.join(batch.read("entity_key"), "entity")
         stamps = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}
-        summary["entities"] = warehouse.refresh("silver", "entity", keyed.withColumns(stamps))
-        ids = warehouse.read("silver", "entity")
+        summary["entities"] = batch.write("entity", keyed.withColumns(stamps))
+        ids = batch.read("entity")
         for measure in ("measure_a", "measure_b"):
             built = layers.silver_measure(rows, ids, measure)
-            built = built.withColumn("created_at", F.current_timestamp())
-            summary[measure] = warehouse.refresh("silver", measure, built)
+            summary[measure] = batch.write(measure, built.withColumn("created_at", F.current_timestamp()))
+        batch.commit()
         return summary["entities"] + summary["measure_a"] + summary["measure_b"]
 
     def gold() -> int:
+        batch = warehouse.batch("gold")
         bucketing = (buckets, ["entity_id"]) if buckets else None
         entities = layers.dim_entity(warehouse.read("silver", "entity"))
-        warehouse.refresh("gold", "dim_entity", entities, bucket_by=bucketing)
+        if profile.categories:
+            schema = "code string, name string, description string"
+            old = warehouse.exists("gold", "dim_category")
+            dim = warehouse.read("gold", "dim_category") if old else spark.createDataFrame([], schema)
+            batch.write("dim_category", seed_dim(dim, profile.categories, schema, "code"))
+            entities = extensions.category_dim_lookup(entities, batch.read("dim_category"), "category", profile.categories[-1][0])
+        batch.write("dim_entity", entities, bucket_by=bucketing)
         stores = [
             warehouse.read("silver", m).select("entity_id", "period", m) for m in ("measure_a", "measure_b")
         ]
-        periods = period_array(stores, profile.periods)
-        warehouse.refresh("gold", "dim_period", layers.dim_period(spark, periods))
-        fact = layers.gold_fact(
-            warehouse.read("gold", "dim_entity"), stores, periods, ratio_kind, on_overflow
-        )
+        batch.write("dim_period", layers.dim_period(spark, period_array(stores, profile.periods)))
+        years = batch.read("dim_period")
+        outside = stores[0].unionByName(stores[1], allowMissingColumns=True).join(years, "period", "left_anti")
+        dropped = batch.write("outside_period", outside) if profile.periods else 0
+        if dropped:
+            summary["errors"].append(f"gold: {dropped} values of periods outside the closed list, kept in outside_period")
+        fact = layers.gold_fact(batch.read("dim_entity"), stores, period_array([years]), ratio_kind, on_overflow)
         stamps = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}
-        summary["gold"] = warehouse.refresh("gold", "fact", fact.withColumns(stamps), bucket_by=bucketing)
+        summary["gold"] = batch.write("fact", fact.withColumns(stamps), bucket_by=bucketing)
+        summary["quarantined"] = batch.write("quarantine", layers.overflowed(batch.read("fact")))
+        if summary["quarantined"]:
+            summary["errors"].append(f"gold: {summary['quarantined']} ratios do not fit {ratio_kind}, kept in quarantine")
+        batch.write("cell_rank", views.cell_ranks(batch.read("fact")), bucket_by=bucketing)
+        for name, text in views.standing_views(profile.member_labels, profile.view_names, profile.view_columns).items():
+            batch.define(name, text)
+        batch.commit()
         return summary["gold"]
 
     stage("bronze", bronze, "loaded {} rows")
@@ -244,7 +270,7 @@ def quality(warehouse: Warehouse) -> DataFrame:
         "gold.fact required": null_violations(fact, ["entity_id", "period", "measure_a", "measure_b"]),
         "gold.fact entity reference": fk_orphans(fact, dim, "entity_id", "entity_id"),
         "gold.fact period reference": fk_orphans(fact, warehouse.read("gold", "dim_period"), "period", "period"),
-        "gold.fact ratio domain": domain_violations(fact, decimals={"ratio": STORED_RATIO}),
+        "gold.fact ratio domain": warehouse.read("gold", "quarantine"),
     }
     for measure in ("measure_a", "measure_b"):
         store = warehouse.read("silver", measure)

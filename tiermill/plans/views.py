@@ -188,7 +188,8 @@ def efficiency_rank(s: DataFrame, n: int = 20) -> DataFrame:
     """First n rows by period and rank among cells with a ratio and a positive measure;
     names break ties."""
     rows = s.filter(F.col("ratio").isNotNull() & (F.col("measure_a") > 0))
-    ranked = with_ranks(rows, "ratio", {"rank_desc": "rank_efficiency"})
+    # A row among the first n of all has at most n - 1 better ones in its period.
+    ranked = top_k(rows, "ratio", n, "rank_efficiency")
     columns = ("entity", "label", "period", "measure_a", "measure_b", "ratio", "rank_efficiency")
     return ranked.select(*columns).orderBy(F.desc("period"), "rank_efficiency", "entity").limit(n)
 
@@ -204,19 +205,48 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
 
 
-def publish(
-    s: DataFrame, view_names: Mapping[str, str] | None = None, columns: Mapping[str, str] | None = None
-) -> list[str]:
-    """Register the four standing views for the SQL of this session, under the names of a
-    data domain where given."""
-    frames = {
-        "ratio_report": ratio_report(s),
-        "member_averages": member_averages(s),
-        "top_by_ratio": rank_desc(s),
-        "evolution": lag_ratio(s),
+def cell_ranks(fact: DataFrame) -> DataFrame:
+    """Both ranks of every cell, for storing beside the fact."""
+    ranked = with_ranks(fact.select("entity_id", "period", "ratio"), "ratio", {"rank_desc": "rank_desc", "rank_asc": "rank_asc"})
+    return ranked.select("entity_id", "period", "rank_desc", "rank_asc")
+
+
+def standing_views(labels: tuple[str, str], names: Mapping[str, str], columns: Mapping[str, str]) -> dict[str, str]:
+    """Name to SQL of the four standing views over the gold tables, without any sort.
+
+    ``{{gold}}`` stands for the database. Filters on the period reach the partitions of the
+    fact and of the stored ranks.
+    """
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def named(*chosen: str, **other: str) -> str:
+        given = {c: c for c in chosen} | other
+        return ", ".join(f"{e} AS `{columns.get(c, c)}`" for c, e in given.items())
+
+    label = f"CASE WHEN e.is_member THEN {quoted(labels[0])} ELSE {quoted(labels[1])} END"
+    star_sql = (
+        f"SELECT f.entity_id, e.entity, e.category, e.is_member, {label} AS label, f.period, f.measure_a, f.measure_b, f.ratio "
+        "FROM `{gold}`.`fact` f JOIN `{gold}`.`dim_entity` e ON f.entity_id = e.entity_id WHERE e.is_active"
+    )
+    ranked = (
+        f"({star_sql}) s JOIN (SELECT entity_id AS r_id, period AS r_period, rank_desc, rank_asc FROM `{{gold}}`.`cell_rank`) r "
+        "ON s.entity_id = r.r_id AND s.period = r.r_period"
+    )
+    rounded = (
+        "round(CAST(sum({0}) AS decimal(20,0)) / nullif(CAST(count({0}) AS decimal(18,0)), 0), 2)"
+    )
+    hundredths = (
+        "round(CAST(sum(CAST(ratio * 100 AS bigint)) AS decimal(20,0)) / nullif(CAST(count(ratio) * 100 AS decimal(18,0)), 0), 2)"
+    )
+    group_label = columns.get("group_label", "label")
+    averages = named("period", n_entities="count(*)", avg_a=rounded.format("measure_a"), avg_b=rounded.format("measure_b"), avg_ratio=hundredths)
+    lag = "lag(ratio) OVER (PARTITION BY entity_id ORDER BY period)"
+    texts = {
+        "ratio_report": f"SELECT {named(*_NAMED, 'rank_desc', 'rank_asc')} FROM {ranked}",
+        "member_averages": f"SELECT label AS `{group_label}`, {averages} FROM ({star_sql}) s GROUP BY period, label",
+        "top_by_ratio": f"SELECT {named('period', *_position_columns(), position='rank_desc')} FROM {ranked}",
+        "evolution": f"SELECT {named('entity', 'category', 'label', 'period', 'measure_a', 'measure_b', 'ratio', prev_ratio=lag)} FROM ({star_sql}) s",
     }
-    names = []
-    for view, frame in frames.items():
-        names.append((view_names or {}).get(view, view))
-        rename(frame, columns or {}).createOrReplaceTempView(names[-1])
-    return names
+    return {names.get(k, k): v for k, v in texts.items()}

@@ -1,26 +1,33 @@
-"""Layer tables: namespaces, refresh by version and view swap, audit log.
+"""Layer tables: staged versions, one commit per layer, views on the current versions, audit log.
 
-A refresh writes a new version of the table and then points the view of that name at it.
-Readers see the old rows or the new ones, never an empty layer, and a failed write leaves
-the old version in place.
+A batch writes new versions of the tables of a layer beside the old ones and commits them
+together: one small file under ``_commits`` names the versions and view texts that hold
+from now on, and then the views of the layer are pointed at them. A failure before that
+leaves every table of the layer as it was. A new session on the same root reads the commits
+and registers what they name.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.session import literal_rows
 
 LAYERS = ("bronze", "silver", "gold", "audit")
-AUDIT_COLUMNS = (
-    "log_id", "stage", "status", "message", "n_rows", "started_at", "ended_at", "duration_s", "created_at",
+_AUDIT = (
+    "log_id bigint, stage string, status string, message string, n_rows bigint, started_at timestamp, "
+    "ended_at timestamp, duration_s double, created_at timestamp"
 )
+AUDIT_COLUMNS = tuple(c.split()[0] for c in _AUDIT.split(", "))
+_COMMIT = "at bigint, layer string, position int, name string, version string, spec string"
 
 
 @dataclass
@@ -37,10 +44,13 @@ class Warehouse:
         return self.names.get(layer, layer)
 
     def create(self) -> Warehouse:
+        """Databases, and what earlier commits below the root name."""
         for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}` LOCATION '{self.root}/{layer}'"
             )
+            for row in self._committed(layer):
+                self._register(layer, row.name, row.version, json.loads(row.spec))
         return self
 
     def name(self, layer: str, table: str) -> str:
@@ -49,18 +59,107 @@ class Warehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
-    def refresh(
+    def exists(self, layer: str, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(layer, table))
+
+    def batch(self, layer: str) -> Batch:
+        return Batch(self, layer)
+
+    def refresh(self, layer: str, table: str, df: DataFrame, *args, **options) -> int:
+        """Replace one table and give its row count; arguments as for :meth:`Batch.write`."""
+        staged = self.batch(layer)
+        n = staged.write(table, df, *args, **options)
+        staged.commit()
+        return n
+
+    def _history(self, layer: str) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits/{layer}")
+        except AnalysisException:
+            return None  # nothing committed yet
+
+    def _committed(self, layer: str) -> list:
+        """The newest version of every table and view of a layer: a few rows."""
+        history = self._history(layer)
+        if history is None:
+            return []
+        newest = history.groupBy("name").agg(F.max_by(F.struct("at", "position", "version", "spec"), "at").alias("last"))
+        return newest.select("name", "last.*").orderBy("at", "position").collect()
+
+    def _register(self, layer: str, name: str, version: str, spec: dict) -> None:
+        if spec["kind"] == "view":
+            columns = spec["text"].format(**{x: self.database(x) for x in LAYERS})
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS {columns}")
+            return
+        target = self.name(layer, version)
+        if not self.spark.catalog.tableExists(target):
+            parts = f" PARTITIONED BY ({', '.join(spec['partition_by'])})" if spec["partition_by"] else ""
+            if spec["bucket_by"]:
+                keys = ", ".join(spec["bucket_by"][1])
+                parts += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec['bucket_by'][0]} BUCKETS"
+            self.spark.sql(
+                f"CREATE TABLE {target} ({spec['columns']}) USING parquet{parts} "
+                f"LOCATION '{self.root}/{layer}/{version}'"
+            )
+            if spec["partition_by"]:
+                self.spark.sql(f"MSCK REPAIR TABLE {target}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS SELECT * FROM {target}")
+
+    def _drop_old(self, layer: str, names: Sequence[str]) -> None:
+        """Versions that were committed before the last two; others may belong to a running load."""
+        history = self._history(layer).filter(F.col("name").isin(*names) & (F.col("version") != ""))
+        for row in history.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("at", "version"))).alias("all")).collect():
+            for _, version in row.all[:-2]:
+                target = self.name(layer, version)
+                if self.spark.catalog.tableExists(target):
+                    self.spark.sql(f"DROP TABLE {target}")
+
+    def log(
+        self, stage: str, status: str, message: str, n_rows: int, started: datetime, ended: datetime | None = None
+    ) -> None:
+        """Append one audit row, on its own and apart from any layer write."""
+        ended = ended or datetime.now(timezone.utc)
+        schema = "stage string, status string, message string, n_rows bigint, started_at timestamp, ended_at timestamp"
+        entry = literal_rows(self.spark, [(stage, status, message, n_rows, started, ended)], schema)
+        columns: dict[str, Column] = {
+            "log_id": F.unix_micros(F.current_timestamp()),
+            "duration_s": (F.unix_micros("ended_at") - F.unix_micros("started_at")) / F.lit(1e6),
+            "created_at": F.current_timestamp(),
+        }
+        path = f"{self.root}/audit/run_log"
+        entry.withColumns(columns).select(*AUDIT_COLUMNS).write.mode("append").parquet(path)
+        target = self.name("audit", "run_log")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({_AUDIT}) USING parquet LOCATION '{path}'")
+        self.spark.catalog.refreshTable(target)
+
+    def audit_log(self, n: int = 20) -> DataFrame:
+        """Newest audit rows first, of all sessions that used this root."""
+        log = self.spark.read.schema(_AUDIT).parquet(f"{self.root}/audit/run_log")
+        return log.orderBy(F.desc("created_at"), F.desc("log_id")).limit(n)
+
+    def write_jdbc(self, df: DataFrame, url: str, table: str, **options: str) -> None:
+        """Copy a layer to a relational database for BI tools; each partition writes its rows."""
+        df.write.format("jdbc").mode("overwrite").options(url=url, dbtable=table, truncate="true", **options).save()
+
+
+class Batch:
+    """New versions of tables and views of one layer, seen by no reader until :meth:`commit`."""
+
+    def __init__(self, warehouse: Warehouse, layer: str):
+        self.warehouse, self.layer = warehouse, layer
+        self.staged: dict[str, tuple[str, dict]] = {}
+
+    def write(
         self,
-        layer: str,
         table: str,
         df: DataFrame,
         partition_by: Sequence[str] = (),
         bucket_by: tuple[int, Sequence[str]] | None = None,
         check: Callable[[DataFrame], None] | None = None,
     ) -> int:
-        """Replace a table and give its row count, counted while it is written.
+        """Stage a table and give its row count, counted while it is written.
 
-        ``check`` sees the new version before readers do; if it raises, they keep the old one.
+        ``check`` sees the new version; if it raises, nothing of the batch is committed.
         Bucketing the fact and the entity dimension alike by ``entity_id`` lets later
         joins and lags by entity run without a shuffle.
         """
@@ -73,54 +172,34 @@ class Warehouse:
         if bucket_by:
             buckets, keys = bucket_by
             writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-        writer.saveAsTable(self.name(layer, version))
+        writer.saveAsTable(self.warehouse.name(self.layer, version))
+        stored = self.warehouse.read(self.layer, version)
         if check:
-            check(self.read(layer, version))
-        self._swap(layer, table, version)
+            check(stored)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
+        spec = {"kind": "table", "columns": columns, "partition_by": list(partition_by), "bucket_by": bucket_by}
+        self.staged[table] = (version, spec)
         return counted.get["n"]
 
-    def define(self, layer: str, table: str, columns: Mapping[str, str], source: str, where: str) -> None:
-        """A view on another table of the layer: name to expression, and a condition."""
-        chosen = ", ".join(f"{expression} AS `{name}`" for name, expression in columns.items())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS "
-            f"SELECT {chosen} FROM {self.name(layer, source)} WHERE {where}"
-        )
-
-    def _swap(self, layer: str, table: str, version: str) -> None:
-        """Point the view at a version, keep the one before for readers still on it."""
-        view, target = self.name(layer, table), self.name(layer, version)
-        old = None
-        if self.spark.catalog.tableExists(view):
-            old = self.spark.sql(f"SHOW TBLPROPERTIES {view} ('version')").first()["value"]
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {target}"
-        )
-        listed = self.spark.sql(f"SHOW TABLES IN `{self.database(layer)}` LIKE '{table}__*'").collect()
-        for row in listed:
-            if row.tableName not in (version, old):
-                self.spark.sql(f"DROP TABLE {self.name(layer, row.tableName)}")
-
-    def log(
-        self, stage: str, status: str, message: str, n_rows: int, started: datetime, ended: datetime | None = None
-    ) -> None:
-        """Append one audit row, on its own and apart from any layer write."""
-        ended = ended or datetime.now(timezone.utc)
-        schema = "stage string, status string, message string, n_rows bigint, started_at timestamp, ended_at timestamp"
-        entry = literal_rows(self.spark, [(stage, status, message, n_rows, started, ended)], schema)
-        columns: dict[str, Column] = {
-            "log_id": F.unix_micros(F.current_timestamp()),
-            "duration_s": (F.unix_micros("ended_at") - F.unix_micros("started_at")) / F.lit(1e6),
-            "created_at": F.current_timestamp(),
-        }
-        stamped = entry.withColumns(columns).select(*AUDIT_COLUMNS)
-        stamped.write.format("parquet").mode("append").saveAsTable(self.name("audit", "run_log"))
+    def read(self, table: str) -> DataFrame:
+        """The staged version, or the current one of a table that the batch does not write."""
+        version = self.staged[table][0] if table in self.staged else table
+        return self.warehouse.read(self.layer, version)
 
-    def audit_log(self, n: int = 20) -> DataFrame:
-        """Newest audit rows first."""
-        log = self.read("audit", "run_log")
-        return log.orderBy(F.desc("created_at"), F.desc("log_id")).limit(n)
+    def define(self, view: str, text: str) -> None:
+        """Stage a view. ``text`` is SQL over current names, with ``{gold}`` and so on for the databases."""
+        self.staged[view] = ("", {"kind": "view", "text": text})
 
-    def write_jdbc(self, df: DataFrame, url: str, table: str, **options: str) -> None:
-        """Copy a layer to a relational database for BI tools; each partition writes its rows."""
-        df.write.format("jdbc").mode("overwrite").options(url=url, dbtable=table, truncate="true", **options).save()
+    def define_columns(self, view: str, columns: Mapping[str, str], source: str, where: str) -> None:
+        """A view on another table of the layer: name to expression, and a condition."""
+        chosen = ", ".join(f"{expression} AS `{name}`" for name, expression in columns.items())
+        self.define(view, f"SELECT {chosen} FROM {{{self.layer}}}.`{source}` WHERE {where}")
+
+    def commit(self) -> None:
+        warehouse, layer = self.warehouse, self.layer
+        at = int(datetime.now(timezone.utc).timestamp() * 1e6)
+        rows = [(at, layer, i, name, version, json.dumps(spec)) for i, (name, (version, spec)) in enumerate(self.staged.items())]
+        literal_rows(warehouse.spark, rows, _COMMIT).coalesce(1).write.mode("append").json(f"{warehouse.root}/_commits/{layer}")
+        for name, (version, spec) in self.staged.items():
+            warehouse._register(layer, name, version, spec)
+        warehouse._drop_old(layer, list(self.staged))

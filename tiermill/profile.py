@@ -140,8 +140,8 @@ HIGHER_EDUCATION = Profile(
         "avg_a": "promedio_estudiantes",
         "avg_b": "promedio_docentes",
         "avg_ratio": "promedio_ratio",
+        "group_label": "tipo",
     },
-    periods=(2022, 2023, 2024),
     categories=(
         ("oficial", "Oficial", "Institución pública/estatal"),
         ("privado", "Privado", "Institución privada"),

@@ -43,7 +43,8 @@ def read_csv(spark: SparkSession, path: str, names: Mapping[str, str] | None = N
     """All columns as text, missing values as '', plus the source file's base name."""
     names = names or {}
     schema = ", ".join(f"`{names.get(c, c)}` string" for c in COLUMNS)
-    raw = spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=False)
+    # Cells may hold line breaks. The hand-off is many files, so it is still read in parallel.
+    raw = spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=False, multiLine=True)
     cells = [missing_to_empty(F.col(f"`{names.get(c, c)}`")).alias(c) for c in COLUMNS]
     return raw.select(*cells, F.col("_metadata.file_name").alias("source_file"))
 
@@ -113,7 +114,8 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
 
 def split_form(parsed: DataFrame) -> DataFrame:
     """Parsed rows as one table: ``is_good`` tells the two kinds apart, and the text of
-    numbers is kept for rejects only."""
+    numbers is kept for rejects, and for a good row's ratio that its column cannot hold."""
     bad = F.size("errors") > 0
     texts = {c: F.when(bad, F.col(c)) for c in _TYPED}
+    texts["ratio"] = F.when(bad | (F.col("_ratio").isNull() & (F.col("ratio") != "")), F.col("ratio"))
     return parsed.withColumns({**texts, "is_good": ~bad})
