@@ -276,7 +276,7 @@ def books(spark, sf):
 
 
 def _workbook_scan(spark, sf):
-    cells = workbook.readable(freeze(workbook.workbook_scan(books(spark, sf))), [])
+    cells = workbook.readable(freeze(workbook.workbook_scan(books(spark, sf))))
     found = grid.layout(cells, ("índice", "contenido"), ("institución", "código"), ("departamento",))
     placed = freeze(grid.column_resolve(found, _BOOK_ROLES))
     rows = grid.named_rows(cells, placed, tuple(_BOOK_ROLES), ("region", "entity", "amount"))

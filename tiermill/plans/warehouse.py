@@ -15,7 +15,6 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +48,8 @@ class Warehouse:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}` LOCATION '{self.root}/{layer}'"
             )
+            # Adds nothing, but lets the folder of commits exist from the start.
+            literal_rows(self.spark, [], _COMMIT).write.mode("append").json(f"{self.root}/_commits/{layer}")
             for row in self._committed(layer):
                 self._register(layer, row.name, row.version, json.loads(row.spec))
         return self
@@ -72,18 +73,12 @@ class Warehouse:
         staged.commit()
         return n
 
-    def _history(self, layer: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits/{layer}")
-        except AnalysisException:
-            return None  # nothing committed yet
+    def _history(self, layer: str) -> DataFrame:
+        return self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits/{layer}")
 
     def _committed(self, layer: str) -> list:
         """The newest version of every table and view of a layer: a few rows."""
-        history = self._history(layer)
-        if history is None:
-            return []
-        newest = history.groupBy("name").agg(F.max_by(F.struct("at", "position", "version", "spec"), "at").alias("last"))
+        newest = self._history(layer).groupBy("name").agg(F.max_by(F.struct("at", "position", "version", "spec"), "at").alias("last"))
         return newest.select("name", "last.*").orderBy("at", "position").collect()
 
     def _register(self, layer: str, name: str, version: str, spec: dict) -> None:
