@@ -155,3 +155,15 @@ def judge(
         .withColumn("base_failed", base)
         .withColumn("kept", ~F.col("base_failed") & verdict(rules))
     )
+
+
+def keep(docs: DataFrame, rules: Iterable[Rule] = RULES, text: str = "text", **base) -> DataFrame:
+    """The rows that pass, with their own columns.
+
+    A row number takes part in the filter. Without it the planner would move the filter below
+    the projection and compute every count again wherever a rule uses it.
+    """
+    row = next(f"_row{i}" for i in range(len(docs.columns) + 1) if f"_row{i}" not in docs.columns)
+    judged = judge(docs.select(F.struct(*docs.columns).alias("_own"), F.col(text)), rules, text, **base)
+    numbered = judged.select("_own", "kept", F.monotonically_increasing_id().alias(row))
+    return numbered.filter(F.col("kept") & (F.col(row) >= 0)).select("_own.*")
