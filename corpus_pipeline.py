@@ -17,7 +17,7 @@ from tiermill.session import freeze, freeze_counted
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
