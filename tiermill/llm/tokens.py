@@ -91,7 +91,7 @@ def count_tokens(
 
     tallied = rows.select("text").mapInArrow(tally, "piece string, freq long")
     counted = freeze(tallied.groupBy("piece").agg(F.sum("freq").alias("freq")).mapInArrow(encode, "piece string, freq long, n int"))
-    frequent = counted.filter(F.octet_length("piece") <= COMMON_BYTES).orderBy(F.desc("freq"), "piece").limit(common)
+    frequent = _frequent(counted.filter(F.octet_length("piece") <= COMMON_BYTES), common)
     known = spark.sparkContext.broadcast({r.piece: r.n for r in frequent.select("piece", "n").toLocalIterator()})
 
     def add_up(batches):
@@ -124,5 +124,22 @@ def count_tokens(
     return total.select(F.col("id").alias(doc_id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
+def _frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The most frequent pieces, ``most`` at most: all above a frequency found from a histogram.
+
+    The histogram has at most eight bins for each doubling of the frequency, so neither it
+    nor any task grows with the corpus, and nothing is sorted.
+    """
+    step = F.floor(F.log2(F.col("freq").cast("double")) * 8).cast("int")
+    bins = counted.groupBy(step.alias("step")).agg(F.count("*").alias("pieces")).orderBy(F.desc("step")).collect()
+    total, lowest = 0, None
+    for row in bins:
+        total += row.pieces
+        if total > most:
+            break
+        lowest = row.step
+    return counted.filter(F.lit(False) if lowest is None else step >= lowest)
+
+
 def _pairs(seen: Counter) -> pa.RecordBatch:
     return pa.record_batch({"piece": pa.array(list(seen), pa.string()), "freq": pa.array(list(seen.values()), pa.int64())})
