@@ -187,6 +187,20 @@ def test_leaks(spark, frame, corpus):
     assert brute.counted(kept.select("doc_id", "text").collect()) == brute.counted(r for r in rows if r[0] not in (300, 303))
 
 
+def test_leaks_of_long_items(spark, frame):
+    """Verbatim copies of items of any length are found, wherever they begin, and the passages stay small for short ones."""
+    draw = random.Random(9)
+    prose = lambda n: " ".join(f"w{draw.randrange(3000)}" for _ in range(n))
+    sizes = (30, 65, 128, 200, 300, 400, 600, 1500)
+    items = [(n, prose(n - n // 4), prose(n // 4)) for n in sizes]
+    rows = [(n, f"{prose(5000 + 37 * n % 400)} {q} {a} {prose(3000)}") for n, q, a in items] + [(-1, prose(9000)), (-2, items[6][1])]
+    table = spark.createDataFrame(items, "item_id long, question string, answer string")
+    got = leaks.find_leaks(frame(rows), table).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(n, n) for n in sizes]
+    assert all(r.score > 0.999 for r in got)
+    assert sorted(r.doc_id for r in leaks.drop_leaks(frame(rows), table).collect()) == [-2, -1]
+
+
 def test_pruned_search_equals_plain_scores():
     draw = random.Random(4)
     vocabulary = [f"t{i}" for i in range(60)]

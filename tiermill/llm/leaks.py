@@ -3,9 +3,11 @@
 The index holds the test items, cut into question and answer: for each term its items with
 their BM25 impact, in blocks of ``BLOCK`` items with the largest impact of each block. Impacts
 are divided by the item's score for its own words, so a score is the share of an item's
-weight that a passage has, and one threshold fits items of any length. Every passage of
-every document is a query: overlapping windows of ``PASSAGE`` words, so that any stretch of
-half that length is whole in one. A passage whose terms' largest impacts do not reach the
+weight that a passage has. Passages grow with the items, so that one threshold fits items of
+any length: items are grouped by their words, up to ``PASSAGE / 2`` in the first group and
+twice as many in each further one, and every group has postings and blocks of its own. For
+each group every document is cut into overlapping windows of twice the group's most words,
+half a window apart, so that a copy of an item is whole in one; every window is a query. A passage whose terms' largest impacts do not reach the
 threshold is left at once; for the others the bounds of blocks are summed and only blocks
 that reach the threshold are scored item by item. All items above it are retrieved: pruning
 drops none of them.
@@ -55,88 +57,105 @@ def _shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(tb.mix(tb.Sums(hashes, 1).rolling(width), 1)) if len(hashes) else np.zeros(0, np.uint64)
 
 
-class Index:
-    """The test items of a shard. ``rows`` has (item, question, answer) and ``frequency`` the items of each term hash."""
+class _Group:
+    """Postings of the items that passages of one length fit; terms are numbered over all groups."""
 
-    def __init__(self, rows: list[tuple], frequency: dict[int, int], items: int, mean: float):
-        self.items, postings = [], []
-        for number, (item, question, answer) in enumerate(rows):
-            q, a = _hashes(question or ""), _hashes(answer or "")
-            widths = [min(SHINGLE, len(x)) for x in (q, a)]
-            self.items.append((item, [(w, _shingles(x, w)) for x, w in zip((q, a), widths) if w]))
-            terms, times = np.unique(np.concatenate([q, a]), return_counts=True)
-            if not len(terms):
-                continue
-            share = np.array([frequency[int(t)] for t in terms])
-            weight = np.log(1 + (items - share + 0.5) / (share + 0.5))
-            impact = weight * times * (K1 + 1) / (times + K1 * (1 - B + B * times.sum() / mean))
-            postings.append((terms, np.full(len(terms), number), impact / impact.sum()))
-        none = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))]
-        terms, item, impact = map(np.concatenate, zip(*(postings or none)))
+    def __init__(self, passage: int, known: np.ndarray, terms: np.ndarray, item: np.ndarray, impact: np.ndarray):
+        self.passage = passage
         order = np.lexsort((item, terms))
-        terms, self.item, self.impact = terms[order], item[order], impact[order]
-        self.terms, first = np.unique(terms, return_index=True)
+        terms, self.item, self.impact = np.searchsorted(known, terms[order]), item[order], impact[order]
         # Postings of a term in one block of items stand together.
-        block = self.item // BLOCK
+        _, place = np.unique(self.item, return_inverse=True)
+        block = place // BLOCK
         opens = np.ones(len(terms), bool)
         opens[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
         self.block_first = np.append(np.flatnonzero(opens), len(terms))
         self.block = block[self.block_first[:-1]]
-        self.block_most = np.maximum.reduceat(self.impact, self.block_first[:-1]) if len(terms) else np.zeros(0)
-        self.term_first = np.append(np.searchsorted(self.block_first[:-1], first), len(self.block))
-        self.most = np.maximum.reduceat(self.block_most, self.term_first[:-1]) if len(terms) else np.zeros(0)
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
-    def term_numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """-1 for words of no item."""
-        out = np.full(len(hashes), -1)
-        at = np.flatnonzero(self.maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        if len(at):
-            place = np.minimum(np.searchsorted(self.terms, hashes[at]), len(self.terms) - 1)
-            hit = self.terms[place] == hashes[at]
-            out[at[hit]] = place[hit]
-        return out
-
-    def search(self, terms: np.ndarray, first: np.ndarray, threshold: float):
-        """Text number, item number and score of every passage and item over the threshold.
+        self.block_most = np.maximum.reduceat(self.impact, self.block_first[:-1])
+        self.term_first = np.searchsorted(terms[self.block_first[:-1]], np.arange(len(known) + 1))
+        self.most = np.zeros(len(known))
+        np.maximum.at(self.most, terms, self.impact)
 
-        ``terms`` are the term numbers of the words of all texts, ``first`` where each text begins.
-        """
+    def search(self, terms: np.ndarray, first: np.ndarray, items: int, threshold: float):
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         low = threshold - 1e-9
-        sizes, step = np.diff(first), PASSAGE // 2
+        sizes, step = np.diff(first), self.passage // 2
         many = np.where(sizes > 0, np.maximum(1, -(-(sizes - step) // step)), 0)
         text = np.repeat(np.arange(len(sizes)), many)
         start = first[text] + step * tb.ranges(np.zeros(len(many), np.int64), many)
-        end = np.minimum(start + PASSAGE, first[text + 1])
+        end = np.minimum(start + self.passage, first[text + 1])
         bound = np.zeros(len(terms) + 1)
-        np.cumsum(np.where(terms >= 0, self.most[terms], 0.0) if len(self.most) else np.zeros(len(terms)), out=bound[1:])
+        np.cumsum(np.where(terms >= 0, self.most[terms], 0.0), out=bound[1:])
         alive = np.flatnonzero(bound[end] - bound[start] >= low)
         if not len(alive):
             return none
         size = end[alive] - start[alive]
         own = terms[tb.ranges(start[alive], size)]
-        passage = np.repeat(np.arange(len(alive)), size)[own >= 0]
-        pairs = np.unique(passage * len(self.terms) + own[own >= 0])
-        passage, own = pairs // len(self.terms), pairs % len(self.terms)
+        ours = (own >= 0) & (self.most[own] > 0)
+        pairs = np.unique(np.repeat(np.arange(len(alive)), size)[ours] * len(self.most) + own[ours])
+        passage, own = pairs // len(self.most), pairs % len(self.most)
         again = np.bincount(passage, self.most[own], minlength=len(alive)) >= low  # each term once
         keep = again[passage]
         passage, own = passage[keep], own[keep]
         blocks = self.term_first[own + 1] - self.term_first[own]
         entry = tb.ranges(self.term_first[own], blocks)
-        total = int(self.block.max()) + 1 if len(self.block) else 1
+        total = int(self.block.max()) + 1
         where = np.repeat(passage, blocks) * total + self.block[entry]
         names, place = np.unique(where, return_inverse=True)
         live = (np.bincount(place, self.block_most[entry]) >= low)[place]
         where, entry = where[live], entry[live]
         count = self.block_first[entry + 1] - self.block_first[entry]
         posting = tb.ranges(self.block_first[entry], count)
-        found = np.repeat(where // total, count) * len(self.items) + self.item[posting]
+        found = np.repeat(where // total, count) * items + self.item[posting]
         names, place = np.unique(found, return_inverse=True)
         scores = np.bincount(place, self.impact[posting]) if len(names) else np.zeros(0)
         over = scores >= low
-        return text[alive[names[over] // len(self.items)]], names[over] % len(self.items), scores[over]
+        return text[alive[names[over] // items]], names[over] % items, scores[over]
+
+
+class Index:
+    """The test items of a shard. ``rows`` has (item, question, answer) and ``frequency`` the items of each term hash."""
+
+    def __init__(self, rows: list[tuple], frequency: dict[int, int], items: int, mean: float):
+        self.items, postings = [], {}
+        for number, (item, question, answer) in enumerate(rows):
+            q, a = _hashes(question or ""), _hashes(answer or "")
+            widths = [min(SHINGLE, len(x)) for x in (q, a)]
+            self.items.append((item, [(w, _shingles(x, w)) for x, w in zip((q, a), widths) if w]))
+            terms, times = np.unique(np.concatenate([q, a]), return_counts=True)
+            if not len(terms):
+                continue
+            share = np.array([frequency[int(t)] for t in terms])
+            weight = np.log(1 + (items - share + 0.5) / (share + 0.5))
+            impact = weight * times * (K1 + 1) / (times + K1 * (1 - B + B * times.sum() / mean))
+            passage = PASSAGE
+            while passage < 2 * times.sum():
+                passage *= 2
+            postings.setdefault(passage, []).append((terms, np.full(len(terms), number), impact / impact.sum()))
+        every = [terms for own in postings.values() for terms, _, _ in own]
+        self.terms = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
+        self.groups = [_Group(passage, self.terms, *map(np.concatenate, zip(*own))) for passage, own in sorted(postings.items())]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def term_numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """-1 for words of no item."""
+        out = np.full(len(hashes), -1)
+        at = np.flatnonzero(self.maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        if len(at):
+            place = np.minimum(np.searchsorted(self.terms, hashes[at]), len(self.terms) - 1)
+            hit = self.terms[place] == hashes[at]
+            out[at[hit]] = place[hit]
+        return out
+
+    def search(self, terms: np.ndarray, first: np.ndarray, threshold: float):
+        """Text number, item number and score of every passage and item over the threshold.
+
+        ``terms`` are the term numbers of the words of all texts, ``first`` where each text begins.
+        """
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        found += [group.search(terms, first, len(self.items), threshold) for group in self.groups]
+        return tuple(map(np.concatenate, zip(*found)))
 
     def overlaps(self, item: int, hashes: np.ndarray, known: dict[int, np.ndarray]) -> list[float]:
         """Percent of the shingles of question and answer that a text has; ``known`` keeps the text's shingles by width."""
