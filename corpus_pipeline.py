@@ -23,16 +23,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group; of rows that repeat its id, one.
 
-    A row without an id goes if a row with one is in its group, and stays otherwise.
+    A row without an id goes if a row with one is in its group, and stays otherwise. Rows are
+    judged one by one: a row that goes takes no other row of its id, or without an id, with it.
+    Of rows with one id that are left in several groups, the one with most shingles stays.
     """
-    gone = neardup.link(docs).filter("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    again, found = freeze_counted(docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"))
-    if not found:
-        return kept
-    # Only rows whose id occurs more than once are compared with each other.
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+    _, found = freeze_counted(docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").select("doc_id"))
+    if not found:  # ids are keys of rows
+        gone = neardup.link(docs).filter("not kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = freeze(docs.withColumn(key, F.monotonically_increasing_id()))
+    linked = neardup.link(rows, doc_id=key).select(key, "n_shingles", F.col("component_id").alias("_group"))
+    linked = freeze(linked.join(rows.select(key, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")), key))
+    least = linked.groupBy("_group").agg(F.min("_id").alias("_least"))
+    judged = linked.join(least, "_group").withColumn("_stays", F.coalesce(F.col("_id") == F.col("_least"), F.col("_least").isNull()))
+    judged = freeze(judged.select(key, "_id", "n_shingles", "_hash", "_stays"))
+    # Of rows with one id one stays; an id with many rows is combined in every task first.
+    order = F.struct(-F.col("n_shingles"), "_hash", key)
+    first = judged.filter("_stays and _id is not null").groupBy("_id").agg(F.min(order)[key].alias(key))
+    unnamed = judged.filter("_stays and _id is null").select(key)
+    gone = judged.select(key).join(first.select(key).unionByName(unnamed), key, "left_anti")
+    return rows.join(gone, key, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,5 +76,19 @@ def test_repeated_rows_leave_one(spark, frame):
     assert sorted((r.doc_id for r in got.collect()), key=str) == [5, 7, None, None]
 
 
+def test_rows_are_judged_one_by_one(spark, frame):
+    """Null ids and repeated ids: a copy goes, other rows of its id stay."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other, third = base.replace("w30", "x"), " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [
+        (3, base), (None, near), (None, other), (None, None), (None, ""), (5, base), (5, third), (8, near), (8, "some words of its own"),
+        (9, "one more text"), (9, None), (9, "one more text"),
+    ]
+    want = [(3, base), (5, third), (8, "some words of its own"), (9, "one more text"), (None, ""), (None, None), (None, other)]
+    got = corpus_pipeline.near_duplicates(spark, frame(rows), SF)
+    assert got.columns == frame(rows).columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_masked_text_has_no_rule_left():
     assert pii.base_spans("[EMAIL] [CARD]") == []
