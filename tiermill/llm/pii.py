@@ -8,8 +8,13 @@ boundaries and kinds jointly; a span that overlaps one of the rules is dropped.
 
 Training is on the driver and bounded: at most ``REGIONS`` regions of at most ``REGION_TOKENS``
 tokens, those with the least hashes over all documents, labelled by the rules and by key
-patterns, plus rewritten copies of them in which a known span is spelled another way. Text far
-from any digit, ``@``, ``=`` or ``dot`` is never looked at by the model.
+patterns, plus rewritten copies of them in which a known span is spelled another way (emails
+also without digits), and as many regions that have only a word as their signal.
+
+The model looks at text near a signal: a digit, ``@``, ``=``, the words ``at`` and ``dot`` (also
+in brackets), a key word such as ``password``, or a key of letters alone. These begin all that
+training labels, its other spellings, and all features but those of a word's letters and shape;
+text without a signal has nothing else to be told by, and is not scored.
 
 Positions are code points, ends exclusive. Defined results: null or empty texts have no span;
 repeated rows and rows with a null id are searched one by one; an empty table gives an empty
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiermill.session import freeze
+
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Bounds of the training set and of an entity.
 REGIONS, REGION_TOKENS, LONGEST = 400, 48, 6
 ROUNDS, RATE, DECAY = 8, 0.3, 1e-3
+#: Sums of weights that a task keeps at hand.
+SUMS = 1 << 16
 
 # What the rules match.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,12 +50,17 @@ _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _ANY = re.compile(r"[0-9@]")
-_SIGNAL = re.compile(r"[0-9@=]|\bdot\b")
 _TOKEN = re.compile(r"[^\s=\"'(),;:<>\[\]{}]+|[=\"'(),;:<>\[\]{}]")
 _TAIL = re.compile(r"[.!?]+$")
 _SECRET = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?<=[=:])\s*\"?[0-9a-f]{16,}\b")
 _KEYWORDS = ("password", "passwd", "token", "secret", "key", "apikey", "api_key", "pwd")
 REACH = 3
+#: What the rules and the key patterns can begin with, and all that features or other spellings can.
+_STRONG = re.compile(r"[0-9@=]|\bdot\b")
+_OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdigit())
+_SIGNAL = re.compile(
+    rf"[0-9@={_OTHER_DIGITS}]|\b(?:dot|at|AKIA[A-Z]{{16}})\b|:\s*\"?[a-f]{{16}}|(?i:\b(?:{'|'.join(_KEYWORDS)})\b)"
+)
 
 
 def luhn(digits: str) -> bool:
@@ -120,10 +135,10 @@ def tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
 _WORD = re.compile(r"\S+")
 
 
-def regions(text: str) -> Iterator[tuple[int, int]]:
+def regions(text: str, signal: re.Pattern = _SIGNAL) -> Iterator[tuple[int, int]]:
     """Stretches around signals: ``REACH`` words to either side, joined where they meet."""
     start = end = -1
-    for m in _SIGNAL.finditer(text):
+    for m in signal.finditer(text):
         if m.start() < end:
             continue
         low = m.start()
@@ -196,6 +211,7 @@ class Model:
 
     def __init__(self, names: dict[str, int], weights: np.ndarray, follow: np.ndarray):
         self.names, self.weights, self.follow = names, weights, follow
+        self.sums: dict[tuple, np.ndarray] = {}  # of the finished model, by features
 
     def scores(self, ids: list[list[list[int]]]) -> np.ndarray:
         """For each first token and length the score of each kind; longer spans than one are never "no entity"."""
@@ -226,20 +242,33 @@ class Model:
         n = len(marks)
         if not n or not self.names:
             return []
-        scores = self.scores(self.look_up(text, marks))
-        kinds = scores.shape[2]
+        kinds = self.weights.shape[1]
+        scores = np.full((n, LONGEST, kinds), -np.inf)
+        for i, row in enumerate(self.look_up(text, marks)):
+            for k, own in enumerate(row):
+                name = tuple(own)
+                if name not in self.sums:
+                    if len(self.sums) >= SUMS:
+                        self.sums.clear()
+                    self.sums[name] = self.weights[own].sum(axis=0) if own else np.zeros(kinds)
+                scores[i, k] = self.sums[name]
+        scores[:, 1:, 0] = -np.inf
         best = np.full((n + 1, kinds), -np.inf)
         best[0, 0] = 0.0
+        entry, came = np.full((n + 1, kinds), -np.inf), np.zeros((n + 1, kinds), np.int32)
         back = np.zeros((n + 1, kinds, 2), np.int32)
-        for end in range(1, n + 1):
-            for k in range(min(LONGEST, end)):
+        every, sizes = np.arange(kinds), np.arange(LONGEST)
+        for end in range(n + 1):
+            if end:
+                k = sizes[: min(LONGEST, end)]
                 start = end - k - 1
-                total = best[start][:, None] + self.follow + scores[start, k][None, :]
-                came = total.argmax(axis=0)
-                value = total[came, np.arange(kinds)]
-                better = value > best[end]
-                best[end, better] = value[better]
-                back[end, better] = np.stack([np.full(kinds, start), came], axis=1)[better]
+                value = entry[start] + scores[start, k]
+                first = value.argmax(axis=0)
+                best[end] = value[first, every]
+                back[end, :, 0], back[end, :, 1] = start[first], came[start[first], every]
+            total = best[end][:, None] + self.follow
+            came[end] = total.argmax(axis=0)
+            entry[end] = total[came[end], every]
         found, end, kind = [], n, int(best[n].argmax())
         while end > 0:
             start, came = back[end, kind]
@@ -342,22 +371,48 @@ def respelled(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[
     return "".join([*out, text[at:]]), new
 
 
+_LETTERS = str.maketrans("0123456789", "abcdefghij")
+
+
+def lettered(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
+    """The same text with letters for digits outside of other spans; every other turn with emails of two-part domains."""
+    out, new, at = [], [], 0
+    for a, kind, z in spans:
+        s = text[a:z]
+        if kind == 0:
+            name, domain = s.translate(_LETTERS).split("@")
+            s = f"{name}@{'.'.join(domain.split('.')[-2:]) if turn // 2 % 2 else domain}"
+        out += [text[at:a].translate(_LETTERS), s]
+        start = sum(map(len, out)) - len(s)
+        new.append((start, kind, start + len(s)))
+        at = z
+    return "".join([*out, text[at:].translate(_LETTERS)]), new
+
+
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """A model from the regions with the least hashes."""
+    """A model from the regions with the least hashes, half of them with no other signal than a word."""
 
     def find(batches):
         for batch in batches:
-            rows = []
+            sides = {False: [], True: []}
             for x in batch.column("text"):
                 body = x.as_py()
                 if body and _SIGNAL.search(body):
-                    rows += [body[a:z] for a, z in regions(body) if z - a <= 40 * REGION_TOKENS]
-            rows = sorted({(hashlib.md5(r.encode()).digest()[:8], r) for r in rows})[:REGIONS]
-            yield pa.record_batch({"h": pa.array([h for h, _ in rows], pa.binary()), "region": pa.array([r for _, r in rows], pa.string())})
+                    sides[False] += [body[a:z] for a, z in regions(body, _STRONG) if z - a <= 40 * REGION_TOKENS]
+                    sides[True] += [body[a:z] for a, z in regions(body) if z - a <= 40 * REGION_TOKENS and not _STRONG.search(body, a, z)]
+            rows = []
+            for weak, own in sides.items():
+                rows += [(h, r, weak) for h, r in sorted({(hashlib.md5(r.encode()).digest()[:8], r) for r in own})[:REGIONS]]
+            yield pa.record_batch(
+                {"h": pa.array([r[0] for r in rows], pa.binary()), "region": pa.array([r[1] for r in rows], pa.string()),
+                 "weak": pa.array([r[2] for r in rows], pa.bool_())}
+            )
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(find, "h binary, region string")
-    chosen = [r.region for r in found.orderBy("h", "region").limit(2 * REGIONS).collect()]
-    chosen = list(dict.fromkeys(chosen))[:REGIONS]
+    found = freeze(docs.select(F.col(text).alias("text")).mapInArrow(find, "h binary, region string, weak boolean"))
+    chosen = []
+    for weak in (False, True):
+        own = found.filter(F.col("weak") == weak).orderBy("h", "region").limit(2 * REGIONS).collect()
+        chosen += list(dict.fromkeys(r.region for r in own))[:REGIONS]
     examples = []
     for turn, region in enumerate(chosen):
         if len(tokens(region, 0, len(region))) <= REGION_TOKENS:
@@ -365,6 +420,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             examples.append((region, spans))
             if any(kind in (0, 2, 3) for _, kind, _ in spans):
                 examples.append(respelled(region, spans, turn))
+            if any(kind == 0 for _, kind, _ in spans):
+                examples.append(respelled(*lettered(region, spans, turn), turn))
     return fit(examples)
 
 
