@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import leaks, licenses, merkle, mixing, neardup, pii, quality, rindex, sql, substring, tokens, warc
+from tiermill.llm import fim, leaks, licenses, merkle, mixing, neardup, packing, pii, quality, rindex, sql, substring, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +112,18 @@ def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fim_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents"))
+    restored = F.sha2(fim.restore(F.col("output"), F.col("form")), 256)
+    counts = ("doc_id", "n", "form", "prefix_chars", "middle_chars")
+    return cut.select(*counts, F.sha2("output", 256).alias("output_sha256"), restored.alias("restored_sha256"))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
 QUERIES = {
     "op1_warc_revisits": (op1_warc_revisits, sql.WARC_REVISITS),
     "op2_poisson_mix": (op2_poisson_mix, sql.POISSON_MIX),
@@ -124,4 +136,6 @@ QUERIES = {
     "op9_bm25_decontamination": (op9_bm25_decontamination, None),
     "op10_near_duplicates": (op10_near_duplicates, sql.NEAR_DUPLICATES),
     "op11_merkle_climb": (op11_merkle_climb, sql.MERKLE),
+    "op12_fim_rank_index": (op12_fim_rank_index, sql.FILL_IN_MIDDLE),
+    "op13_vector_packing": (op13_vector_packing, None),
 }
