@@ -79,6 +79,11 @@ def test_groups_of_every_size(spark):
     check(spark, rows)
 
 
+def test_many_nodes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "BROADCAST_NODES", 1)
+    check(spark, [(i, f"Row {i}", f"s{i % 2}") for i in range(600)])
+
+
 def test_odd_rows(spark, corpus):
     check(spark, [(i, t, ("x", None, "y")[k % 3]) for k, (i, t) in enumerate(corpus)] + [(3, "Same", "x")] * 40)
 
@@ -100,5 +105,5 @@ def test_nodes_name_their_parents(frame):
     bottom = runs.collect()
     assert max(len(r.leaves) for r in bottom) == 16
     for r in [*bottom, *known.values()]:
-        assert r.parent is None or known[r.parent].children[r.slot] == r.digest
+        assert r.parent is None or known[r.parent].children[32 * r.slot : 32 * r.slot + 32].hex() == r.digest
     assert sum(r.parent is None for r in known.values()) == 1

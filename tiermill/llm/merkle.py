@@ -13,7 +13,9 @@ leaves the loop when it has no parent: after as many steps as the logarithm of t
 group, plus that of the number of groups.
 
 Positions come from one range sort of (group, id, digest), so a group of any size is spread
-over tasks; nothing gathers more rows than a run has. Digests are text (lowercase hex).
+over tasks; nothing gathers more rows than a run has. Digests are text (lowercase hex); those that
+a climb carries along, and the children of a node, are bytes, 32 a digest. The node rows, of which
+there is one to some 240 rows of the table, are broadcast to the climb while they are few.
 
 Defined results: a null field counts as ``-``, also a null group or id, which come first in
 their order; rows with one id are ordered by digest, and rows that repeat all fields are
@@ -34,6 +36,8 @@ from tiermill.operators.keys import surrogate_key
 from tiermill.session import freeze
 
 FANOUT = 16
+#: Node rows up to which they are broadcast: some 640 bytes each, 40 MB in all.
+BROADCAST_NODES = 1 << 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _TOP = -1
 
@@ -49,6 +53,10 @@ def _around(digests: Column, slot: Column) -> tuple[Column, Column]:
     return F.array_join(F.slice(digests, F.lit(1), slot), ""), F.array_join(F.slice(digests, slot + 2, F.lit(FANOUT)), "")
 
 
+def _fold(before: Column, own: Column, after: Column) -> Column:
+    return F.unhex(F.sha2(F.concat(before, own, after), 256))
+
+
 def _name(tree: Column, level: Column | int, place: Column) -> Column:
     level = F.lit(level) if isinstance(level, int) else level
     return F.concat_ws("/", tree, level, place)
@@ -61,8 +69,10 @@ def _up(place: Column) -> Column:
 def _parents(nodes: DataFrame, level: int) -> DataFrame:
     """The next level: ``tree, level, place, n, children, digest``; ``n`` is the number of nodes of the tree there."""
     run = F.transform(F.sort_array(F.collect_list(F.struct("place", "digest"))), lambda x: x["digest"])
-    grouped = nodes.groupBy("tree", _up(F.col("place")).alias("place")).agg(run.alias("children"), F.first(_up(F.col("n") + FANOUT - 1)).alias("n"))
-    return grouped.select("tree", F.lit(level).alias("level"), "place", "n", "children", F.sha2(F.array_join("children", ""), 256).alias("digest"))
+    grouped = nodes.groupBy("tree", _up(F.col("place")).alias("place")).agg(F.array_join(run, "").alias("told"), F.first(_up(F.col("n") + FANOUT - 1)).alias("n"))
+    return grouped.select(
+        "tree", F.lit(level).alias("level"), "place", "n", F.unhex("told").alias("children"), F.sha2("told", 256).alias("digest")
+    )
 
 
 def _grow(nodes: DataFrame, level: int) -> list[DataFrame]:
@@ -139,7 +149,7 @@ def build(
         )
 
     spark = docs.sparkSession
-    nodes = spark.createDataFrame([], "node string, parent string, slot int, digest string, subroot boolean, children array<string>")
+    nodes = spark.createDataFrame([], "node string, parent string, slot int, digest string, subroot boolean, children binary")
     for levels, subroots in ((inner, True), (outer, False)):
         for x in levels:
             nodes = nodes.unionByName(linked(x, F.col("level"), subroots, "children"))
@@ -151,12 +161,12 @@ WITH RECURSIVE climb(run, parent, slot, digest, subroot, folded, proof) AS (
   SELECT run, parent, slot, digest, subroot, folded, proof FROM {runs}
   UNION ALL
   SELECT run, up, up_slot, up_digest, coalesce(subroot, up_subroot),
-         transform(folded, f -> sha2(concat(before, f, after), 256)), concat(proof, before, after)
+         transform(folded, f -> unhex(sha2(concat(lower(hex(before)), lower(hex(f)), lower(hex(after))), 256))),
+         concat(proof, before, after)
   FROM (
     SELECT c.run, c.subroot, c.folded, c.proof, n.parent AS up, n.slot AS up_slot, n.digest AS up_digest,
            CASE WHEN n.subroot THEN n.digest END AS up_subroot,
-           array_join(slice(n.children, 1, c.slot), '') AS before,
-           array_join(slice(n.children, c.slot + 2, {fanout}), '') AS after
+           substring(n.children, 1, 32 * c.slot) AS before, substring(n.children, 32 * c.slot + 33) AS after
     FROM climb c JOIN {nodes} n ON n.node = c.parent
   )
 )
@@ -183,7 +193,7 @@ def climb(runs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def first_step(leaf: Column, i: Column) -> Column:
         before, after = _around(digests, i)
-        return F.sha2(F.concat(before, leaf["seen"], after), 256)
+        return _fold(before, leaf["seen"], after)
 
     lone = F.col("subroot") & (F.size("leaves") == 1)
     start = runs.select(
@@ -192,11 +202,13 @@ def climb(runs: DataFrame, nodes: DataFrame) -> DataFrame:
         "slot",
         "digest",
         F.when(F.col("subroot"), F.col("digest")).alias("subroot"),
-        F.when(lone, F.transform("leaves", lambda x: x["seen"])).otherwise(F.transform("leaves", first_step)).alias("folded"),
-        F.lit("").alias("proof"),
+        F.when(lone, F.transform("leaves", lambda x: F.unhex(x["seen"]))).otherwise(F.transform("leaves", first_step)).alias("folded"),
+        F.lit(b"").alias("proof"),
     )
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
     with _unlimited(spark):
-        return freeze(spark.sql(_CLIMB, runs=start, nodes=nodes, fanout=FANOUT))
+        return freeze(spark.sql(_CLIMB, runs=start, nodes=nodes))
 
 
 def prove(
@@ -218,10 +230,12 @@ def prove(
 
     def shown(leaf: Column, i: Column) -> Column:
         before, after = _around(digests, i)
-        return F.struct(leaf["id"].alias("id"), leaf["leaf"].alias("leaf"), F.get("folded", i).alias("folded_root"), F.concat(before, after, "proof").alias("proof"))
+        own = F.lower(F.hex(F.get("folded", i)))
+        return F.struct(leaf["id"].alias("id"), leaf["leaf"].alias("leaf"), own.alias("folded_root"), F.concat(before, after, "above").alias("proof"))
 
     rows = runs.select(F.col("node").alias("run"), "leaves").join(found, "run")
-    rows = rows.select("root", F.col("subroot"), F.inline(F.transform("leaves", shown)))
+    rows = rows.withColumn("above", F.lower(F.hex("proof")))
+    rows = rows.select("root", "subroot", F.inline(F.transform("leaves", shown)))
     return rows.select(
         F.col("id").alias(doc_id), "leaf", "subroot", "root", "proof", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
     )
