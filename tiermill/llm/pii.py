@@ -9,12 +9,14 @@ boundaries and kinds jointly; a span that overlaps one of the rules is dropped.
 Training is on the driver and bounded: at most ``REGIONS`` regions of at most ``REGION_TOKENS``
 tokens, those with the least hashes over all documents, labelled by the rules and by key
 patterns, plus rewritten copies of them in which a known span is spelled another way (emails
-also without digits), and as many regions that have only a word as their signal.
+also without digits, secrets in letters), and as many regions that have only a word as their signal.
 
-The model looks at text near a signal: a digit, ``@``, ``=``, the words ``at`` and ``dot`` (also
-in brackets), a key word such as ``password``, or a key of letters alone. These begin all that
-training labels, its other spellings, and all features but those of a word's letters and shape;
-text without a signal has nothing else to be told by, and is not scored.
+The model looks at text near a signal: a digit of any script, ``@`` in either width, ``=``, ``:``,
+the words ``at`` and ``dot`` in any case and brackets, a key word such as ``password``, three
+number words in a row, or sixteen letters in a row. These begin all that training labels, its
+other spellings, and all features but those of a word's letters and shape; text without a
+signal has nothing else to be told by, and is not scored. Signals are found for whole batches
+of texts at once, by tables over bytes and hashes of letter runs.
 
 Positions are code points, ends exclusive. Defined results: null or empty texts have no span;
 repeated rows and rows with a null id are searched one by one; an empty table gives an empty
@@ -27,18 +29,21 @@ import hashlib
 import re
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiermill.llm import textbatch as tb
 from tiermill.session import freeze
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Bounds of the training set and of an entity.
-REGIONS, REGION_TOKENS, LONGEST = 400, 48, 6
-ROUNDS, RATE, DECAY = 8, 0.3, 1e-3
+REGIONS, REGION_TOKENS, LONGEST = 400, 48, 7
+ROUNDS, RATE, DECAY = 5, 0.3, 1e-3
 #: Sums of weights that a task keeps at hand.
 SUMS = 1 << 16
 
@@ -53,15 +58,30 @@ _ANY = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\s=\"'(),;:<>\[\]{}]+|[=\"'(),;:<>\[\]{}]")
 _TAIL = re.compile(r"[.!?]+$")
 _SECRET = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?<=[=:])\s*\"?[0-9a-f]{16,}\b")
-_KEYWORDS = ("password", "passwd", "token", "secret", "key", "apikey", "api_key", "pwd")
+_KEYWORDS = (
+    "password", "passwd", "passphrase", "passcode", "pass", "pwd", "pin", "token", "secret", "key", "apikey", "api_key", "credential", "credentials",
+)
+_NUMBERS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+_AT, _DOT = re.compile(r"@|＠|[\[( ]at[\]) ]", re.I), re.compile(r"\.|[\[( ]dot[\]) ]", re.I)
 REACH = 3
-#: What the rules and the key patterns can begin with, and all that features or other spellings can.
-_STRONG = re.compile(r"[0-9@=]|\bdot\b")
+#: What the rules and the key patterns can begin with.
+_STRONG = re.compile(r"[0-9@=]|\b[dD][oO][tT]\b")
 _OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdigit())
-_SIGNAL = re.compile(
-    rf"[0-9@={_OTHER_DIGITS}]|\b(?:dot|at|AKIA[A-Z]{{16}})\b|:\s*\"?[a-f]{{16}}|(?i:\b(?:{'|'.join(_KEYWORDS)})\b)"
-)
-
+_OTHER_DIGIT = re.compile(f"[{_OTHER_DIGITS}]")
+_MARK = np.zeros(256, bool)
+_MARK[list(b"0123456789@=:")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: So many letters in a row may be a key.
+LETTERS = 16
+
+
+_SIGNAL_WORDS = frozenset(w.encode() for w in ("at", "dot", *_KEYWORDS) if "_" not in w)
+_NUMBER_WORDS = frozenset(w.encode() for w in _NUMBERS)
+#: By the first two letters and the length: whether a run of letters can be one of these words.
+_OPENING = np.zeros((26, 26, LETTERS), bool)
+for _w in _SIGNAL_WORDS | _NUMBER_WORDS:
+    _OPENING[_w[0] - 97, _w[1] - 97, len(_w)] = True
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -132,77 +152,128 @@ def tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return found
 
 
-_WORD = re.compile(r"\S+")
+def _signals(data: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which of the words hold a signal."""
+    hot = _MARK[data]
+    hot[2:] |= (data[2:] == 0xA0) & (data[1:-1] == 0xBC) & (data[:-2] == 0xEF)  # the wide at sign
+    letter = _LETTER[data]
+    opens, shuts = letter.copy(), letter.copy()
+    opens[1:] &= ~letter[:-1]
+    shuts[:-1] &= ~letter[1:]
+    opens[start], shuts[end - 1] = letter[start], letter[end - 1]  # a run ends with its text
+    first = np.flatnonzero(opens)
+    size = np.flatnonzero(shuts) + 1 - first
+    hot[first[size >= LETTERS]] = True
+    number = np.zeros(len(data) + 1, bool)
+    ok = (size > 1) & (size < LETTERS)
+    first, size = first[ok], size[ok]
+    lower = tb.LOWER[data]
+    near = np.flatnonzero(_OPENING[lower[first] - 97, lower[first + 1] - 97, size])
+    body = lower.tobytes()
+    for at, n in zip(first[near].tolist(), size[near].tolist()):
+        word = body[at : at + n]
+        if word in _SIGNAL_WORDS:
+            hot[at] = True
+        elif word in _NUMBER_WORDS:
+            number[at] = True
+    seen = np.append(0, np.cumsum(hot))
+    found = seen[end] > seen[start]
+    seen = np.append(0, np.cumsum(number))
+    number = seen[end] > seen[start]
+    row = np.flatnonzero(number[:-2] & number[1:-1] & number[2:] & (doc[:-2] == doc[2:])) if len(doc) > 2 else np.zeros(0, np.int64)
+    found[row] = True
+    return found
 
 
-def regions(text: str, signal: re.Pattern = _SIGNAL) -> Iterator[tuple[int, int]]:
-    """Stretches around signals: ``REACH`` words to either side, joined where they meet."""
-    start = end = -1
-    for m in signal.finditer(text):
-        if m.start() < end:
+def regions(column: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """Text number, start and end of stretches around signals: ``REACH`` words to either side, joined where they meet."""
+    strange = pc.match_substring_regex(column, f"[{_OTHER_DIGITS}]")
+    for row, data, offsets in tb.chunks(column):
+        start, end, doc = tb.words(data, offsets)
+        if not len(doc):
             continue
-        low = m.start()
-        for _ in range(REACH):
-            while low > 0 and not text[low - 1].isspace():
-                low -= 1
-            while low > 0 and text[low - 1].isspace():
-                low -= 1
-        while low > 0 and not text[low - 1].isspace():
-            low -= 1
-        high, left = m.end(), REACH + 1
-        for w in _WORD.finditer(text, m.start()):
-            high, left = w.end(), left - 1
-            if not left:
-                break
-        if start >= 0 and low <= end:
-            end = max(end, high)
-        else:
-            if start >= 0:
-                yield start, end
-            start, end = low, high
-    if start >= 0:
-        yield start, end
-
-
-def _shape(s: str) -> str:
-    out = []
-    for c in s[:40]:
-        k = "9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "_" if c.isspace() else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return "".join(out)[:16]
-
-
-def _features(text: str, marks: list[tuple[int, int]], i: int, j: int) -> list[str]:
-    """Of the whole span of tokens ``i`` to ``j``."""
-    a, z = marks[i][0], marks[j - 1][1]
-    s = text[a:z]
-    if j - i == 1 and s.isalpha():
+        found = _signals(data, start, end, doc)
+        points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+        for k in np.flatnonzero(strange[row : row + len(offsets) - 1].fill_null(False).to_numpy(zero_copy_only=False)):
+            at = [points[offsets[k]] + m.start() for m in _OTHER_DIGIT.finditer(column[row + k].as_py())]
+            found[np.searchsorted(start, np.searchsorted(points, at, "right") - 1, "right") - 1] = True
+        bounds = np.searchsorted(doc, np.arange(len(offsets)))
+        word = np.flatnonzero(found)
+        low, high = np.maximum(word - REACH, bounds[doc[word]]), np.minimum(word + REACH, bounds[doc[word] + 1] - 1)
+        opens = np.flatnonzero(np.append(True, low[1:] > high[:-1])) if len(word) else word
+        shuts = np.append(opens[1:], len(word)) - 1 if len(word) else word
+        base = points[offsets[:-1]]
+        own = doc[word[opens]]
+        yield from zip((row + own).tolist(), (points[start[low[opens]]] - base[own]).tolist(), (points[end[high[shuts]]] - base[own]).tolist())
+
+_CLASSES = "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "_" if c.isspace() else c for c in map(chr, range(128)))
+
+
+@lru_cache(1 << 12)
+def _class(c: str) -> str:
+    return "9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "_" if c.isspace() else "o" if c.isalpha() else c
+
+
+@lru_cache(1 << 16)
+def _shape(classes: str) -> str:
+    """Runs of one class as one sign each."""
+    return "".join(c for c, before in zip(classes, "\0" + classes) if c != before)[:16]
+
+
+def _spans(text: str, marks: list[tuple[int, int]]) -> Iterator[list[tuple]]:
+    """For each first token what tells the spans from it on apart: of one token, of two, and so on."""
+    low, n = marks[0][0], len(marks)
+    region = text[low : marks[-1][1]]
+    classes = region.translate(_CLASSES) if region.isascii() else "".join(map(_class, region))
+    words = [text[a:z] for a, z in marks]
+    own = [classes[a - low : z - low] for a, z in marks]
+    digits, letters, dots = [0], [0], [0]
+    for c, w in zip(own, words):
+        digits.append(digits[-1] + c.count("9"))
+        letters.append(letters[-1] + c.count("a") + c.count("A") + c.count("o"))
+        dots.append(dots[-1] + w.count("."))
+    gaps = [0]
+    for k in range(n - 1):
+        gaps.append(gaps[-1] + (marks[k][1] < marks[k + 1][0]))
+    marked = _AT.search(region) is not None
+    for i in range(n):
+        before = [w.lower() for w in words[max(0, i - 3) : i]]
+        after = any(w in _KEYWORDS for w in before) and any(w in ("=", ":") for w in before)
+        kind = ("a" if words[i - 1].isalpha() else _shape(own[i - 1][:40])) if i else None
+        a, row = marks[i][0], []
+        for j in range(i + 1, min(n, i + LONGEST) + 1):
+            if j == i + 1 and words[i].isalpha():
+                row.append(("word", after, kind))
+                continue
+            z = marks[j - 1][1]
+            count, s = digits[j] - digits[i], text[a:z]
+            luhn_ok = 12 <= count <= 19 and luhn("".join(c for c in s if c in "0123456789") or "1")
+            row.append((
+                _shape(classes[a - low : min(z, a + 40) - low]), min(count, 20), j - i, min(dots[j] - dots[i], 5), min(letters[j] - letters[i], 12),
+                own[i][0], own[j - 1][-1], gaps[j - 1] > gaps[i], (_DOT.search(s) is not None if _AT.search(s) else None) if marked else None,
+                luhn_ok, count >= 4 and _octets(s), 9 <= count <= 15 and count + sum(c in "+().- " for c in s) == len(s),
+                j == i + 1 and len(s) >= 16 and 0 < count < len(s) and s.isalnum(), after, kind,
+            ))
+        yield row
+
+
+def _octets(s: str) -> bool:
+    parts = [p.strip() for p in re.split(r"[.:]| dot ", s)]
+    return len(parts) == 4 and all(p.isdecimal() and int(p[:6]) <= 255 for p in parts)
+
+
+def _features(key: tuple) -> list[str]:
+    """Of the whole span that a key of :func:`_spans` stands for."""
+    if key[0] == "word":
         found = ["word"]
     else:
-        digits = [c for c in s if c.isdigit()]
-        n = len(digits)
-        found = [
-            "shape=" + _shape(s), f"digits={min(n, 20)}", f"tokens={j - i}", f"dots={min(s.count('.'), 5)}",
-            f"letters={min(sum(c.isalpha() for c in s), 12)}", f"first={_shape(s[0])}", f"last={_shape(s[-1])}",
-            f"gap={any(marks[k][1] < marks[k + 1][0] for k in range(i, j - 1))}",
-        ]
-        if "@" in s or "(at)" in s or " at " in s:
-            found.append(f"at={'.' in s or ' dot ' in s}")
-        if 12 <= n <= 19 and luhn("".join(c for c in digits if c in "0123456789") or "1"):
-            found.append("luhn")
-        parts = re.split(r"[.:]| dot ", s)
-        if len(parts) == 4 and all(p.strip().isdecimal() and int(p[:6]) <= 255 for p in parts if p.strip()) and all(p.strip() for p in parts):
-            found.append("octets")
-        if 9 <= n <= 15 and n + sum(c in "+().- " for c in s) == len(s):
-            found.append(f"dial={s[0] == '+'}")
-        if len(s) >= 16 and s.isalnum() and n and n < len(s):
-            found.append("mixed")
-    before = [text[marks[k][0] : marks[k][1]].lower() for k in range(max(0, i - 3), i)]
-    if any(w in _KEYWORDS for w in before) and any(w in ("=", ":") for w in before):
+        shape, digits, size, dots, letters, first, last, gap, at, luhn_ok, octets, dial, mixed = key[:13]
+        found = [f"shape={shape}", f"digits={digits}", f"tokens={size}", f"dots={dots}", f"letters={letters}", f"first={first}", f"last={last}", f"gap={gap}"]
+        found += [f"at={at}"] * (at is not None) + ["luhn"] * luhn_ok + ["octets"] * octets + [f"dial={first == '+'}"] * dial + ["mixed"] * mixed
+    if key[-2]:
         found.append("after key")
-    if before:
-        found.append("before=" + (_shape(before[-1]) if not before[-1].isalpha() else "a"))
+    if key[-1] is not None:
+        found.append("before=" + key[-1])
     return found
 
 
@@ -211,7 +282,7 @@ class Model:
 
     def __init__(self, names: dict[str, int], weights: np.ndarray, follow: np.ndarray):
         self.names, self.weights, self.follow = names, weights, follow
-        self.sums: dict[tuple, np.ndarray] = {}  # of the finished model, by features
+        self.sums: dict[tuple, np.ndarray] = {}  # of the finished model, by what tells spans apart
 
     def scores(self, ids: list[list[list[int]]]) -> np.ndarray:
         """For each first token and length the score of each kind; longer spans than one are never "no entity"."""
@@ -226,10 +297,10 @@ class Model:
 
     def look_up(self, text: str, marks: list[tuple[int, int]], add: bool = False) -> list[list[list[int]]]:
         out = []
-        for i in range(len(marks)):
+        for keys in _spans(text, marks):
             row = []
-            for j in range(i + 1, min(len(marks), i + LONGEST) + 1):
-                found = _features(text, marks, i, j)
+            for key in keys:
+                found = _features(key)
                 if add:
                     for f in found:
                         self.names.setdefault(f, len(self.names))
@@ -244,14 +315,15 @@ class Model:
             return []
         kinds = self.weights.shape[1]
         scores = np.full((n, LONGEST, kinds), -np.inf)
-        for i, row in enumerate(self.look_up(text, marks)):
-            for k, own in enumerate(row):
-                name = tuple(own)
-                if name not in self.sums:
+        for i, keys in enumerate(_spans(text, marks)):
+            for k, key in enumerate(keys):
+                known = self.sums.get(key)
+                if known is None:
                     if len(self.sums) >= SUMS:
                         self.sums.clear()
-                    self.sums[name] = self.weights[own].sum(axis=0) if own else np.zeros(kinds)
-                scores[i, k] = self.sums[name]
+                    own = [self.names[f] for f in _features(key) if f in self.names]
+                    known = self.sums[key] = self.weights[own].sum(axis=0) if own else np.zeros(kinds)
+                scores[i, k] = known
         scores[:, 1:, 0] = -np.inf
         best = np.full((n + 1, kinds), -np.inf)
         best[0, 0] = 0.0
@@ -349,21 +421,29 @@ def labelled(text: str) -> list[tuple[int, int, int]]:
     return kept
 
 
+_LETTERS = str.maketrans("0123456789", "abcdefghij")
+# Other spellings of the two marks in an email.
+AT = (" at ", "(at)", " AT ", "[at]", "＠", " (at) ")
+DOT = (" dot ", " DOT ", "(dot)")
+
+
 def respelled(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
     """The same text with its spans written another way."""
     out, new, at = [], [], 0
     for a, kind, z in spans:
         s = text[a:z]
         if kind == 0:
-            s = s.replace("@", (" at ", "(at)")[turn % 2])
-            s = s if turn % 3 else s.replace(".", " dot ")
+            s = s.replace("@", AT[turn % len(AT)])
+            s = s if turn % 3 else s.replace(".", DOT[turn // 3 % len(DOT)])
             if len(tokens(s, 0, len(s))) > LONGEST:
-                s = text[a:z].replace("@", " at ")
+                s = text[a:z].replace("@", AT[turn % len(AT)])
         elif kind == 2:
             digits = re.sub(r"[^0-9]", "", s)
             s = (".", "/")[turn % 2].join(digits[i : i + 4] for i in range(0, len(digits), 4))
         elif kind == 3:
             s = re.sub(r"^\+\s*|[() ]+", lambda m: "" if m.start() == 0 else "-", s)
+        elif kind == 4 and turn % 2:
+            s = s.translate(_LETTERS)
         out += [text[at:a], s]
         start = sum(map(len, out)) - len(s)
         new.append((start, kind, start + len(s)))
@@ -371,9 +451,6 @@ def respelled(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[
     return "".join([*out, text[at:]]), new
 
 
-_LETTERS = str.maketrans("0123456789", "abcdefghij")
-
-
 def lettered(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
     """The same text with letters for digits outside of other spans; every other turn with emails of two-part domains."""
     out, new, at = [], [], 0
@@ -394,15 +471,15 @@ def train(docs: DataFrame, text: str = "text") -> Model:
 
     def find(batches):
         for batch in batches:
-            sides = {False: [], True: []}
-            for x in batch.column("text"):
-                body = x.as_py()
-                if body and _SIGNAL.search(body):
-                    sides[False] += [body[a:z] for a, z in regions(body, _STRONG) if z - a <= 40 * REGION_TOKENS]
-                    sides[True] += [body[a:z] for a, z in regions(body) if z - a <= 40 * REGION_TOKENS and not _STRONG.search(body, a, z)]
+            bodies, sides = batch.column("text"), {False: set(), True: set()}
+            at, body = -1, ""
+            for row, a, z in regions(bodies):
+                if z - a <= 40 * REGION_TOKENS:
+                    at, body = row, body if row == at else bodies[row].as_py()
+                    sides[not _STRONG.search(body, a, z)].add(body[a:z])
             rows = []
             for weak, own in sides.items():
-                rows += [(h, r, weak) for h, r in sorted({(hashlib.md5(r.encode()).digest()[:8], r) for r in own})[:REGIONS]]
+                rows += [(h, r, weak) for h, r in sorted((hashlib.md5(r.encode()).digest()[:8], r) for r in own)[:REGIONS]]
             yield pa.record_batch(
                 {"h": pa.array([r[0] for r in rows], pa.binary()), "region": pa.array([r[1] for r in rows], pa.string()),
                  "weak": pa.array([r[2] for r in rows], pa.bool_())}
@@ -418,23 +495,26 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         if len(tokens(region, 0, len(region))) <= REGION_TOKENS:
             spans = labelled(region)
             examples.append((region, spans))
-            if any(kind in (0, 2, 3) for _, kind, _ in spans):
+            if any(kind != 1 for _, kind, _ in spans):
                 examples.append(respelled(region, spans, turn))
-            if any(kind == 0 for _, kind, _ in spans):
-                examples.append(respelled(*lettered(region, spans, turn), turn))
+            if any(kind == 0 for _, kind, _ in spans):  # a multiple of three respells the dots
+                examples += [respelled(*lettered(region, spans, turn), t) for t in (turn, 3 * turn, 3 * turn + 3, 3 * turn + 6)]
     return fit(examples)
 
 
-def all_spans(text: str, model: Model) -> tuple[list, list]:
-    """Spans of the rules, and these together with those the model adds."""
-    base = base_spans(text)
-    added = []
-    if _SIGNAL.search(text):
-        for a, z in regions(text):
+def all_spans(column: pa.Array, model: Model) -> Iterator[tuple[list, list]]:
+    """For every text the spans of the rules, and these together with those the model adds."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    for row, a, z in regions(column):
+        found.setdefault(row, []).append((a, z))
+    for row, value in enumerate(column):
+        text = value.as_py() or ""
+        base, added = base_spans(text), []
+        for a, z in found.get(row, ()):
             for span in model.decode(text, tokens(text, a, z)):
                 if not any(span[0] < e and s < span[2] for s, _, e in base):
                     added.append(span)
-    return base, sorted(base + added)
+        yield base, sorted(base + added)
 
 
 _SPANS = "array<struct<start: int, kind: string, end: int>>"
@@ -449,7 +529,7 @@ def find_spans(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_i
 
     def search(batches):
         for batch in batches:
-            both = [all_spans(x.as_py() or "", held.value) for x in batch.column("text")]
+            both = list(all_spans(batch.column("text"), held.value))
             named = [[[{"start": a, "kind": KINDS[k], "end": z} for a, k, z in side] for side in pair] for pair in both]
             yield pa.record_batch(
                 {"id": batch.column("id"), "base": pa.array([n[0] for n in named], array), "spans": pa.array([n[1] for n in named], array)}
@@ -463,10 +543,7 @@ def mask(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced together, named by the first."""
     held = docs.sparkSession.sparkContext.broadcast(model or train(docs, text))
 
-    def clean(body: str | None) -> str | None:
-        if not body:
-            return body
-        spans = all_spans(body, held.value)[1]
+    def clean(body: str | None, spans: list) -> str | None:
         out, at = [], 0
         for a, kind, z in spans:
             if a >= at:
@@ -478,7 +555,8 @@ def mask(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
 
     def replace(batches):
         for batch in batches:
-            new = pa.array([clean(x.as_py()) for x in batch.column(place)], pa.string())
+            told = all_spans(batch.column(place), held.value)
+            new = pa.array([clean(x.as_py(), spans) for x, (_, spans) in zip(batch.column(place), told)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:place], new, *batch.columns[place + 1 :]], names=names)
 
     return docs.mapInArrow(replace, docs.schema)
