@@ -80,6 +80,30 @@ def test_near_duplicates_around_the_threshold(frame):
     assert brute.counted(neardup.link(frame(rows)).collect()) == brute.counted(brute.near_duplicates(rows))
 
 
+VERSIONS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_near_duplicates_of_repeated_ids(frame, monkeypatch, few):
+    """Rows of one id are versions of a document, whatever class each is in, with and without a broadcast."""
+    if not few:
+        monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
+    other = " ".join(reversed(VERSIONS.split()))
+    third = " ".join(f"w{i}" for i in range(30))
+    rows = [(5, VERSIONS), (5, other), (3, other), (9, VERSIONS + " more"), (7, third), (None, third + " x"), (-4, third + " y"), (None, "bare " + VERSIONS)]
+    rows += [(None, "one more text of its own")] * 3 + [(11, "twice the same row here")] * 4 + [(11, ""), (12, None), (5, "")]
+    assert brute.counted(neardup.link(frame(rows)).collect()) == brute.counted(brute.near_duplicates(rows))
+
+
+def test_near_duplicates_of_text_ids(frame):
+    rows = [("b", VERSIONS), ("a", VERSIONS + " more"), ("c", "one text alone in here"), (None, VERSIONS), ("é", "")]
+    named = frame([(i, t) for i, (_, t) in enumerate(rows)]).drop("doc_id").join(
+        frame([]).sparkSession.createDataFrame([(t, i) for i, t in rows], "text string, doc_id string"), "text"
+    )
+    got = neardup.link(named).distinct().collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {("a", "a", True), ("b", "a", False), (None, "a", False), ("c", "c", True), ("é", "é", True)}
+
+
 def test_sketch_estimates_similarity():
     draw = np.random.default_rng(3)
     a = draw.integers(0, 1 << 52, 300).astype(np.uint64)

@@ -25,8 +25,8 @@ before they are shuffled, and joins on a bucket can be split by adaptive executi
 Defined results: null texts and texts without words have no shingle, link with nothing and
 stay; a text of one to four words is one shingle. A component's id is its least document id
 that is not null. Repeated rows are documents like any other; rows with one id and
-different texts are versions of a document and linked. Ids are whole numbers. An empty table gives an empty one. Only the id and text columns are
-read. Shingles are told apart by 52 bits of hash within a document and pair, sets by 128.
+different texts are versions of a document and linked. Ids may be numbers or texts. An empty table gives
+an empty one. Only the id and text columns are read. Shingles are told apart by 52 bits of hash within a document and pair, sets by 128.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 40, 4
 #: Bounds of a group of classes that one task compares with each other.
 CLASSES, SHINGLES = 4096, 2_000_000
+#: Rows up to which ids are broadcast: some 60 bytes each, 32 MB in all.
+BROADCAST_ROWS = 1 << 19
 _ID_BITS = np.uint64(52)
 _UNFILLED = np.uint64(2**64 - 1)
 
@@ -110,6 +112,7 @@ def _sign(batches):
         yield pa.record_batch(
             {
                 "id": batch.column("id"),
+                "text_hash": batch.column("text_hash"),
                 "n_shingles": pa.array(np.concatenate(sets), pa.int64()),
                 "h1": pa.array(np.concatenate(names[0]).view(np.int64)),
                 "h2": pa.array(np.concatenate(names[1]).view(np.int64)),
@@ -239,18 +242,21 @@ def _linker(percent: int):
 
 def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id`` and ``kept``."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = freeze(rows.mapInArrow(_sign, "id long, n_shingles long, h1 long, h2 long, keys array<long>"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    signed = freeze(rows.mapInArrow(_sign, f"id {kind}, text_hash long, n_shingles long, h1 long, h2 long, keys array<long>"))
 
-    # A class is named by its least id, or by a negative hash if none of its rows has one; classes
-    # with one least id are versions of that document.
+    # A class is a set; its row number in a written table is its name. One of its rows stands for
+    # its text, a row with an id if there is one.
     classes = signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(
-        F.coalesce(F.min("id"), -F.abs(F.col("h1").bitwiseAND((1 << 62) - 1)) - 1).alias("node"),
         F.min("id").alias("least_id"),
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")).alias("shown"),
         F.first("n_shingles").alias("n"),
         F.first("keys").alias("keys"),
     )
-    classes = freeze(classes)
+    classes = freeze(classes.withColumn("node", F.monotonically_increasing_id()))
+    owned = freeze(signed.filter("n_shingles > 0").select("id", "n_shingles", "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"]).drop("h1", "h2"))
+    versions = _versions(owned)
     banded = classes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
     shared = banded.groupBy("key").agg((F.count("*") - 1).alias("others")).filter("others > 0")
     met = freeze(banded.join(shared, "key"))
@@ -259,10 +265,7 @@ def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     members = freeze(met.drop("others").join(weight, "node"))
     hubs = members.groupBy("key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"))
 
-    candidates = members.select("node").distinct()
-    texts = rows.join(candidates.withColumnRenamed("node", "id"), "id").select(F.col("id").alias("node"), "text")
-    texts = texts.unionByName(_unnamed_texts(rows, classes, candidates))
-    texts = freeze(texts.filter(F.col("text").rlike("[^\\x20\\x09-\\x0D]")))
+    texts = _texts(rows, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "shown.*"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
@@ -278,31 +281,42 @@ def link(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str =
     stars = members.join(hubs, "key").filter("node <> hub").groupBy("node", "hub", "n").agg(F.count("*").alias("bands"))
     stars = stars.join(hub_sizes, "hub").filter(near("n", "hub_n"))
     best = stars.groupBy("node").agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("pivot"))
-    roots = components(verified(best))
+    roots = components(verified(best).unionByName(versions))
     open_, found = freeze_counted(_unresolved(members, roots))
     if found:
         links = _units(open_).join(texts, "node").groupBy("kind", "unit", "i", "j").applyInArrow(_linker(percent), "a long, b long")
         roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    placed = classes.select("h1", "h2", "node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = classes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    placed = placed.join(ids, "root").select("h1", "h2", "component_id")
-    linked = signed.filter("n_shingles > 0").select("id", "n_shingles", "h1", "h2").join(placed, ["h1", "h2"]).drop("h1", "h2")
+    linked = owned.join(placed.join(ids, "root").select("node", "component_id"), "node").drop("node")
     alone = signed.filter("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(
         F.col("id").alias(doc_id), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
-def _unnamed_texts(rows: DataFrame, classes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Texts of classes without any id: the only rows whose class does not follow from their id."""
-    nameless = rows.filter("id is null")
+def _versions(owned: DataFrame) -> DataFrame:
+    """Edges between the classes that share an id: each to the least of them."""
+    pairs = owned.filter("id is not null").select("id", "node")
+    several, found = freeze_counted(pairs.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("high")).filter("b <> high").select("id", "b"))
+    if not found:
+        return owned.sparkSession.createDataFrame([], "a long, b long")
+    return pairs.distinct().join(several, "id").filter("node <> b").select(F.col("node").alias("a"), "b")
 
-    def signed_texts(batches):
-        for batch in batches:
-            for out in _sign([batch]):
-                yield pa.record_batch({"h1": out.column("h1"), "h2": out.column("h2"), "text": batch.column("text")})
 
-    hashed = nameless.mapInArrow(signed_texts, "h1 long, h2 long, text string").dropDuplicates(["h1", "h2"])
-    wanted = classes.filter("least_id is null").join(candidates, "node", "left_semi").select("h1", "h2", "node")
-    return hashed.join(wanted, ["h1", "h2"]).select("node", "text")
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the wanted classes, whose rows are told by id and hash of the text.
+
+    The rows are not shuffled while the wanted ones are few enough to be sent to every task.
+    """
+    wanted, count = freeze_counted(wanted)
+    small = F.broadcast if count <= BROADCAST_ROWS else (lambda df: df)
+    named = wanted.filter("not unnamed").select("node", "id", "text_hash")
+    found = rows.join(small(named), ["id", "text_hash"]).select("node", "text")
+    if count and wanted.filter("unnamed").limit(1).count():
+        # Rows without an id may all be one text: they are made distinct in every task first.
+        bare = rows.filter("id is null").groupBy("text_hash").agg(F.first("text").alias("text"))
+        found = found.unionByName(bare.join(wanted.filter("unnamed").select("node", "text_hash"), "text_hash").select("node", "text"))
+    found, rows_found = freeze_counted(found)
+    return found if rows_found <= count else freeze(found.groupBy("node").agg(F.first("text").alias("text")))
