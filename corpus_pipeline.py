@@ -29,7 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     _, found = freeze_counted(docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").select("doc_id"))
     if not found:  # ids are keys of rows
-        gone = neardup.link(docs).filter("not kept").select("doc_id")
+        gone, count = freeze_counted(neardup.link(docs).filter("not kept").select("doc_id"))
+        if count <= neardup.BROADCAST_ROWS:  # then the documents stay where they are
+            gone = F.broadcast(gone)
         return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     key = "_row"
     while key in docs.columns:
