@@ -5,7 +5,7 @@ Landed rows carry ``kind, period, file_rank, raw_name, row_idx, amount, category
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,14 +42,21 @@ def entity_sum(rows: DataFrame, per_file: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def collapse(totals: DataFrame, how: str = "last") -> DataFrame:
-    """One total per kind, clean name and period.
+def region_tag(df: DataFrame, region: str, contains: Mapping[str, str]) -> DataFrame:
+    """Rows of several regions, under their names: the first whose text the region key contains."""
+    key = region_key(F.col(region))
+    named = F.coalesce(*[F.when(key.contains(text), F.lit(name)) for name, text in contains.items()])
+    return df.withColumn(region, named).filter(F.col(region).isNotNull())
+
+
+def collapse(totals: DataFrame, how: str = "last", within: Sequence[str] = ()) -> DataFrame:
+    """One total per kind, clean name and period, and ``within`` further columns.
 
     ``last`` keeps the raw name that sorts last in the last file that has the name and
     loses the others, which is the default rule; ``sum`` adds them up.
     """
     clean = totals.withColumn("entity", name_clean(F.col("raw_name")))
-    grouped = clean.groupBy("kind", "entity", "period")
+    grouped = clean.groupBy("kind", *within, "entity", "period")
     if how == "sum":
         return grouped.agg(F.sum("total").alias("total"))
     if how == "last":
@@ -57,12 +64,12 @@ def collapse(totals: DataFrame, how: str = "last") -> DataFrame:
     raise ValueError(f"unknown collapse rule {how!r}")
 
 
-def category_pick(totals: DataFrame, has_category: Column | None = None) -> DataFrame:
-    """Category per clean name: the last file that has a category column wins, and inside
+def category_pick(totals: DataFrame, has_category: Column | None = None, within: Sequence[str] = ()) -> DataFrame:
+    """Category per clean name, and ``within`` further columns: the last file that has a category column wins, and inside
     it the last raw name. ``has_category`` marks rows of files with that column."""
     rows = totals if has_category is None else totals.filter(has_category)
     clean = rows.withColumn("entity", name_clean(F.col("raw_name")))
-    return clean.groupBy("entity").agg(
+    return clean.groupBy(*within, "entity").agg(
         F.max_by("category", F.struct("file_rank", "raw_name")).alias("category")
     )
 

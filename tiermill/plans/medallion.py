@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,7 @@ from tiermill.operators.reconcile import (
     distinct_keys,
     entity_sum,
     region_filter,
+    region_tag,
     store_of,
 )
 from tiermill.plans import extensions, layers, views
@@ -43,8 +44,8 @@ TEXT_LIMITS = {"entity": 500, "category": 50, "label": 20, "source_file": 255}
 ROLES = ("region", "entity", "category", "amount")
 
 
-def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame) -> DataFrame:
-    """Grid of the listed files to rows with names, in the region of the profile."""
+def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame, regions: Mapping[str, str] | None = None) -> DataFrame:
+    """Grid of the listed files to rows with names, in the region of the profile or, under their names, in ``regions``."""
     first, second = profile.kinds
     found = grid.layout(
         cells, profile.skip_sheets, profile.header_any, profile.header_all, profile.default_header_row
@@ -62,7 +63,7 @@ def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame) -> DataFr
     ).withColumn("amount", F.when(F.col("kind") == first, F.col("_first")).otherwise(F.col("_second")))
     # One row per file. Stored, its size is known and decides whether the join broadcasts.
     rows = grid.named_rows(cells, freeze(placed), ROLES, ("region", "entity", "amount"))
-    local = region_filter(rows, "region", profile.region_contains)
+    local = region_tag(rows, "region", regions) if regions else region_filter(rows, "region", profile.region_contains)
     facts = manifest.manifest_join(manifest.file_id_from_path(local, "file"), listed)
     return facts.withColumnRenamed("entity", "raw_name")
 
@@ -84,6 +85,15 @@ def reconcile(rows: DataFrame, profile: Profile, collapse_rule: str = "last") ->
     return full.withColumn("category", F.coalesce("category", F.lit(""))).select(*curated_csv.COLUMNS)
 
 
+def land(warehouse: Warehouse, source: str, listed: DataFrame) -> tuple[DataFrame, int]:
+    """Cells of the listed workbooks, decoded once into a landing table, and the number of unreadable files."""
+    files = manifest.file_id_from_path(workbook.workbook_files(warehouse.spark, source))
+    wanted = files.join(listed, "file_id", "left_semi")
+    warehouse.refresh("bronze", "landing", workbook.workbook_scan(wanted))
+    landing = warehouse.read("bronze", "landing")
+    return workbook.readable(landing), warehouse.refresh("bronze", "unreadable", workbook.unreadable(landing))
+
+
 def ingest(
     warehouse: Warehouse, source: str, csv_path: str, profile: Profile, collapse_rule: str = "last"
 ) -> dict:
@@ -91,15 +101,8 @@ def ingest(
 
     Workbooks are decoded once into a landing table; everything after reads that table.
     """
-    spark = warehouse.spark
-    listed = manifest.manifest_frame(spark, profile.manifest)
-    files = manifest.file_id_from_path(workbook.workbook_files(spark, source))
-    wanted = files.join(listed, "file_id", "left_semi")
-    warehouse.refresh("bronze", "landing", workbook.workbook_scan(wanted))
-    landing = warehouse.read("bronze", "landing")
-    damaged = warehouse.refresh("bronze", "unreadable", workbook.unreadable(landing))
-    cells = workbook.readable(landing)
-
+    listed = manifest.manifest_frame(warehouse.spark, profile.manifest)
+    cells, damaged = land(warehouse, source, listed)
     rows = landed_rows(cells, profile, listed)
     written = curated_csv.write_csv(reconcile(rows, profile, collapse_rule), csv_path, profile.csv_names)
     if not written:

@@ -1,23 +1,30 @@
 """Layer tables: staged versions, one commit per layer, views on the current versions, audit log.
 
 A batch writes new versions of the tables of a layer beside the old ones and commits them
-together: one small file under ``_commits`` names the versions and view texts that hold
-from now on, and then the views of the layer are pointed at them. A failure before that
-leaves every table of the layer as it was. A new session on the same root reads the commits
-and registers what they name.
+together (:mod:`tiermill.plans.commits`): one small file names the versions and view texts that
+hold from now on, and then the views of the layer are pointed at them. A failure before that
+leaves every table of the layer as it was, and of two loads that began on the same commit only
+one can commit. A new session on the same root reads the commits and registers what they name.
+
+A table may also be kept in parts: a commit then names a folder for every partition, and a batch
+replaces the partitions of some values and keeps the others by reference.
+
+What the last two commits of a layer do not name is removed, whichever session wrote it. A session
+that was opened earlier sees newer commits after :meth:`Warehouse.create`.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.plans.commits import CommitLog, Files
 from tiermill.session import literal_rows
 
 LAYERS = ("bronze", "silver", "gold", "audit")
@@ -26,7 +33,6 @@ _AUDIT = (
     "ended_at timestamp, duration_s double, created_at timestamp"
 )
 AUDIT_COLUMNS = tuple(c.split()[0] for c in _AUDIT.split(", "))
-_COMMIT = "at bigint, layer string, position int, name string, version string, spec string"
 
 
 @dataclass
@@ -48,12 +54,17 @@ class Warehouse:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}` LOCATION '{self.root}/{layer}'"
             )
-            # Adds nothing, but lets the folder of commits exist from the start.
-            literal_rows(self.spark, [], _COMMIT).write.mode("append").json(f"{self.root}/_commits/{layer}")
-            for row in self._committed(layer):
-                self._register(layer, row.name, row.version, json.loads(row.spec))
+            state = self.commits(layer).state()
+            for name in sorted(state, key=lambda n: state[n]["kind"] == "view"):  # views on tables come after them
+                self._register(layer, name, state[name])
         return self
 
+    def files(self) -> Files:
+        return Files(self.spark, self.root)
+
+    def commits(self, layer: str) -> CommitLog:
+        return CommitLog(self.files(), layer)
+
     def name(self, layer: str, table: str) -> str:
         return f"`{self.database(layer)}`.`{table}`"
 
@@ -73,41 +84,56 @@ class Warehouse:
         staged.commit()
         return n
 
-    def _history(self, layer: str) -> DataFrame:
-        return self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits/{layer}")
-
-    def _committed(self, layer: str) -> list:
-        """The newest version of every table and view of a layer: a few rows."""
-        newest = self._history(layer).groupBy("name").agg(F.max_by(F.struct("at", "position", "version", "spec"), "at").alias("last"))
-        return newest.select("name", "last.*").orderBy("at", "position").collect()
-
-    def _register(self, layer: str, name: str, version: str, spec: dict) -> None:
-        if spec["kind"] == "view":
-            columns = spec["text"].format(**{x: self.database(x) for x in LAYERS})
+    def _register(self, layer: str, name: str, entry: dict) -> None:
+        if entry["kind"] == "view":
+            columns = entry["text"].format(**{x: self.database(x) for x in LAYERS})
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS {columns}")
             return
+        target = self._store(layer, entry)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS SELECT * FROM {target}")
+
+    def _store(self, layer: str, entry: dict) -> str:
+        """Name of the table that holds a version, which the catalog is told of if it has to be."""
+        version = entry["version"]
         target = self.name(layer, version)
         if not self.spark.catalog.tableExists(target):
-            parts = f" PARTITIONED BY ({', '.join(spec['partition_by'])})" if spec["partition_by"] else ""
-            if spec["bucket_by"]:
-                keys = ", ".join(spec["bucket_by"][1])
-                parts += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec['bucket_by'][0]} BUCKETS"
+            parts = f" PARTITIONED BY ({', '.join(entry['partition_by'])})" if entry["partition_by"] else ""
+            if entry["bucket_by"]:
+                keys = ", ".join(entry["bucket_by"][1])
+                parts += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {entry['bucket_by'][0]} BUCKETS"
             self.spark.sql(
-                f"CREATE TABLE {target} ({spec['columns']}) USING parquet{parts} "
+                f"CREATE TABLE {target} ({entry['columns']}) USING parquet{parts} "
                 f"LOCATION '{self.root}/{layer}/{version}'"
             )
-            if spec["partition_by"]:
+            if entry["kind"] == "parts":
+                self._locate(layer, target, entry)
+            elif entry["partition_by"]:
                 self.spark.sql(f"MSCK REPAIR TABLE {target}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS SELECT * FROM {target}")
-
-    def _drop_old(self, layer: str, names: Sequence[str]) -> None:
-        """Versions that were committed before the last two; others may belong to a running load."""
-        history = self._history(layer).filter(F.col("name").isin(*names) & (F.col("version") != ""))
-        for row in history.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("at", "version"))).alias("all")).collect():
-            for _, version in row.all[:-2]:
-                target = self.name(layer, version)
-                if self.spark.catalog.tableExists(target):
-                    self.spark.sql(f"DROP TABLE {target}")
+        return target
+
+    def _locate(self, layer: str, target: str, entry: dict) -> None:
+        """Tell the catalog where each partition is: filters on their columns then reach only these folders."""
+        found = []
+        for part in entry["parts"]:
+            values = ", ".join(f"`{c}` = '{_quoted(v)}'" for c, v in zip(entry["partition_by"], part["values"]))
+            found.append(f"PARTITION ({values}) LOCATION '{_quoted(self.root)}/{layer}/{_quoted(part['folder'])}'")
+        if found:
+            self.spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {' '.join(found)}")
+
+    def _remove_outdated(self, layer: str) -> None:
+        """Tables, folders and commit files that the last commits have no use for."""
+        log, files = self.commits(layer), self.files()
+        held = {f for _, state in log.states(2) for e in state.values() for f in _folders(e)}
+        for entry in log.outdated():
+            target = self.name(layer, entry["version"]) if entry["version"] else None
+            if target and self.spark.catalog.tableExists(target):
+                self.spark.sql(f"DROP TABLE {target}")
+            for folder in set(_folders(entry)) - held:
+                files.delete(f"{layer}/{folder}")
+                top = folder.split("/")[0]
+                if not any(f.split("/")[0] == top for f in held):
+                    files.delete(f"{layer}/{top}")
+        log.forget()
 
     def log(
         self, stage: str, status: str, message: str, n_rows: int, started: datetime, ended: datetime | None = None
@@ -142,7 +168,8 @@ class Batch:
 
     def __init__(self, warehouse: Warehouse, layer: str):
         self.warehouse, self.layer = warehouse, layer
-        self.staged: dict[str, tuple[str, dict]] = {}
+        self.parent = warehouse.commits(layer).latest()
+        self.staged: dict[str, dict] = {}
 
     def write(
         self,
@@ -172,18 +199,73 @@ class Batch:
         if check:
             check(stored)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
-        spec = {"kind": "table", "columns": columns, "partition_by": list(partition_by), "bucket_by": bucket_by}
-        self.staged[table] = (version, spec)
+        self.staged[table] = {
+            "kind": "table", "version": version, "columns": columns, "partition_by": list(partition_by), "bucket_by": bucket_by,
+        }
         return counted.get["n"]
 
+    def write_parts(
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: Sequence[str],
+        replaces: Callable[[dict[str, str]], bool],
+        check: Callable[[DataFrame], Collection[str]] | None = None,
+    ) -> int:
+        """Stage new partitions of a table and give their row count.
+
+        Of the partitions there are now, those that ``replaces`` accepts (column to value, as text)
+        give way; the others stay where they are, by reference. ``check`` sees the new rows and
+        names values of the last partition column that are not to be committed: their
+        partitions stay as they were. The rebalance hint gathers a partition's rows into files of
+        the advisory size and splits a large one over many tasks.
+        """
+        warehouse, counted = self.warehouse, Observation()
+        version, columns = f"{table}__{uuid.uuid4().hex}", [c for c in df.columns if c not in partition_by]
+        ordered = df.select(*columns, *partition_by)
+        path = f"{warehouse.root}/{self.layer}/{version}"
+        watched = ordered.hint("rebalance", *partition_by).observe(counted, F.count(F.lit(1)).alias("n"))
+        watched.write.partitionBy(*partition_by).parquet(path)
+        refused = set(check(warehouse.spark.read.schema(ordered.schema).parquet(path)) if check else ())
+        leaves = self._leaves(version, len(partition_by))
+        fresh = [{"values": v, "folder": f"{version}/{f}"} for v, f in leaves if v[-1] not in refused]
+        for values, folder in leaves:
+            if values[-1] in refused:
+                warehouse.files().delete(f"{self.layer}/{version}/{folder}")
+        old = warehouse.commits(self.layer).state().get(table, {"parts": []})["parts"]
+
+        def gives_way(part: dict) -> bool:
+            named = dict(zip(partition_by, part["values"]))
+            return replaces(named) and part["values"][-1] not in refused
+
+        kept = [p for p in old if not gives_way(p)]
+        told = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema)
+        self.staged[table] = {
+            "kind": "parts", "version": f"{version}_all", "columns": told, "partition_by": list(partition_by), "bucket_by": None,
+            "parts": sorted(kept + fresh, key=lambda p: p["values"]),
+        }
+        return counted.get["n"]
+
+    def _leaves(self, folder: str, depth: int) -> list[tuple[list[str], str]]:
+        """Values and folders of the partitions below a folder: one listing for each, no data is read."""
+        found, files = [([], "")], self.warehouse.files()
+        for _ in range(depth):
+            found = [
+                ([*values, unquote(name.partition("=")[2])], f"{at}/{name}".lstrip("/"))
+                for values, at in found
+                for name in files.names(f"{self.layer}/{folder}/{at}".rstrip("/"), folders=True)
+            ]
+        return found
+
     def read(self, table: str) -> DataFrame:
         """The staged version, or the current one of a table that the batch does not write."""
-        version = self.staged[table][0] if table in self.staged else table
-        return self.warehouse.read(self.layer, version)
+        if table in self.staged:
+            return self.warehouse.spark.table(self.warehouse._store(self.layer, self.staged[table]))
+        return self.warehouse.read(self.layer, table)
 
     def define(self, view: str, text: str) -> None:
         """Stage a view. ``text`` is SQL over current names, with ``{gold}`` and so on for the databases."""
-        self.staged[view] = ("", {"kind": "view", "text": text})
+        self.staged[view] = {"kind": "view", "version": "", "text": text}
 
     def define_columns(self, view: str, columns: Mapping[str, str], source: str, where: str) -> None:
         """A view on another table of the layer: name to expression, and a condition."""
@@ -191,10 +273,20 @@ class Batch:
         self.define(view, f"SELECT {chosen} FROM {{{self.layer}}}.`{source}` WHERE {where}")
 
     def commit(self) -> None:
+        """All that is staged, at once. Raises if another load has committed since the batch was begun."""
         warehouse, layer = self.warehouse, self.layer
-        at = int(datetime.now(timezone.utc).timestamp() * 1e6)
-        rows = [(at, layer, i, name, version, json.dumps(spec)) for i, (name, (version, spec)) in enumerate(self.staged.items())]
-        literal_rows(warehouse.spark, rows, _COMMIT).coalesce(1).write.mode("append").json(f"{warehouse.root}/_commits/{layer}")
-        for name, (version, spec) in self.staged.items():
-            warehouse._register(layer, name, version, spec)
-        warehouse._drop_old(layer, list(self.staged))
+        warehouse.commits(layer).append(self.parent, self.staged)
+        for name, entry in self.staged.items():
+            warehouse._register(layer, name, entry)
+        warehouse._remove_outdated(layer)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _folders(entry: dict) -> list[str]:
+    """Folders below the layer's that an entry's rows are in."""
+    if entry["kind"] == "parts":
+        return [p["folder"] for p in entry["parts"]]
+    return [entry["version"]] if entry["version"] else []
