@@ -5,9 +5,9 @@ from __future__ import annotations
 
 def all_queries() -> dict:
     """Query name to (Spark function, SQL or None)."""
-    from bindings import landing, reports, texts, warehousing
+    from bindings import landing, regions, reports, texts, warehousing
 
     found: dict = {}
-    for module in (reports, texts, landing, warehousing):
+    for module in (reports, texts, landing, warehousing, regions):
         found.update(module.QUERIES)
     return found

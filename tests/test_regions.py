@@ -183,3 +183,16 @@ def test_a_failed_region_leaves_the_others(spark, warehouse, tmp_path):
     assert warehouse.audit_log(50).filter("status = 'error'").count() == 2
     with pytest.raises(ValueError, match="no usable rows"):
         regional.ingest(warehouse, landing(tmp_path / "three"), PROFILE, {"none": "nowhere"})
+
+
+def test_layouts_reach_one_folder_and_need_no_exchange(spark):
+    from bindings import regions
+
+    sf = "/root/testdata/sf0.001"
+    stored = regions.QUERIES["period_region_layout"][0](spark, sf)
+    cell = stored.filter("period = 1997 AND region = 'ASIA'")
+    wanted = cell._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "period" in wanted and "= 1997" in wanted and "= ASIA" in wanted
+    assert cell.count() > 0
+    plan = regions.QUERIES["region_bucket_rollup"][0](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
