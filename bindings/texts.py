@@ -37,26 +37,41 @@ def _member_flag(spark, sf):
     return table(spark, sf, "part").select("p_partkey", "p_name", flag.alias("is_member"))
 
 
-def _member_semi_join(limit):
-    """Parts whose name is in, or holds, an entry made from the parts of one brand."""
+def _part_entries(parts):
+    """An entry from every part: its name with a word more, or a piece of its name."""
+    longer = F.concat("p_name", F.lit(" kit"))
+    return parts.select(F.when(F.col("p_partkey") % 2 == 0, longer).otherwise(F.substring("p_name", 2, 6)).alias("entry"))
 
-    def run(spark, sf):
-        parts = table(spark, sf, "part")
-        listed = parts.filter("p_brand = 'Brand#2' AND p_size = 11").select(
-            F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit(" kit")))
-            .otherwise(F.substring("p_name", 2, 6))
-            .alias("entry")
-        )
-        return membership.member_semi_join(parts, "p_name", listed, "entry", limit).select("p_partkey", "p_name")
 
-    return run
+def _member_semi_join(spark, sf):
+    parts = table(spark, sf, "part")
+    return membership.member_semi_join(parts, "p_name", _part_entries(parts), "entry").select("p_partkey", "p_name")
 
 
-_SEMI_SQL = """SELECT p_partkey, p_name FROM part WHERE EXISTS (
-  SELECT 1 FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name || ' kit' ELSE substr(p_name, 2, 6) END AS e
-    FROM part WHERE p_brand = 'Brand#2' AND p_size = 11) l
+def _member_semi_join_long_list(spark, sf):
+    """Documents whose whole text holds, or is held by, an entry made from a part or a benchmark item."""
+    items = table(spark, sf, "benchmark")
+    listed = _part_entries(table(spark, sf, "part")).unionByName(items.select(F.col("text").alias("entry")))
+    listed = listed.unionByName(items.select(F.substring("text", 1, 24).alias("entry")))
+    return membership.member_semi_join(table(spark, sf, "documents"), "text", listed, "entry").select("doc_id")
+
+
+_PART_ENTRY = "CASE WHEN p_partkey % 2 = 0 THEN p_name || ' kit' ELSE substr(p_name, 2, 6) END"
+_SEMI_SQL = f"""SELECT p_partkey, p_name FROM part WHERE EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT {_PART_ENTRY} AS e FROM part) l
   WHERE contains(part.p_name, trim(l.e)) OR contains(trim(l.e), part.p_name))"""
 
+
+def _folded(sql: str) -> str:
+    return _squeeze(f"replace(strip_accents(lower(coalesce({sql}, ''))), '-', ' ')")
+
+
+_LONG_LIST_SQL = f"""WITH listed AS (
+  SELECT DISTINCT {_folded('e')} AS e FROM (
+    SELECT {_PART_ENTRY} AS e FROM part UNION ALL SELECT text FROM benchmark UNION ALL SELECT substr(text, 1, 24) FROM benchmark)),
+names AS (SELECT doc_id, {_folded('text')} AS n FROM documents)
+SELECT doc_id FROM names WHERE EXISTS (SELECT 1 FROM listed WHERE contains(n, e) OR contains(e, n))"""
+
 # Numbers written well and badly, chosen by the event id.
 _NUMBER_TEXT = """CASE event_id % 7 WHEN 0 THEN CAST(CAST(value AS DECIMAL(10,2)) AS STRING)
   WHEN 1 THEN CAST(CAST(floor(value) AS BIGINT) AS STRING) WHEN 2 THEN 'abc' WHEN 3 THEN ''
@@ -138,8 +153,8 @@ QUERIES = {
         _member_flag,
         f"SELECT p_partkey, p_name, {_BOTH_WAYS.format('lower(p_name)', _FOLDED_LIST)} AS is_member FROM part",
     ),
-    "member_semi_join": (_member_semi_join(membership.LITERAL_LIMIT), _SEMI_SQL),
-    "member_semi_join_long_list": (_member_semi_join(0), _SEMI_SQL),
+    "member_semi_join": (_member_semi_join, _SEMI_SQL),
+    "member_semi_join_long_list": (_member_semi_join_long_list, _LONG_LIST_SQL),
     "numeric_coerce": (
         _numeric_coerce,
         f"""SELECT event_id, CASE WHEN regexp_full_match(trim(raw), '[0-9]+(\\.[0-9]+)?')

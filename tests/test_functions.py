@@ -93,7 +93,17 @@ def test_member_flag(spark):
     assert apply(spark, lambda c: membership.member_flag(c, []), ["unad"]) == [False]
 
 
-@pytest.mark.parametrize("limit", [0, 500])
+def _random_lists():
+    """Names and entries of few letters, so that many hold one another; also a name longer than all entries."""
+    import random
+
+    draw = random.Random(6)
+    word = lambda most: "".join(draw.choice("abcé ") for _ in range(draw.randrange(1, most)))
+    for most in (6, 14):
+        yield [word(most) for _ in range(150)] + [word(200)], [word(most + 4) for _ in range(40)]
+
+
+@pytest.mark.parametrize("shard_bytes", [3, membership.SHARD_BYTES])
 @pytest.mark.parametrize(
     "names, members",
     [
@@ -101,18 +111,20 @@ def test_member_flag(spark):
         (["a", "bb", ""], [""]),
         (["a", "bb", ""], []),
         (["abc", "abcabc", "xabcx", "b"], ["abc", "bc", "cab"]),
+        ([None, "ab", "Á-b", "c d"], ["xx ab", None, "d e c d"]),
+        *_random_lists(),
     ],
 )
-def test_member_semi_join_against_brute_force(spark, rows, names, members, limit):
+def test_member_semi_join_against_brute_force(spark, rows, names, members, shard_bytes):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
     listed = spark.createDataFrame([(m,) for m in members], "m string")
-    fold = text.fold_literal
+    fold = lambda s: text.fold_literal(s or "")
     want = [
         (i,)
         for i, n in enumerate(names)
         if any(fold(n) in fold(m) or fold(m) in fold(n) for m in members)
     ]
-    assert rows(membership.member_semi_join(df, "n", listed, "m", limit), "i") == want
+    assert rows(membership.member_semi_join(df, "n", listed, "m", shard_bytes), "i") == want
 
 
 def test_numeric_coerce(spark):

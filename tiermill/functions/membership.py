@@ -1,16 +1,34 @@
-"""Fuzzy list membership: equal to, containing, or contained in a list entry."""
+"""Fuzzy list membership: equal to, containing, or contained in a list entry.
+
+A short list that is part of a profile is written into the plan (:func:`member_flag`). A list in a
+table, of any length, is matched by :func:`member_semi_join`, in two directions:
+
+* A name that holds an entry is found by an automaton over many patterns with failure links, which
+  reads each name once, whatever the number of entries. It is built from a shard of the list of
+  bounded size, which is all that is sent to the tasks; a longer list takes one pass per shard.
+* A name that is held by an entry is no longer than the longest entry. Of its runs of ``GRAM`` letters
+  the one that fewest entries have is looked up among those of all entries, and what is found is
+  verified. Names as short as a run are looked up as they are.
+
+Names longer than all entries are not shuffled and no array is made over their length. An empty
+name is held by every entry, an empty entry by every name; a null counts as empty.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
+from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.functions.text import fold_literal, match_fold
+from tiermill.session import freeze
 
-# Up to this many entries the list is written into the plan as constants.
-LITERAL_LIMIT = 500
+#: Bytes of list entries that one automaton is built from, and letters of an indexed run.
+SHARD_BYTES, GRAM = 4 << 20, 3
 
 
 def member_flag(name: Column, members: Iterable[str], min_len: int = 0) -> Column:
@@ -36,56 +54,83 @@ def member_flag(name: Column, members: Iterable[str], min_len: int = 0) -> Colum
     return F.exists(F.array(match_fold(name)), test)
 
 
-def member_semi_join(
-    df: DataFrame,
-    name: str,
-    members: DataFrame,
-    member: str,
-    literal_limit: int = LITERAL_LIMIT,
-) -> DataFrame:
-    """Rows of ``df`` whose name matches a list held in a DataFrame.
+@lru_cache(maxsize=1)
+def _automaton(entries: tuple[str, ...]):
+    import ahocorasick
 
-    A list within ``literal_limit`` becomes constants. A longer one is matched by equality
-    on substrings, so no pair of name and entry is ever formed without a match.
-    """
-    entries = members.select(match_fold(F.col(member)).alias("entry")).distinct()
-    head = entries.limit(literal_limit + 1).collect()
-    if len(head) <= literal_limit:
-        return df.filter(member_flag(F.col(name), [row.entry for row in head]))
+    found = ahocorasick.Automaton()
+    for entry in entries:
+        found.add_word(entry, True)
+    found.make_automaton()
+    return found
 
-    keyed = df.withColumn("_key", match_fold(F.col(name)))
-    names = keyed.select("_key").distinct()
-    holders = (
-        _pieces(names, "_key", _lengths(entries, "entry"), "entry")
-        .join(entries, "entry", "left_semi")
-        .select("_key")
-        .distinct()
-    )
-    held = names.join(
-        _pieces(entries, "entry", _lengths(names, "_key"), "_key").select("_key").distinct(),
-        "_key",
-        "left_semi",
-    )
-    matched = holders.union(held).distinct()
-    return keyed.join(matched, "_key", "left_semi").drop("_key")
-
-
-def _lengths(df: DataFrame, column: str) -> Column:
-    """Sorted distinct text lengths as a scalar array; a few hundred values at most."""
-    sizes = df.select(F.length(column).alias("n")).distinct()
-    return sizes.agg(F.sort_array(F.collect_list("n"))).scalar()
-
-
-def _pieces(df: DataFrame, column: str, lengths: Column, name: str) -> DataFrame:
-    """Each value with its distinct substrings of the given lengths, the empty one included."""
-    sized = df.select(column, lengths.alias("_sizes"))
+
+def _holds(name: Column, entries: list[str]) -> Column:
+    """Whether the name holds one of the entries of a shard."""
+    patterns = tuple(entries)
+
+    @F.pandas_udf("boolean")
+    def test(names: pd.Series) -> pd.Series:
+        automaton = _automaton(patterns)
+        return pd.Series([next(automaton.iter(n), None) is not None for n in names], dtype=bool)
+
+    return test(name)
+
+
+def _holders(keyed: DataFrame, entries: DataFrame, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``_key`` holds an entry, and the other rows."""
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("entry")), F.lit(0))).first()[0]
+    shards = max(1, math.ceil(size / shard_bytes))
+    shard = F.pmod(F.xxhash64("entry"), F.lit(shards))
+    lists = ([r.entry for r in entries.filter(shard == k).collect()] for k in range(shards))  # one shard at a time
+    if shards == 1:
+        test = _holds(F.col("_key"), next(lists))
+        return keyed.filter(test), keyed.filter(~test)
+    digest, found = F.md5("_key"), None
+    for patterns in lists:
+        if patterns:
+            more = freeze(keyed.filter(_holds(F.col("_key"), patterns)).select(digest.alias("_digest")).distinct())
+            found = more if found is None else found.unionByName(more)
+    found, told = found.distinct(), keyed.withColumn("_digest", digest)
+    return told.join(found, "_digest", "left_semi").drop("_digest"), told.join(found, "_digest", "left_anti").drop("_digest")
+
+
+def _grams(df: DataFrame, column: str, sizes: Iterable[int]) -> DataFrame:
+    """Distinct runs of letters of the given sizes: ``column, gram``."""
     text = F.col(column)
-    usable = F.filter("_sizes", lambda n: (n > 0) & (n <= F.length(text)))
-    cut = F.transform(
-        usable,
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)
-        ),
-    )
-    pieces = F.array_distinct(F.concat(F.flatten(cut), F.array(F.lit(""))))
-    return sized.select(column, F.explode(pieces).alias(name))
+
+    def runs(n: int) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1))
+        return F.when(F.length(text) >= n, F.transform(first, lambda i: F.substring(text, i, n))).otherwise(F.array().cast("array<string>"))
+
+    return df.select(column, F.explode(F.array_distinct(F.concat(*map(runs, sizes)))).alias("gram"))
+
+
+def _held(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """``_key`` of the names, none of them empty, that an entry holds."""
+    postings = freeze(_grams(entries, "entry", range(1, GRAM + 1)))
+    counts = freeze(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    short = names.filter(F.length("_key") <= GRAM).join(counts.withColumnRenamed("gram", "_key"), "_key", "left_semi").select("_key")
+    long = names.filter(F.length("_key") > GRAM)
+    # A run that no entry has rules the name out, so the least count is that of the rarest run.
+    own = _grams(long, "_key", [GRAM]).join(counts, "gram", "left")
+    rarest = own.groupBy("_key").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
+    probes = rarest.filter("r.n > 0").select("_key", F.col("r.gram").alias("gram"))
+    found = probes.join(postings, "gram").filter(F.col("entry").contains(F.col("_key"))).select("_key").distinct()
+    return short.unionByName(found)
+
+
+def member_semi_join(df: DataFrame, name: str, members: DataFrame, member: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Rows of ``df`` whose name matches a list held in a table of any length."""
+    entries = freeze(members.select(match_fold(F.col(member)).alias("entry")).distinct())
+    about = entries.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("entry")).alias("longest"), F.min(F.length("entry")).alias("least")).first()
+    if not about.n:
+        return df.filter(F.lit(False))
+    if not about.least:  # every name holds the empty entry
+        return df
+    keyed = df.withColumn("_key", match_fold(F.col(name)))
+    holders, rest = _holders(keyed, entries, shard_bytes)
+    empty = rest.filter(F.length("_key") == 0)
+    rest = rest.filter((F.length("_key") > 0) & (F.length("_key") <= about.longest))
+    held = rest.join(_held(rest.select("_key").distinct(), entries), "_key", "left_semi")
+    return holders.unionByName(empty).unionByName(held.select(holders.columns)).drop("_key")
