@@ -109,6 +109,16 @@ def test_header_row(spark, rows):
     assert rows(got) == [("f", 4), ("g", 7)]
 
 
+def test_a_late_default_header_row(spark, rows):
+    """A default row beyond those that are searched is still found."""
+    cells = [("f", "s", 0, i, ["x", "y"] if i != 12 else ["Departamento", "Name"]) for i in range(15)]
+    table = spark.createDataFrame(cells, "file string, sheet string, sheet_pos int, row_idx int, cells array<string>")
+    got = grid.layout(table, [], ["nothing"], ["departamento"], 12).first()
+    assert (got.header_row, got.headers) == (12, ["Departamento", "Name"])
+    table = table.withColumn("cells", F.when(F.col("row_idx") == 11, F.array(F.lit("departamento nothing"))).otherwise(F.col("cells")))
+    assert grid.layout(table, [], ["nothing"], ["departamento"], 12).first().header_row == 12
+
+
 def test_column_priority(spark):
     headers = ["Estudiantes inscritos", "matriculados  total", "IES sector\n"]
     df = spark.createDataFrame([(headers,)], "headers array<string>")
@@ -343,6 +353,11 @@ def test_rejects_give_warnings_and_overflow_raises(spark, warehouse, tmp_path):
     _curated(spark, wide, [("U" * 501, 2022, 5, 1, "", "x", "SUE")])
     with pytest.raises(ValueError, match="exceed 500"):
         medallion.load(warehouse, wide, PROFILE)
+    _curated(spark, wide, [("U" * 501, 2022, 5, 1, "", "x", "SUE"), ("U1", 2022, 5, 1, "", "y" * 51, "SUE"), ("U2", 2022, 5, 1, "", "x", "SUE")])
+    kept = medallion.load(warehouse, wide, PROFILE, on_overflow="quarantine", by_range=True)
+    assert (kept["bronze"], kept["rejected"]) == (1, 2)
+    said = {e for r in warehouse.read("bronze", "rejected").collect() for e in r.errors}
+    assert said == {"entity: over 500 characters", "category: over 50 characters"}
 
 
 def test_category_seed(spark, rows):
@@ -351,3 +366,45 @@ def test_category_seed(spark, rows):
     empty = spark.createDataFrame([], "code string, name string, description string")
     seeded = seed_dim(empty, PROFILE.categories, "code string, name string, description string", "code")
     assert rows(seeded, "code") == [("desconocido",), ("oficial",), ("privado",)]
+
+
+def _texts(seed):
+    import random
+
+    draw = random.Random(seed)
+    pieces = ['"', '""', ",", "\n", "\r\n", "a", "b c", "é", " ", '",\n"', "x" * 50, ""]
+    return ["".join(draw.choice(pieces) for _ in range(draw.randrange(9))) for _ in range(700)] + ["\n" * 3000, '"\n' * 2000]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, seed):
+    """Cells of quotes and line breaks, cut anywhere by ranges, as one task reads them."""
+    texts = _texts(seed)
+    data = [(t, i, i, None, "5", texts[-i % 700], "SUE") for i, t in enumerate(texts)]
+    schema = "entity string, period int, measure_a bigint, measure_b bigint, ratio string, category string, label string"
+    path = str(tmp_path / "in")
+    curated_csv.write_csv(spark.createDataFrame(data, schema).coalesce(1), path, PROFILE.csv_names)
+    sizes = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in sizes:
+            spark.conf.set(k, "700")
+        lines = spark.read.option("lineSep", "\n").text(path)
+        assert lines.rdd.getNumPartitions() > 20
+        whole = curated_csv.read_csv(spark, path, PROFILE.csv_names).collect()
+        assert len(whole) == len(texts)
+        got = curated_csv.read_csv(spark, path, PROFILE.csv_names, by_range=True).collect()
+    finally:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+
+
+def test_range_reader_checks_the_header(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_bytes(b'"a","b"\r\n"1","x\r\ny"\r\n\r\n"2",""\r\n3,\r\n')
+    from tiermill.sources.csv_ranges import read_ranges
+
+    got = sorted((r.a, r.b, r._file) for r in read_ranges(spark, str(path), ["a", "b"]).na.fill("").collect())
+    assert got == [("1", "x\r\ny", "odd.csv"), ("2", "", "odd.csv"), ("3", "", "odd.csv")]
+    with pytest.raises(ValueError, match="are not"):
+        read_ranges(spark, str(path), ["b", "a"])

@@ -214,8 +214,8 @@ def cell_ranks(fact: DataFrame) -> DataFrame:
 def standing_views(labels: tuple[str, str], names: Mapping[str, str], columns: Mapping[str, str]) -> dict[str, str]:
     """Name to SQL of the four standing views over the gold tables, without any sort.
 
-    ``{{gold}}`` stands for the database. Filters on the period reach the partitions of the
-    fact and of the stored ranks.
+    ``{{gold}}`` stands for the database. Filters on the period reach the scans of the fact
+    and of the stored ranks.
     """
 
     def quoted(text: str) -> str:

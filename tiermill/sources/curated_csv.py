@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.functions.numeric import fit_decimal, parse_integer, parse_number
+from tiermill.sources.csv_ranges import read_ranges
 
 COLUMNS = ("entity", "period", "measure_a", "measure_b", "ratio", "category", "label")
 
@@ -39,14 +40,22 @@ def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
     return counted.get["n"]
 
 
-def read_csv(spark: SparkSession, path: str, names: Mapping[str, str] | None = None) -> DataFrame:
-    """All columns as text, missing values as '', plus the source file's base name."""
+def read_csv(spark: SparkSession, path: str, names: Mapping[str, str] | None = None, by_range: bool = False) -> DataFrame:
+    """All columns as text, missing values as '', plus the source file's base name.
+
+    Cells may hold line breaks. A hand-off of many files is read in parallel as it is;
+    ``by_range`` reads a large file by many tasks, at the cost of a shuffle.
+    """
     names = names or {}
-    schema = ", ".join(f"`{names.get(c, c)}` string" for c in COLUMNS)
-    # Cells may hold line breaks. The hand-off is many files, so it is still read in parallel.
-    raw = spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=False, multiLine=True)
-    cells = [missing_to_empty(F.col(f"`{names.get(c, c)}`")).alias(c) for c in COLUMNS]
-    return raw.select(*cells, F.col("_metadata.file_name").alias("source_file"))
+    told = [names.get(c, c) for c in COLUMNS]
+    if by_range:
+        raw = read_ranges(spark, path, told).withColumnRenamed("_file", "source_file")
+    else:
+        schema = ", ".join(f"`{n}` string" for n in told)
+        raw = spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=False, multiLine=True)
+        raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+    cells = [missing_to_empty(F.col(f"`{n}`")).alias(c) for c, n in zip(COLUMNS, told)]
+    return raw.select(*cells, "source_file")
 
 
 def missing_to_empty(text: Column) -> Column:

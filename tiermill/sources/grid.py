@@ -109,10 +109,13 @@ def layout(
     all_words: Sequence[str],
     default: int = 7,
 ) -> DataFrame:
-    """One row per file: chosen sheet, header row and header cells."""
-    head = grid.filter(F.col("row_idx") < SEARCH_ROWS)
+    """One row per file: chosen sheet, header row and header cells.
+
+    The header is looked for in the first ``SEARCH_ROWS`` rows; the default may be any row.
+    """
+    head = grid.filter(F.col("row_idx") < max(SEARCH_ROWS, default + 1))
     index = F.when(
-        (F.col("row_idx") >= 0) & is_header(F.col("cells"), any_words, all_words),
+        (F.col("row_idx") >= 0) & (F.col("row_idx") < SEARCH_ROWS) & is_header(F.col("cells"), any_words, all_words),
         F.col("row_idx"),
     )
     filled = F.when(F.col("row_idx") >= 0, F.struct("row_idx", "cells"))
