@@ -6,11 +6,12 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from bindings.tables import MART_SQL, RATIO, fact, half_up, mart, order_quantity, plain, table, year
+from bindings.tables import MART_SQL, RATIO, entities, fact, half_up, mart, order_quantity, plain, table, year
 from bindings.warehousing import _PROFILE, _warehouse
+from tiermill.operators import bitmaps
 from tiermill.operators.reconcile import region_tag
 from tiermill.plans import extensions, regional
-from tiermill.session import run_folder
+from tiermill.session import freeze, run_folder
 
 _FIRST, _SECOND = ("AFRICA", "ASIA", "EUROPE"), ("ASIA", "MIDDLE EAST", "AMERICA")
 
@@ -84,6 +85,14 @@ def _region_bucket_rollup(spark, sf):
     )
 
 
+def _bitmap_distinct_rollup(spark, sf):
+    """Entities with a finished order, for every subset of period, group and region, from stored bitmaps alone."""
+    by = ["period", "is_member", "region"]
+    members = entities(spark, sf).select("entity_id", "is_member")
+    active = _region_fact(spark, sf).filter("measure_b > 0").join(members, "entity_id")
+    return bitmaps.distinct_cube(freeze(bitmaps.id_bitmaps(active, by, "entity_id")), by)
+
+
 _LOCATED = "JOIN customer ON c_custkey = entity_id JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 _NAMES = ", ".join(f"'{n}'" for n in set(_FIRST) - set(_SECOND))
 
@@ -108,6 +117,13 @@ QUERIES = {
             measure_a + CASE WHEN period = 1998 AND r_name = 'ASIA' THEN 1 ELSE 0 END AS measure_a FROM star {_LOCATED}"""
         ),
     ),
+    "bitmap_distinct_rollup": (
+        _bitmap_distinct_rollup,
+        mart(
+            f"""SELECT period, is_member, r_name AS region, grouping(period, is_member, r_name) AS level,
+            count(DISTINCT entity_id) AS n_distinct FROM star {_LOCATED} WHERE measure_b > 0 GROUP BY CUBE (period, is_member, r_name)"""
+        ),
+    ),
     "region_bucket_rollup": (
         _region_bucket_rollup,
         mart(

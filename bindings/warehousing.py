@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from bindings import texts
 from bindings.tables import MART_SQL, RATIO, entities, fact, half_up, mart, plain, star, store_a, table, year
 from tiermill.operators import keys, quality
-from tiermill.plans import extensions, layers, medallion
+from tiermill.plans import extensions, layers, medallion, upserts
 from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
-from tiermill.session import literal_rows, run_folder
+from tiermill.session import freeze, literal_rows, run_folder
 from tiermill.sources import curated_csv
 
 # --- layers ------------------------------------------------------------------------
@@ -127,9 +127,9 @@ def _bronze_load(spark, sf):
     return plain(warehouse.read("bronze", "curated").drop("loaded_at"))
 
 
-def _csv_roundtrip(spark, sf):
-    """Whole document texts with their quotes, commas and line breaks through the file and back."""
-    rows = table(spark, sf, "documents").select(
+def _document_rows(spark, sf):
+    """Whole document texts with their quotes, commas and line breaks as curated rows."""
+    return table(spark, sf, "documents").select(
         F.col("text").alias("entity"),
         F.col("n_chars").cast("int").alias("period"),
         F.col("doc_id").alias("measure_a"),
@@ -138,11 +138,31 @@ def _csv_roundtrip(spark, sf):
         F.col("source").alias("category"),
         F.concat(F.lit('"'), F.col("lang"), F.lit('", ')).alias("label"),
     )
+
+
+def _csv_roundtrip(spark, sf):
+    """Documents through the file and back."""
     path = run_folder(spark, "csv")
-    curated_csv.write_csv(rows, path)
+    curated_csv.write_csv(_document_rows(spark, sf), path)
     return curated_csv.read_csv(spark, path).drop("source_file")
 
 
+def _csv_split_scan(spark, sf):
+    """Documents as one file, read in ranges of a sixteenth of it."""
+    path = run_folder(spark, "csv")
+    curated_csv.write_csv(_document_rows(spark, sf).coalesce(1), path)
+    size = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    small = {"spark.sql.files.maxPartitionBytes": str(size // 16 + 1), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        return freeze(curated_csv.read_csv(spark, path, by_range=True).drop("source_file"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def _audit_log(spark, sf):
     """Audit rows of two layer builds over the tables."""
     warehouse = _warehouse(spark, "audit")
@@ -197,6 +217,21 @@ def _upsert_merge(spark, sf):
     return keys.upsert_merge(target, batch, key, {"origin": F.lit("updated")})
 
 
+def _incremental_upsert(spark, sf):
+    """Returned lines, then two batches of the others, into a table that is kept in pieces."""
+    warehouse, key = _warehouse(spark, "pieces"), ["l_orderkey", "l_linenumber"]
+
+    def side(flag: str, name: str):
+        grouped = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == flag).groupBy(*key)
+        return grouped.agg(F.sum("l_quantity").cast("bigint").alias("quantity")).withColumn("origin", F.lit(name))
+
+    size = {"key": key, "slices": 4, "piece_rows": 50_000}
+    upserts.create(warehouse, "silver", "lines", side("A", "old"), **size)
+    for flag in ("N", "R"):
+        upserts.upsert(warehouse, "silver", "lines", side(flag, "batch"), **size, touched={"origin": F.lit("updated")})
+    return upserts.read(warehouse, "silver", "lines")
+
+
 def _scd2_merge(spark, sf):
     """Known customers have a balance; machinery customers have since changed segment."""
     customers = table(spark, sf, "customer")
@@ -365,6 +400,7 @@ QUERIES = {
     "ratio_quarantine": (_ratio_quarantine, mart("SELECT entity, period, ratio AS value FROM star WHERE ratio >= 100")),
     "bronze_load": (_bronze_load, texts.GOOD_SQL),
     "csv_roundtrip": (_csv_roundtrip, _ROUNDTRIP),
+    "csv_split_scan": (_csv_split_scan, _ROUNDTRIP),
     "audit_log": (
         _audit_log,
         mart(
@@ -397,6 +433,13 @@ QUERIES = {
           CASE WHEN count(*) FILTER (l_returnflag <> 'A') > 0 THEN 'updated' ELSE 'old' END AS origin
         FROM lineitem GROUP BY 1, 2""",
     ),
+    "incremental_upsert": (
+        _incremental_upsert,
+        """WITH s AS (SELECT l_orderkey, l_linenumber, l_returnflag AS f, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, coalesce(max(q) FILTER (f = 'R'), max(q) FILTER (f = 'N'), max(q)) AS quantity,
+               CASE WHEN bool_or(f <> 'A') THEN 'updated' ELSE 'old' END AS origin
+        FROM s GROUP BY 1, 2""",
+    ),
     "scd2_merge": (
         _scd2_merge,
         f"""WITH cur AS (SELECT *, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'FURNITURE' ELSE c_mktsegment END AS now_segment FROM customer)

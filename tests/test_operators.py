@@ -253,3 +253,21 @@ def test_unknown_activity_passes_through(spark, rows):
     current = spark.createDataFrame([], "k int, v string")
     got = keys.scd2_merge(history, current, ["k"], ["v"], F.lit("2024-01-01").cast("date"))
     assert rows(got, "k", "v", "is_active") == [(1, "a", None)]
+
+
+def test_bitmaps_count_distinct_ids(spark, rows):
+    from tiermill.operators import bitmaps
+
+    data = [(i % 3, "x" if i % 2 else None, 1 + (i * 7919) % 70_000) for i in range(5000)] + [(0, "x", None), (1, None, 32768), (1, None, 32769)]
+    table = spark.createDataFrame(data, "a int, b string, id long")
+    half = table.filter("id % 2 = 0 or id is null"), table.filter("id % 2 = 1")
+    stored = bitmaps.add_bitmaps(*[bitmaps.id_bitmaps(h, ["a", "b"], "id") for h in half], ["a", "b"])
+    want = []
+    for level, key in enumerate([(0, 1), (0,), (1,), ()]):
+        found = {}
+        for r in data:
+            found.setdefault(tuple(r[k] for k in key), set()).add(r[2])
+        want += [(k[0] if 0 in key else None, k[key.index(1)] if 1 in key else None, level, len(v - {None})) for k, v in found.items()]
+    assert rows(bitmaps.distinct_cube(stored, ["a", "b"])) == sorted(want, key=repr)
+    nothing = bitmaps.id_bitmaps(table.limit(0), ["a"], "id")
+    assert rows(bitmaps.distinct_count(nothing, [])) == [(0,)]
