@@ -72,6 +72,7 @@ def test_odd_strings(frame):
     draw = random.Random(4)
     letters = "aBé1́İΣß \n\t  \u0085\x1c\x00'.<|>日\U0001f642ſ"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(40))) for _ in range(1500)]
+    texts += ["".join(draw.choice("ab'sd9-_ \té*") for _ in range(draw.randrange(30))) for _ in range(1500)]
     texts += ["a<|endoftext|>b <|startoftext|>", "IT'S we'll 'S", "x" * 5000, "ΑΣ ΑΣ. İ", None]
     rows = list(enumerate(texts))
     check(packing.pack(frame(rows), VOCABULARY).collect(), Limits(), [(i, [*ids_of(t), 1], 1) for i, t in rows])
@@ -140,5 +141,13 @@ def test_query_on_the_whole_table(spark):
 def test_words_of_sliced_columns():
     words = packing.Words(open(VOCABULARY, encoding="utf-8").read())
     texts = ["skip me", "a b", None, "", "c  d'll e", "ü"]
-    ids, bounds = words.encode(pa.array(texts).slice(1))
-    assert [ids[a:z].tolist() for a, z in zip(bounds, bounds[1:])] == [ids_of(t) for t in texts[1:]]
+    assert [x.tolist() for x in words.encode(pa.array(texts).slice(1))] == [ids_of(t) for t in texts[1:]]
+
+
+def test_words_kept_at_hand_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 50)
+    words = packing.Words(open(VOCABULARY, encoding="utf-8").read())
+    for i in range(20):
+        text = " ".join(f"w{chr(97 + i)}{chr(97 + k)}" for k in range(26))
+        assert words.encode(pa.array([text]))[0].tolist() == ids_of(text)
+        assert len(words.number) <= 50
