@@ -17,6 +17,7 @@ from bindings.tables import table
 from tiermill.operators import reconcile
 from tiermill.session import freeze
 from tiermill.sources import grid, manifest, workbook
+from tiermill.sources.ledger import ingest_ledger
 
 # Fixed order of files; finished orders are kind b, open ones kind a, other files are not
 # listed and the last entry never arrives.
@@ -193,6 +194,35 @@ def _resolve_sql() -> str:
     SELECT doc_id, {', '.join(_ROLES)} FROM documents {joins}"""
 
 
+_REQUIRED = ("amount", "name")
+
+
+def _ingest_report(spark, sf):
+    """Documents as landed files: listed if labelled, unreadable in German, their lines as headers and as rows."""
+    docs = table(spark, sf, "documents").withColumn("file", F.col("doc_id").cast("string"))
+    listed = table(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("file_id"), F.col("quality").cast("string").alias("kind"), F.col("toxic").cast("int").alias("period")
+    )
+    lines = F.split("text", "\n")
+    headed = docs.select("file", F.col("source").alias("sheet"), F.when(F.contains("text", F.lit(" ")), lines).alias("headers"))
+    counts = docs.select("file", (F.size(lines) - 1).cast("long").alias("n_rows")).filter("n_rows > 0")
+    damaged = docs.filter("lang = 'de'").select("file", F.concat(F.lit("in "), "lang").alias("error"))
+    files = docs.select("file", F.col("file").alias("file_id"))
+    return ingest_ledger(files, listed, damaged, grid.column_resolve(headed, _ROLES), counts, _REQUIRED)
+
+
+_REPORT_SQL = f"""WITH placed AS ({_resolve_sql()}),
+told AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS file, file AS file_id, CAST(l.quality AS VARCHAR) AS kind, CAST(l.toxic AS INTEGER) AS period,
+         d.source AS sheet, len(string_split(d.text, chr(10))) - 1 AS n, d.lang,
+         CASE WHEN l.doc_id IS NULL THEN 'unlisted' WHEN d.lang = 'de' THEN 'damaged' WHEN NOT contains(d.text, ' ') THEN 'no header'
+              WHEN p.amount IS NULL THEN 'no amount column' WHEN p.name IS NULL THEN 'no name column'
+              WHEN n = 0 THEN 'no rows' ELSE 'loaded' END AS outcome
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id JOIN placed p ON p.doc_id = d.doc_id)
+SELECT file, file_id, kind, period, sheet, outcome, CASE WHEN outcome = 'damaged' THEN 'in ' || lang END AS detail,
+       CASE WHEN outcome = 'loaded' THEN CAST(n AS BIGINT) ELSE 0 END AS n_rows FROM told"""
+
+
 # --- workbooks ---------------------------------------------------------------------
 
 BOOK_ROWS = 500
@@ -297,6 +327,7 @@ QUERIES = {
         _manifest_join,
         _q("SELECT file_id, kind, period, file_rank, row_idx FROM landed"),
     ),
+    "ingest_report": (_ingest_report, _REPORT_SQL),
     "ingest_metadata": (_ingest_metadata, _q("SELECT file_id, kind, period, count(*) AS n_rows FROM landed GROUP BY ALL")),
     "entity_sum": (_entity_sum, _q("SELECT kind, period, raw_name, total, category FROM totals")),
     "collapse_last_wins": (_collapse("last"), _q("SELECT * FROM merged")),

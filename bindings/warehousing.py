@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bindings import texts
 from bindings.tables import MART_SQL, RATIO, entities, fact, half_up, mart, plain, star, store_a, table, year
-from tiermill.operators import keys, quality
+from tiermill.operators import history, keys, quality
 from tiermill.plans import extensions, layers, medallion, upserts
 from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
@@ -325,6 +325,28 @@ def _partitioned_fact(spark, sf):
     return plain(spark.read.schema(schema).parquet(path))
 
 
+def _dim_history(spark, sf):
+    """Three loads: machinery customers become household ones in 1996 and automobile ones in 1998."""
+    versions = None
+    for day, segment in (("1992-01-01", None), ("1996-07-01", "HOUSEHOLD"), ("1998-01-01", "AUTOMOBILE")):
+        changed = F.when(F.col("category") == "MACHINERY", segment) if segment else F.lit(None)
+        current = entities(spark, sf).withColumn("category", F.coalesce(changed, "category"))
+        tracked = ["entity", "category", "is_member"]
+        versions = history.keep_history(versions, current, ["entity_id"], tracked, extensions.day_of(day))
+    return versions
+
+
+def _asof_star(spark, sf):
+    """Facts with the category that held at the end of their year."""
+    return plain(
+        history.asof_join(fact(spark, sf), _dim_history(spark, sf), ["entity_id"], history.period_end(F.col("period")), ["entity", "category", "is_member"])
+    )
+
+
+_SEGMENT_AT = """CASE WHEN category = 'MACHINERY' AND period >= 1998 THEN 'AUTOMOBILE'
+  WHEN category = 'MACHINERY' AND period >= 1996 THEN 'HOUSEHOLD' ELSE category END"""
+
+
 def _ratio_variation(spark, sf):
     """From order rows, one per order, rather than from ready cells."""
     orders = table(spark, sf, "orders").select(
@@ -493,6 +515,20 @@ QUERIES = {
             measure_b, ratio FROM star"""
         ),
     ),
+    "dim_history": (
+        _dim_history,
+        mart(
+            """SELECT entity_id, entity, CASE WHEN n = 1 THEN category ELSE v.c END AS category, is_member, v.f AS valid_from, v.t AS valid_to,
+            v.t IS NULL AS is_active FROM ent JOIN (VALUES
+              (1, 'x', DATE '0001-01-01', NULL, false), (1, '', DATE '0001-01-01', DATE '1996-07-01', true),
+              (2, 'HOUSEHOLD', DATE '1996-07-01', DATE '1998-01-01', true), (3, 'AUTOMOBILE', DATE '1998-01-01', NULL, true)) AS v(n, c, f, t, changes)
+            ON v.changes = (category = 'MACHINERY')"""
+        ),
+    ),
+    "asof_star": (
+        _asof_star,
+        mart(f"SELECT entity_id, entity, {_SEGMENT_AT} AS category, is_member, period, measure_a, measure_b, ratio FROM star"),
+    ),
     "ratio_variation": (
         _ratio_variation,
         f"""WITH {MART_SQL}, cells AS (

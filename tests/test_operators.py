@@ -271,3 +271,32 @@ def test_bitmaps_count_distinct_ids(spark, rows):
     assert rows(bitmaps.distinct_cube(stored, ["a", "b"])) == sorted(want, key=repr)
     nothing = bitmaps.id_bitmaps(table.limit(0), ["a"], "id")
     assert rows(bitmaps.distinct_count(nothing, [])) == [(0,)]
+
+
+def test_asof_join_and_interval_problems(spark, rows):
+    from tiermill.operators import history
+
+    day = lambda s: F.lit(s).cast("date")
+    versions = spark.sql(
+        """SELECT id, a, CAST(f AS DATE) AS valid_from, CAST(t AS DATE) AS valid_to FROM VALUES
+        (1, 'a1', '2020-01-01', '2021-01-01'), (1, 'a2', '2021-01-01', '2022-01-01'), (1, 'a3', '2023-01-01', null),
+        (2, 'b1', '2020-01-01', null), (2, 'b2', '2021-01-01', '2021-06-01'), (3, 'c', '2020-01-01', '2020-02-01') AS v(id, a, f, t)"""
+    )
+    facts = spark.sql(
+        """SELECT id, n, CAST(d AS DATE) AS d FROM VALUES (1, 1, '2019-12-31'), (1, 2, '2020-01-01'), (1, 3, '2020-12-31'), (1, 4, '2021-01-01'),
+        (1, 5, '2022-06-01'), (1, 6, '2024-01-01'), (2, 7, '2020-05-05'), (3, 8, '2020-02-01'), (3, 9, '2020-01-31'), (4, 10, '2020-01-01'), (1, 4, '2021-01-01')
+        AS f(id, n, d)"""
+    )
+    got = history.asof_join(facts, versions, ["id"], F.col("d"), ["a"])
+    assert rows(got, "n", "a") == sorted(
+        [(1, None), (2, "a1"), (3, "a1"), (4, "a2"), (4, "a2"), (5, None), (6, "a3"), (7, "b1"), (8, None), (9, "c"), (10, None)], key=repr
+    )
+    problems = history.interval_problems(versions, ["id"])
+    assert rows(problems, "id", "problem", F.col("first_day").cast("string"), F.col("last_day").cast("string")) == [
+        (1, "gap", "2022-01-01", "2023-01-01"), (2, "overlap", "2021-01-01", "2021-06-01"),
+    ]
+    first = history.keep_history(None, spark.sql("SELECT 1 AS id, 'a' AS a"), ["id"], ["a"], day("2022-01-01"))
+    second = history.keep_history(first, spark.sql("SELECT * FROM VALUES (1, 'b'), (2, 'c') AS v(id, a)"), ["id"], ["a"], day("2023-01-01"))
+    assert rows(second, "id", "a", F.col("valid_from").cast("string"), F.col("valid_to").cast("string"), "is_active") == [
+        (1, "a", "0001-01-01", "2023-01-01", False), (1, "b", "2023-01-01", None, True), (2, "c", "0001-01-01", None, True),
+    ]

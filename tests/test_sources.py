@@ -408,3 +408,36 @@ def test_range_reader_checks_the_header(spark, tmp_path):
     assert got == [("1", "x\r\ny", "odd.csv"), ("2", "", "odd.csv"), ("3", "", "odd.csv")]
     with pytest.raises(ValueError, match="are not"):
         read_ranges(spark, str(path), ["b", "a"])
+
+
+def test_history_over_loads(spark, warehouse, tmp_path):
+    """Two loads with changed categories: facts of earlier years keep the category of their time."""
+    for day, category, names in (("2022-01-01", "x", ("U1", "U2")), ("2023-06-01", "z", ("U1", "U2", "U3"))):
+        path = str(tmp_path / day)
+        _curated(spark, path, [(n, y, 10, 2, "", category if n == "U1" else "y", "SUE") for n in names for y in (2022, 2023)])
+        medallion.load(warehouse, path, PROFILE, as_of=day)
+    star = {(r.entity, r.period): r.category for r in medallion.asof_star(warehouse).collect()}
+    assert star == {("U1", 2022): "x", ("U1", 2023): "z", **{(n, y): "y" for n in ("U2", "U3") for y in (2022, 2023)}}
+    report = {r.check_name: r.n_violations for r in medallion.quality(warehouse).collect()}
+    assert report["gold.dim_history intervals"] == 0
+
+
+def test_ledger_of_every_file(spark, landing, warehouse, tmp_path):
+    from pathlib import Path
+
+    elsewhere = book(4, [[1, "Antioquia", "Uni Z", "Oficial", 5]])
+    (Path(landing) / "articles-421539_recurso.xlsx").write_bytes(elsewhere)
+    (Path(landing) / "late.xlsx").write_bytes(book_bytes({"Hoja": [(0, ["x"])]}))
+    listed = [(*m, i) for i, m in enumerate([*PROFILE.manifest, ("late", "docentes", 2020)])]
+    table = spark.createDataFrame(listed, manifest.SCHEMA)
+    told = medallion.ingest(warehouse, landing, str(tmp_path / "csv"), PROFILE, listed=table)
+    ledger = {r.file_id: (r.outcome, r.n_rows) for r in warehouse.read("bronze", "ingest_ledger").collect()}
+    assert ledger == {
+        "articles-425156_recurso": ("loaded", 2), "articles-425151_recurso": ("loaded", 5), "articles-416244_recurso": ("loaded", 1),
+        "articles-421822_recurso": ("damaged", 0), "articles-416249_recurso": ("no region column", 0), "other": ("unlisted", 0),
+        "articles-421539_recurso": ("no rows", 0), "late": ("no header", 0),
+    }
+    assert told["files"] == {"loaded": 3, "damaged": 1, "no region column": 1, "unlisted": 1, "no rows": 1, "no header": 1}
+    kept = spark.read.json(f"{warehouse.root}/ingest_metadata")
+    assert kept.count() == 8 and {"sheet", "kind", "period", "outcome", "n_rows"} <= set(kept.columns)
+    assert kept.filter("outcome = 'damaged'").first().detail

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tiermill.functions.membership import member_flag
 from tiermill.functions.numeric import STORED_RATIO, member_label, safe_ratio
 from tiermill.operators.densify import dense_grid, grid_invariant, period_array
+from tiermill.operators.history import asof_join, interval_problems, keep_history, period_end
 from tiermill.operators.keys import seed_dim
 from tiermill.operators.quality import (
     domain_violations,
@@ -35,17 +36,21 @@ from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
 from tiermill.session import freeze
 from tiermill.sources import curated_csv, grid, manifest, workbook
+from tiermill.sources.ledger import ingest_ledger
 
 logger = logging.getLogger(__name__)
 
 # Longest texts the layer tables take; fixed by their column types.
 TEXT_LIMITS = {"entity": 500, "category": 50, "label": 20, "source_file": 255}
 
+# What the entity dimension keeps the history of.
+TRACKED = ("entity", "category", "is_member")
+
 ROLES = ("region", "entity", "category", "amount")
 
 
-def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame, regions: Mapping[str, str] | None = None) -> DataFrame:
-    """Grid of the listed files to rows with names, in the region of the profile or, under their names, in ``regions``."""
+def placed_files(cells: DataFrame, profile: Profile, listed: DataFrame) -> DataFrame:
+    """One row per listed file, in a written table: sheet, header row and the position of each role's column."""
     first, second = profile.kinds
     found = grid.layout(
         cells, profile.skip_sheets, profile.header_any, profile.header_all, profile.default_header_row
@@ -61,8 +66,16 @@ def landed_rows(cells: DataFrame, profile: Profile, listed: DataFrame, regions:
             "_second": profile.amount_patterns[second],
         },
     ).withColumn("amount", F.when(F.col("kind") == first, F.col("_first")).otherwise(F.col("_second")))
-    # One row per file. Stored, its size is known and decides whether the join broadcasts.
-    rows = grid.named_rows(cells, freeze(placed), ROLES, ("region", "entity", "amount"))
+    # Stored, its size is known and decides whether joins broadcast it.
+    return freeze(placed)
+
+
+def landed_rows(
+    cells: DataFrame, profile: Profile, listed: DataFrame, regions: Mapping[str, str] | None = None, placed: DataFrame | None = None
+) -> DataFrame:
+    """Grid of the listed files to rows with names, in the region of the profile or, under their names, in ``regions``."""
+    placed = placed_files(cells, profile, listed) if placed is None else placed
+    rows = grid.named_rows(cells, placed, ROLES, ("region", "entity", "amount"))
     local = region_tag(rows, "region", regions) if regions else region_filter(rows, "region", profile.region_contains)
     facts = manifest.manifest_join(manifest.file_id_from_path(local, "file"), listed)
     return facts.withColumnRenamed("entity", "raw_name")
@@ -95,19 +108,31 @@ def land(warehouse: Warehouse, source: str, listed: DataFrame) -> tuple[DataFram
 
 
 def ingest(
-    warehouse: Warehouse, source: str, csv_path: str, profile: Profile, collapse_rule: str = "last"
+    warehouse: Warehouse, source: str, csv_path: str, profile: Profile, collapse_rule: str = "last", listed: DataFrame | None = None
 ) -> dict:
     """Landed workbooks to the curated CSV.
 
-    Workbooks are decoded once into a landing table; everything after reads that table.
+    Workbooks are decoded once into a landing table; everything after reads that table. ``listed`` is a manifest
+    table (``file_id, kind, period, file_rank``) in place of the profile's. What became of every file is kept in
+    ``bronze.ingest_ledger`` and, as JSON, in ``ingest_metadata`` below the root.
     """
-    listed = manifest.manifest_frame(warehouse.spark, profile.manifest)
+    listed = manifest.manifest_frame(warehouse.spark, profile.manifest) if listed is None else listed
     cells, damaged = land(warehouse, source, listed)
-    rows = landed_rows(cells, profile, listed)
+    placed = placed_files(cells, profile, listed)
+    rows = landed_rows(cells, profile, listed, placed=placed)
+    files = workbook.workbook_files(warehouse.spark, source).select(F.col("path").alias("file"))
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))
+    ledger = ingest_ledger(
+        manifest.file_id_from_path(files, "file"), listed, warehouse.read("bronze", "unreadable"), placed, counts, ("region", "entity", "amount")
+    )
+    warehouse.refresh("bronze", "ingest_ledger", ledger)
+    kept = warehouse.read("bronze", "ingest_ledger")
+    manifest.write_metadata(kept, f"{warehouse.root}/ingest_metadata")
+    outcomes = {r.outcome: r["count"] for r in kept.groupBy("outcome").count().collect()}
     written = curated_csv.write_csv(reconcile(rows, profile, collapse_rule), csv_path, profile.csv_names)
     if not written:
         raise ValueError(f"no usable rows in the workbooks below {source}")
-    return {"curated": written, "unreadable": damaged}
+    return {"curated": written, "unreadable": damaged, "files": outcomes}
 
 
 def load(
@@ -118,8 +143,12 @@ def load(
     on_overflow: str = "raise",
     buckets: int | None = None,
     by_range: bool = False,
+    as_of: str | None = None,
 ) -> dict:
-    """Curated CSV through bronze, silver and gold, then validation. ``by_range`` lets many tasks read one large file.
+    """Curated CSV through bronze, silver and gold, then validation.
+
+    ``by_range`` lets many tasks read one large file. With ``as_of``, the day the data holds from, changes of
+    entities are kept in ``gold.dim_history``.
 
     Each layer is one refresh with an audit row. The first failure is logged and raised.
     Returns counters, errors and a status.
@@ -200,6 +229,10 @@ def load(
             batch.write("dim_category", seed_dim(dim, profile.categories, schema, "code"))
             entities = extensions.category_dim_lookup(entities, batch.read("dim_category"), "category", profile.categories[-1][0])
         batch.write("dim_entity", entities, bucket_by=bucketing)
+        if as_of:
+            before = warehouse.read("gold", "dim_history") if warehouse.exists("gold", "dim_history") else None
+            kept = keep_history(before, batch.read("dim_entity"), ["entity_id"], TRACKED, F.lit(as_of).cast("date"))
+            batch.write("dim_history", kept)
         stores = [
             warehouse.read("silver", m).select("entity_id", "period", m) for m in ("measure_a", "measure_b")
         ]
@@ -276,6 +309,8 @@ def quality(warehouse: Warehouse) -> DataFrame:
         "gold.fact period reference": fk_orphans(fact, warehouse.read("gold", "dim_period"), "period", "period"),
         "gold.fact ratio domain": warehouse.read("gold", "quarantine"),
     }
+    if warehouse.exists("gold", "dim_history"):
+        checks["gold.dim_history intervals"] = interval_problems(warehouse.read("gold", "dim_history"), ["entity_id"])
     for measure in ("measure_a", "measure_b"):
         store = warehouse.read("silver", measure)
         checks[f"silver.{measure} unique"] = unique_violations(store, ["entity_id", "period"])
@@ -289,6 +324,12 @@ def gold_star(warehouse: Warehouse, profile: Profile) -> DataFrame:
     return views.star(fact, warehouse.read("gold", "dim_entity"), profile.member_labels)
 
 
+def asof_star(warehouse: Warehouse) -> DataFrame:
+    """The fact with the entity attributes that held at the end of each period."""
+    fact = warehouse.read("gold", "fact").drop("created_at", "updated_at")
+    return asof_join(fact, warehouse.read("gold", "dim_history"), ["entity_id"], period_end(F.col("period")), TRACKED)
+
+
 def run(spark: SparkSession, source: str, root: str, profile: Profile, **options) -> dict:
     """Workbooks to gold in one call."""
     warehouse = Warehouse(spark, root).create()
