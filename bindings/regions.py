@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from bindings.tables import MART_SQL, RATIO, entities, fact, half_up, mart, order_quantity, plain, table, year
 from bindings.warehousing import _PROFILE, _warehouse
+from tiermill.functions.numeric import safe_ratio
 from tiermill.operators import bitmaps
 from tiermill.operators.reconcile import region_tag
-from tiermill.plans import extensions, regional
+from tiermill.plans import extensions, rank_store, regional
 from tiermill.session import freeze, run_folder
 
 _FIRST, _SECOND = ("AFRICA", "ASIA", "EUROPE"), ("ASIA", "MIDDLE EAST", "AMERICA")
@@ -93,6 +94,19 @@ def _bitmap_distinct_rollup(spark, sf):
     return bitmaps.distinct_cube(freeze(bitmaps.id_bitmaps(active, by, "entity_id")), by)
 
 
+def _rank_refresh(spark, sf):
+    """Ranks after the machinery customers' quantities of 1998 have doubled: one period is ranked again."""
+    warehouse = _warehouse(spark, "ranks")
+    cells = freeze(fact(spark, sf).join(entities(spark, sf).select("entity_id", "category"), "entity_id"))
+    rank_store.create(warehouse, cells)
+    touched = (F.col("period") == 1998) & (F.col("category") == "MACHINERY")
+    doubled = safe_ratio(F.col("measure_a") * 2, F.col("measure_b"), RATIO)
+    after = cells.withColumn("ratio", F.when(touched, doubled).otherwise(F.col("ratio")))
+    rank_store.refresh(warehouse, cells.filter(touched), after.filter(touched))
+    ranked = rank_store.with_stored_ranks(warehouse, after)
+    return plain(ranked.select("entity_id", "period", "ratio", "rank_desc", "rank_asc"))
+
+
 _LOCATED = "JOIN customer ON c_custkey = entity_id JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 _NAMES = ", ".join(f"'{n}'" for n in set(_FIRST) - set(_SECOND))
 
@@ -117,6 +131,15 @@ QUERIES = {
             measure_a + CASE WHEN period = 1998 AND r_name = 'ASIA' THEN 1 ELSE 0 END AS measure_a FROM star {_LOCATED}"""
         ),
     ),
+    "rank_refresh": (
+        _rank_refresh,
+        mart(
+            """SELECT entity_id, period, ratio, rank() OVER (PARTITION BY period ORDER BY ratio DESC NULLS FIRST) AS rank_desc,
+            rank() OVER (PARTITION BY period ORDER BY ratio ASC NULLS LAST) AS rank_asc FROM changed""",
+            f"""changed AS (SELECT entity_id, period, CASE WHEN period = 1998 AND category = 'MACHINERY'
+              THEN {half_up('2 * measure_a', 'measure_b')} ELSE ratio END AS ratio FROM star)""",
+        ),
+    ),
     "bitmap_distinct_rollup": (
         _bitmap_distinct_rollup,
         mart(

@@ -196,3 +196,28 @@ def test_layouts_reach_one_folder_and_need_no_exchange(spark):
     assert cell.count() > 0
     plan = regions.QUERIES["region_bucket_rollup"][0](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_only_changed_periods_are_ranked_again(spark, warehouse, rows):
+    from tiermill.operators.ranking import with_ranks
+    from tiermill.plans import rank_store
+
+    cells = [(i, 2020 + i % 3, None if i % 7 == 0 else (i * 37 % 23)) for i in range(300)]
+    table = lambda data: spark.createDataFrame([(i, p, r) for i, p, r in data], "entity_id int, period int, ratio int").select(
+        "entity_id", "period", F.col("ratio").cast("decimal(5,2)")
+    )
+    names = {"rank_desc": "rank_desc", "rank_asc": "rank_asc"}
+    rank_store.create(warehouse, table(cells))
+    first = parts_of(warehouse, "value_rank")
+    assert set(first) == {("2020",), ("2021",), ("2022",)}
+    assert rows(rank_store.with_stored_ranks(warehouse, table(cells))) == rows(with_ranks(table(cells), "ratio", names))
+    gone = [c for c in cells if c[1] == 2021 and c[0] < 60]
+    new = [(i, p, None if r is not None and r > 11 else 99) for i, p, r in gone[5:]] + [(900, 2021, 5), (901, 2021, 5)]
+    after = [c for c in cells if c not in gone] + new
+    assert rank_store.refresh(warehouse, table(gone), table(new)) == [2021]
+    second = parts_of(warehouse, "value_rank")
+    assert {k for k in second if second[k] != first[k]} == {("2021",)}
+    assert rows(rank_store.with_stored_ranks(warehouse, table(after))) == rows(with_ranks(table(after), "ratio", names))
+    assert rank_store.refresh(warehouse, table([]), table([])) == []
+    with pytest.raises(ValueError, match="are gone than there were"):
+        rank_store.refresh(warehouse, table([(1, 2022, 98)]), table([]))

@@ -38,8 +38,28 @@ def rank_table(df: DataFrame, value: str, by: str = "period") -> DataFrame:
     Columns: ``by``, ``value``, ``n``, ``rank_desc`` (nulls first) and ``rank_asc`` (nulls
     last).
     """
-    whole, bits = _scaled(F.col(value), df.schema[value].dataType)
-    counts = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("_v", whole)
+    return ranked_counts(value_counts(df, value, by), value, by)
+
+
+def value_counts(df: DataFrame, value: str, by: str = "period") -> DataFrame:
+    """Rows per (group, value), from which all ranks follow."""
+    return df.groupBy(by, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def changed_counts(counts: DataFrame, before: DataFrame, after: DataFrame, value: str, by: str = "period") -> DataFrame:
+    """Counts after some rows have changed: those as they were are taken away, those as they are added.
+
+    New rows are only in ``after``, removed ones only in ``before``.
+    """
+    gone = value_counts(before, value, by).withColumn("n", -F.col("n"))
+    both = counts.select(by, value, "n").unionByName(gone).unionByName(value_counts(after, value, by))
+    return both.groupBy(by, value).agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def ranked_counts(counts: DataFrame, value: str, by: str = "period") -> DataFrame:
+    """The rows of :func:`rank_table` from counts."""
+    whole, bits = _scaled(F.col(value), counts.schema[value].dataType)
+    counts = counts.select(by, value, "n").withColumn("_v", whole)
     levels = max(1, -(-bits // _DIGIT_BITS))
     ranked = _before(counts, "_v", by, levels).withColumn("_null", F.col("_v").isNull())
     after = F.col("_filled") - F.col("_before") - F.col("n")
@@ -107,6 +127,13 @@ def with_ranks(
     join shuffles by value, where adaptive execution splits the hot values.
     """
     ranks, size = freeze_counted(rank_table(df, value, by).select(by, value, *names))
+    return look_up_ranks(df, ranks, size, value, names, by, broadcast_rows)
+
+
+def look_up_ranks(
+    df: DataFrame, ranks: DataFrame, size: int, value: str, names: dict[str, str], by: str = "period", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rank columns from a stored rank table of ``size`` rows."""
     return _lookup(df, F.broadcast(ranks) if size <= broadcast_rows else ranks, value, by, names)
 
 
