@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from bindings.tables import table
 from tiermill.operators import reconcile
+from tiermill.profile import HIGHER_EDUCATION
 from tiermill.session import freeze
 from tiermill.sources import grid, manifest, workbook
 from tiermill.sources.ledger import ingest_ledger
@@ -227,10 +228,10 @@ SELECT file, file_id, kind, period, sheet, outcome, CASE WHEN outcome = 'damaged
 
 BOOK_ROWS = 500
 _BOOK_ROLES = {
-    "region": ("departamento domicilio ies",),
-    "entity": ("institución educación superior ies", "institución educación superior"),
-    "category": ("sector ies",),
-    "amount": ("matriculados", "estudiantes"),
+    "region": HIGHER_EDUCATION.region_patterns,
+    "entity": HIGHER_EDUCATION.entity_patterns,
+    "category": HIGHER_EDUCATION.category_patterns,
+    "amount": HIGHER_EDUCATION.amount_patterns["estudiantes"][:2],
 }
 _BOOK_HEADER = (
     "Código", "Sector\n  IES ", "Departamento de  domicilio de la IES", "Institución de Educación Superior (IES)",
