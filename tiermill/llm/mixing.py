@@ -37,6 +37,11 @@ def uniform(seed: int, *keys) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """What a row draws by: its id, or its text where it has none."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def source_rates(docs: DataFrame, source: str, text: str, weights: DataFrame | None, exponent: float, scale: float):
     """One row per source: its mean repetition rate, number of parts, distribution function of a part."""
     sizes = docs.groupBy(F.col(source).alias("_source")).agg(F.sum(F.length(F.coalesce(text, F.lit("")))).alias("chars"))
@@ -86,7 +91,7 @@ def replicate(
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col(f"{name}_rate.parts")),
         F.lit(0),
-        lambda n, part: n + F.size(F.filter(f"{name}_rate.cdf", lambda c: c <= uniform(seed, F.col(doc_id), part))),
+        lambda n, part: n + F.size(F.filter(f"{name}_rate.cdf", lambda c: c <= uniform(seed, row_key(doc_id, text), part))),
     )
     return (
         docs.join(named, F.col(source).eqNullSafe(F.col(name)))
@@ -96,7 +101,7 @@ def replicate(
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
         .withColumn(
             "shuffle_key",
-            F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "copy")),
+            F.md5(F.concat_ws("|", F.lit(f"{seed}s"), row_key(doc_id, text), "copy")),
         )
         .repartition("shuffle_key")
         .sortWithinPartitions("shuffle_key")

@@ -111,7 +111,7 @@ terms AS (SELECT source, k, sum(exp(-rate / parts + k * ln(rate / parts) - lgamm
                  OVER (PARTITION BY source ORDER BY k) AS cdf
           FROM parted, unnest(generate_series(0, 96)) AS g(k)),
 drawn AS (
-  SELECT d.doc_id, d.text, d.source, j, (CAST('0x' || substr(md5('20240|' || coalesce(CAST(d.doc_id AS VARCHAR), '')
+  SELECT d.doc_id, d.text, d.source, j, (CAST('0x' || substr(md5('20240|' || coalesce(CAST(d.doc_id AS VARCHAR), 'text ' || md5(coalesce(d.text, '')))
          || '|' || j), 1, 13) AS BIGINT) + 0.5) / CAST(16 AS DOUBLE) ** 13 AS u
   FROM documents d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source, unnest(generate_series(1, p.parts)) AS s(j)
 ),
@@ -120,7 +120,7 @@ counted AS (
   FROM drawn d JOIN terms t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.doc_id, d.source
 )
 SELECT doc_id, text, source, copy, n_copies,
-       md5('20240s|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS shuffle_key
+       md5('20240s|' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, ''))) || '|' || copy) AS shuffle_key
 FROM counted, unnest(generate_series(1, n_copies)) AS c(copy)
 """
 
