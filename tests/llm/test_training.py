@@ -39,6 +39,12 @@ def test_long_matches_of_busy_anchors(frame, corpus, monkeypatch):
     assert brute.counted(got) == brute.counted(brute.long_matches(rows, 60))
 
 
+def test_length_is_checked(frame):
+    for length in (48, 280, 1000):
+        with pytest.raises(ValueError, match="length"):
+            rindex.remove_repeats(frame([]), length=length)
+
+
 def test_matching_statistics():
     draw = random.Random(1)
     for _ in range(120):
@@ -352,6 +358,15 @@ def test_mix_follows_rates(spark, frame):
     assert brute.counted(got.collect()) == brute.counted(mixing.replicate(frame(rows, 5), weights).collect())
 
 
+def test_rows_without_an_id_draw_apart(spark, frame):
+    weights = spark.createDataFrame([("s0", 1.0), ("s1", 3.0)], "source string, weight double")
+    rows = [(None, f"text {i} " + "z" * 20) for i in range(400)] + [(3 * i + 1, "y" * 27) for i in range(400)]
+    got = mixing.replicate(frame(rows), weights)
+    bare = got.filter("doc_id is null")
+    assert 1 < bare.select("n_copies").distinct().count() and 120 < bare.count() < 280  # mean a half
+    assert bare.select("shuffle_key").distinct().count() == bare.count()
+
+
 def test_mix_of_large_means_and_odd_rows(spark, frame, corpus):
     weights = spark.createDataFrame([("s0", 1.0)], "source string, weight double")
     one = mixing.replicate(frame([(3, "abc"), *[(3 * i + 1, "y" * 60) for i in range(100)]]), weights)

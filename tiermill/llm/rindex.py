@@ -40,6 +40,8 @@ BUSY = 4096
 #: two ranks and a position fit into one number to sort.
 BLOCK = 1 << 20
 _IDX = 21
+#: With this length ``BUSY`` pieces, each of at most twice the length less a gram, still fit.
+LONGEST = ((1 << _IDX) // BUSY + GRAM) // 2 - 1
 #: Bits of a table that tells most windows apart from the repeated ones.
 _FILTER = 1 << 20
 
@@ -158,6 +160,8 @@ def _ranges(flags: np.ndarray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``n_bytes``, ``n_removed``, ``n_spans`` and the bytes ``kept``."""
+    if not GRAM < length <= LONGEST:
+        raise ValueError(f"length is over {GRAM} and at most {LONGEST}")
     groups, slices, _ = exchange.grouped(docs, doc_id, text)
 
     def state(own: pa.Table) -> pa.Table:
@@ -187,11 +191,12 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
         busy = np.bincount(anchor_no, new_piece)[anchor_no] > BUSY
         asked = (often > 1) & (new_piece | busy)
         weights = np.where(busy, 0, np.minimum(copies, 2)).astype(np.uint8)
-        rows = []
-        for number, g in enumerate(said["g"].to_pylist()):
-            at = np.flatnonzero(asked & (owner == number))
+        rows, groups_ = [], said["g"].to_pylist()
+        places = np.flatnonzero(asked)
+        places = places[np.argsort(owner[places], kind="stable")]  # by owner, then as before
+        for at in np.split(places, np.flatnonzero(np.diff(owner[places])) + 1):
             if len(at):
-                rows.append((g, anchors[at].tobytes(), pieces[at].tobytes(), weights[at].tobytes()))
+                rows.append((groups_[owner[at[0]]], anchors[at].tobytes(), pieces[at].tobytes(), weights[at].tobytes()))
         return exchange.records(rows, _ASKED)
 
     def send(own: pa.Table, asked: pa.Table) -> pa.Table:
@@ -258,7 +263,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
             order = np.argsort(names, kind="stable")
             names, spans = names[order], spans[order]
             for g, own in zip(said["g"].to_pylist(), exchange.blobs(said["pieces"], np.uint64)):
-                at = np.flatnonzero(tb.isin(names, own))
+                low, high = np.searchsorted(names, own, "left"), np.searchsorted(names, own, "right")
+                at = tb.ranges(low, high - low)
                 if len(at):
                     rows.append((g, names[at].tobytes(), spans[at].tobytes()))
         return exchange.records(rows, _MARKS)
