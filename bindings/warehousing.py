@@ -147,12 +147,19 @@ def _csv_roundtrip(spark, sf):
     return curated_csv.read_csv(spark, path).drop("source_file")
 
 
+#: Of :func:`_csv_split_scan`: characters of one written file on average, and most bytes of a file that one task reads.
+_FILE_CHARS, _RANGE_BYTES = 8 << 20, 64 << 20
+
+
 def _csv_split_scan(spark, sf):
-    """Documents as one file, read in ranges of a sixteenth of it."""
+    """Documents as files that are written by many tasks and read in ranges, each a sixteenth of the largest file and at most 64 MB."""
     path = run_folder(spark, "csv")
-    curated_csv.write_csv(_document_rows(spark, sf).coalesce(1), path)
+    # The longest texts are last, so a range of as many rows as others may have ten times their bytes.
+    chars = table(spark, sf, "documents").agg(F.sum("n_chars")).first()[0]
+    curated_csv.write_csv(_document_rows(spark, sf), path, ranges=(chars or 0) // _FILE_CHARS + 1)
     size = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    small = {"spark.sql.files.maxPartitionBytes": str(size // 16 + 1), "spark.sql.files.openCostInBytes": "1"}
+    each = min((size or 0) // 16 + 1, _RANGE_BYTES)
+    small = {"spark.sql.files.maxPartitionBytes": str(each), "spark.sql.files.openCostInBytes": "1"}
     before = {k: spark.conf.get(k) for k in small}
     try:
         for k, v in small.items():

@@ -441,3 +441,19 @@ def test_ledger_of_every_file(spark, landing, warehouse, tmp_path):
     kept = spark.read.json(f"{warehouse.root}/ingest_metadata")
     assert kept.count() == 8 and {"sheet", "kind", "period", "outcome", "n_rows"} <= set(kept.columns)
     assert kept.filter("outcome = 'damaged'").first().detail
+
+
+def test_split_scan_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No task of the split scan reads all documents; rows of one name and period are dealt over several files."""
+    from bindings import warehousing
+
+    folder, parts, write = tmp_path / "csv", [], curated_csv.write_csv
+    monkeypatch.setattr(warehousing, "run_folder", lambda *_: str(folder))
+    monkeypatch.setattr(curated_csv, "write_csv", lambda df, path, **more: parts.append(df.rdd.getNumPartitions()) or write(df, path, **more))
+    monkeypatch.setattr(warehousing, "_FILE_CHARS", 1 << 20)
+    docs = spark.createDataFrame([(i, "same, text\nof two lines " * 40, "de", "web", 1000) for i in range(4000)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    scanned = warehousing._csv_split_scan(spark, str(tmp_path))
+    assert parts[0] > 1 and len(list(folder.glob("part-*"))) > 1
+    assert scanned.count() == 4000 and scanned.select("entity").distinct().count() == 1
+    assert scanned.select("measure_a").distinct().count() == 4000

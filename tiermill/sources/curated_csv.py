@@ -19,14 +19,17 @@ NULL_TOKENS = (
 )
 
 
-def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None) -> int:
+def write_csv(df: DataFrame, path: str, names: Mapping[str, str] | None = None, ranges: int | None = None) -> int:
     """Sorted by period and entity, quoted, with a header. ``names`` renames columns.
 
+    The other columns settle ties, so that many rows of one name and period are dealt over several tasks. ``ranges`` sets the number of sorted ranges, for rows whose sizes differ much.
     Gives the row count. It is observed above the sort, because the sort also reads its
     input once to sample the ranges.
     """
     names = names or {}
-    ordered = df.select(*COLUMNS).orderBy("period", "entity")
+    order = ["period", "entity", *[c for c in COLUMNS if c not in ("period", "entity")]]
+    rows = df.select(*COLUMNS)
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order) if ranges else rows.orderBy(*order)
     renamed = ordered.select(*[F.col(c).alias(names.get(c, c)) for c in COLUMNS])
     counted = Observation()
     renamed.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(
