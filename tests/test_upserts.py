@@ -69,3 +69,24 @@ def test_large_filters_have_several_bitmaps(spark):
     found = upserts.may_hold(keys, stats.withColumn("high", F.struct(F.lit(10**6).cast("long").alias("k"))), ["k"]).groupBy((F.col("k") < 10_000).alias("own")).count()
     counts = {r.own: r["count"] for r in found.collect()}
     assert counts[True] == 10_000 and counts.get(False, 0) < 1000
+
+
+def test_chunks_meet_the_same_pieces(spark):
+    """A batch cut by key range finds the pieces that comparing each key with every piece finds, by joins on cut and piece."""
+    rows = spark.range(6000).select((F.col("id") % 2).cast("int").alias("key_slice"), F.concat(F.lit("p"), F.floor(F.col("id") / 500)).alias("key_piece"), F.col("id").alias("k"))
+    stats = upserts.statistics(rows, ["k"])
+    keys = spark.range(0, 9000, 7).select((F.col("id") % 2).cast("int").alias("key_slice"), F.col("id").alias("k"), F.floor(F.col("id") / 1100).alias("_chunk"))
+    told = lambda df: sorted(map(tuple, df.select("key_slice", "key_piece", "k").collect()))
+    found = upserts.may_hold(keys, stats, ["k"], "_chunk")
+    assert told(found) == told(upserts.may_hold(keys, stats, ["k"])) and found.count() >= 800
+    assert "_chunk" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_upsert_probes_by_chunks(spark, warehouse, monkeypatch):
+    asked, probe = [], upserts.may_hold
+    monkeypatch.setattr(upserts, "may_hold", lambda keys, *more: asked.append(keys.columns) or probe(keys, *more))
+    frame = spark.range(4000).select(F.col("id").alias("a"), F.lit("x").alias("b"), F.col("id").alias("v"))
+    upserts.create(warehouse, "gold", "t", frame, KEY, 2, 500)
+    told = upserts.upsert(warehouse, "gold", "t", frame.filter("a < 3000").withColumn("v", F.lit(-1).cast("long")), KEY, 2, 500)
+    assert "_chunk" in asked[0] and told["rewritten"] >= 5
+    assert upserts.read(warehouse, "gold", "t").agg(F.count("*"), F.count_if(F.col("v") == -1)).first() == (4000, 3000)

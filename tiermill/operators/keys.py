@@ -69,15 +69,16 @@ def upsert_merge(
     batch: DataFrame,
     key: Sequence[str],
     touched: Mapping[str, Column] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Target with batch rows inserted or, on an existing key, replacing its values.
 
     ``touched`` sets columns (such as a change time) on inserted and replaced rows. Both
     sides have unique keys; a key that occurs twice in the batch fails the job, since
-    there is no right row to pick.
+    there is no right row to pick. ``checked`` says that :func:`single_or_raise` has passed the batch.
     """
     rest = [c for c in target.columns if c not in key]
-    incoming = single_or_raise(batch, key)
+    incoming = batch if checked else single_or_raise(batch, key)
     set_columns = {**{c: F.col(c) for c in incoming.columns if c in rest}, **(touched or {})}
     incoming = incoming.select(
         *key, F.struct(*[v.alias(c) for c, v in set_columns.items()]).alias("_new")

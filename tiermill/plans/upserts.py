@@ -3,8 +3,8 @@
 A table is kept in pieces, one file each, dealt into slices by a hash of the key and cut by key
 range within a slice. The commit names the pieces; a table of statistics has for each its least
 and largest key, its number of rows and a Bloom filter over its keys, made of Spark's bitmaps.
-A batch key meets the pieces of its own slice only. Those that may hold it, by range and filter,
-are read, merged and written anew; the others are kept by reference, and so are those of slices that
+A batch is cut by key range as the table is, and a batch key meets only the pieces of its own slice whose range
+its cut overlaps. Those that may hold it, by range and filter, are read, merged and written anew; the others are kept by reference, and so are those of slices that
 no batch key is in. Keys that no piece can hold are inserted with them.
 """
 
@@ -41,10 +41,14 @@ def _bit(bitmaps: Column, place: Column) -> Column:
     return F.coalesce(F.shiftright(byte, 0).bitwiseAND(F.pow(F.lit(2), inside % 8).cast("int")) > 0, F.lit(False))
 
 
+def _bounds(key: Sequence[str], low: str, high: str) -> tuple[Column, Column]:
+    own = F.struct(*key)
+    return F.min(own).alias(low), F.max(own).alias(high)
+
+
 def statistics(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
     """``key_slice, key_piece, low, high, n, size, filter`` of every piece; ``size`` is in bitmaps."""
-    own = F.struct(*key)
-    ranges = pieces.groupBy(*_PARTS).agg(F.min(own).alias("low"), F.max(own).alias("high"), F.count(F.lit(1)).alias("n"))
+    ranges = pieces.groupBy(*_PARTS).agg(*_bounds(key, "low", "high"), F.count(F.lit(1)).alias("n"))
     sized = ranges.withColumn("size", F.greatest(F.lit(1), F.ceil(F.col("n") * BITS_PER_KEY / BITMAP)).cast("int"))
     places = F.array(*[F.pmod(h, F.col("size") * F.lit(BITMAP)) for h in _hashes(key)])
     keyed = pieces.select(*_PARTS, *key).join(sized.select(*_PARTS, "size"), list(_PARTS))
@@ -64,7 +68,7 @@ def _cut(rows: DataFrame, key: Sequence[str], count: int, load: str) -> DataFram
 
 def _stage(batch: Batch, table: str, rows: DataFrame, key: Sequence[str], gone: set[str], old_stats: DataFrame | None) -> None:
     """New pieces in place of those that are gone, with their statistics in place of those of the slices they are in."""
-    batch.write_parts(table, rows, list(_PARTS), lambda p: p["key_piece"] in gone)
+    batch.write_parts(table, rows, list(_PARTS), lambda p: p["key_piece"] in gone, gathered=True)
     fresh = statistics(rows, key)
     slices = {str(r[0]) for r in rows.select("key_slice").distinct().collect()}
     if old_stats is not None:
@@ -92,10 +96,22 @@ def read(warehouse: Warehouse, layer: str, table: str) -> DataFrame:
     return warehouse.read(layer, table).drop(*_PARTS)
 
 
-def may_hold(keys: DataFrame, stats: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``key_slice, key_piece`` for every key and piece that may hold it: by slice, then range, then filter."""
+def may_hold(keys: DataFrame, stats: DataFrame, key: Sequence[str], chunk: str | None = None) -> DataFrame:
+    """``key_slice, key_piece`` for every key and piece that may hold it: by slice, then range, then filter.
+
+    ``chunk`` names a column of ``keys`` whose values are ranges of keys of a slice. The ranges of chunks, one row
+    each, are then compared with those of pieces, and a key meets only the few pieces that its chunk overlaps.
+    """
     own, (first, second) = F.struct(*key), _hashes(key)
-    met = keys.join(stats, "key_slice").filter((own >= F.col("low")) & (own <= F.col("high")))
+    inside = (own >= F.col("low")) & (own <= F.col("high"))
+    if chunk:
+        bounds = keys.groupBy("key_slice", chunk).agg(*_bounds(key, "_least", "_most"))
+        ranges = stats.select(*_PARTS, "low", "high")
+        near = bounds.join(ranges, "key_slice").filter((F.col("_least") <= F.col("high")) & (F.col("_most") >= F.col("low")))
+        met = keys.join(near.select("key_slice", chunk, "key_piece", "low", "high"), ["key_slice", chunk]).filter(inside)
+        met = met.select(*_PARTS, *key).join(stats.select(*_PARTS, "size", "filter"), list(_PARTS))
+    else:
+        met = keys.join(stats, "key_slice").filter(inside)
     room = F.col("size") * F.lit(BITMAP)
     return met.filter(_bit(F.col("filter"), F.pmod(first, room)) & _bit(F.col("filter"), F.pmod(second, room))).select(*_PARTS, *key)
 
@@ -115,10 +131,11 @@ def upsert(
     if not n:
         return {"pieces": before, "rewritten": 0, "rows": 0}
     stats = warehouse.read(layer, f"{table}_stats")
-    gone = {r.key_piece for r in may_hold(rows.select("key_slice", *key), stats, key).select("key_piece").distinct().collect()}
+    chunks = _cut(rows.select("key_slice", *key), key, max(1, math.ceil(n / piece_rows)), "batch").withColumnRenamed("key_piece", "_chunk")
+    gone = {r.key_piece for r in may_hold(chunks, stats, key, "_chunk").select("key_piece").distinct().collect()}
     current = warehouse.read(layer, table)
     old = current.filter(F.col("key_piece").isin(*gone)) if gone else current.limit(0)  # a filter on partitions
-    merged, total = freeze_counted(upsert_merge(old.drop("key_piece"), rows, [*key, "key_slice"], touched))
+    merged, total = freeze_counted(upsert_merge(old.drop("key_piece"), rows, [*key, "key_slice"], touched, checked=True))
     _stage(batch, table, _cut(merged, key, max(1, math.ceil(total / piece_rows)), str(batch.parent + 1)), key, gone, stats)
     batch.commit()
     return {"pieces": before, "rewritten": len(gone), "rows": total}

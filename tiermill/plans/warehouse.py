@@ -211,6 +211,7 @@ class Batch:
         partition_by: Sequence[str],
         replaces: Callable[[dict[str, str]], bool],
         check: Callable[[DataFrame], Collection[str]] | None = None,
+        gathered: bool = False,
     ) -> int:
         """Stage new partitions of a table and give their row count.
 
@@ -218,13 +219,15 @@ class Batch:
         give way; the others stay where they are, by reference. ``check`` sees the new rows and
         names values of the last partition column that are not to be committed: their
         partitions stay as they were. The rebalance hint gathers a partition's rows into files of
-        the advisory size and splits a large one over many tasks.
+        the advisory size and splits a large one over many tasks; it is left out if ``gathered`` says that the rows of
+        a partition are together already.
         """
         warehouse, counted = self.warehouse, Observation()
         version, columns = f"{table}__{uuid.uuid4().hex}", [c for c in df.columns if c not in partition_by]
         ordered = df.select(*columns, *partition_by)
         path = f"{warehouse.root}/{self.layer}/{version}"
-        watched = ordered.hint("rebalance", *partition_by).observe(counted, F.count(F.lit(1)).alias("n"))
+        placed = ordered if gathered else ordered.hint("rebalance", *partition_by)
+        watched = placed.observe(counted, F.count(F.lit(1)).alias("n"))
         watched.write.partitionBy(*partition_by).parquet(path)
         refused = set(check(warehouse.spark.read.schema(ordered.schema).parquet(path)) if check else ())
         leaves = self._leaves(version, len(partition_by))
