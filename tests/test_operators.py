@@ -152,6 +152,30 @@ def test_last_write_wins(spark, rows):
         reconcile.collapse(totals, "first")
 
 
+def test_whole_and_other_amounts_add_up(spark, rows):
+    """Whole amounts are added apart from the others; the sum is cut only once."""
+    amounts = {"A": ["0.9999999999", "4"], "B": ["0.5", "3000000000.5", "7"], "C": ["-2", "-0.5"], "D": ["5000000000", "1"], "E": ["bad"]}
+    data = [("a", 2022, 0, n, i, x, "c") for n, xs in amounts.items() for i, x in enumerate(xs)]
+    totals = reconcile.entity_sum(_landed(spark, data))
+    assert rows(totals, "raw_name", "total") == [("A", 4), ("B", 3000000008), ("C", -2), ("D", 5000000001), ("E", 0)]
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "sum(cast" not in plan and totals.columns == ["kind", "period", "file_rank", "raw_name", "total", "category"]
+
+
+def test_names_with_categories_in_one_aggregation(spark, rows):
+    """As the names of the stores joined to the picked categories, but totals of one name are made one before it is cleaned."""
+    data = [
+        ("a", 2022, 4, "Uni A", "Oficial", True, "x"), ("b", 2022, 5, "Uni A -", "Privado", True, "x"), ("a", 2024, 9, "Uni A", "Mixto", False, "x"),
+        ("a", 2022, 4, "Uni A", "Otra", True, "y"), ("c", 2022, 4, "Uni B", "Otra", True, "x"), ("b", 2022, 4, "Uni C", None, True, "x"),
+        ("b", 2023, 1, "Uni D", "Otra", False, "x"), ("c", 2023, 7, "Uni D", "Otra", True, "x"),
+    ]
+    schema = "kind string, period int, file_rank int, raw_name string, category string, has_category boolean, region string"
+    totals = spark.createDataFrame(data, schema).withColumn("total", F.lit(1).cast("long"))
+    found = reconcile.named_categories(totals, ["a", "b"], F.col("has_category"), ["region"])
+    assert rows(found) == [("x", "Uni A", "Privado"), ("x", "Uni C", ""), ("x", "Uni D", "Otra"), ("y", "Uni A", "Otra")]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_category_of_last_file_wins(spark, rows):
     data = [("a", 2022, 4, "Uni A", 1, "1", "Oficial"), ("b", 2022, 5, "Uni A", 1, "1", "Privado"), ("a", 2024, 1, "Uni A", 1, "1", "Mixto")]
     totals = reconcile.entity_sum(_landed(spark, data))

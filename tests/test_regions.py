@@ -185,6 +185,23 @@ def test_a_failed_region_leaves_the_others(spark, warehouse, tmp_path):
         regional.ingest(warehouse, landing(tmp_path / "three"), PROFILE, {"none": "nowhere"})
 
 
+def test_runs_read_orders_that_are_placed_once(spark):
+    from bindings import regions
+
+    sf = "/root/testdata/sf0.001"
+    tagged = spark.createDataFrame([("ASIA", "east")], "place string, region string")
+    placed = regions._placed_orders(spark, sf)
+    landed = regions._landed(placed, tagged, 2)
+    assert not [f for f in landed.inputFiles() if "lineitem" in f or "orders" in f]
+    assert landed.select("region").distinct().collect() == [("east",)] and placed.select("place").distinct().count() == 5
+    warehouse = regions._warehouse(spark, "checked")
+    entities, stores = regions.regional.reconcile(landed, replace(regions._PROFILE, kinds=("a", "b")))
+    assert all("Aggregate" not in s._jdf.queryExecution().optimizedPlan().toString() for s in stores)
+    twice = [s.unionByName(s) for s in stores]
+    with pytest.raises(Exception, match="key occurs twice"):  # only stores that are told to be checked are not
+        regions.regional.load(warehouse, entities, twice, ratio_kind=regions.RATIO)
+
+
 def test_layouts_reach_one_folder_and_need_no_exchange(spark):
     from bindings import regions
 

@@ -16,6 +16,14 @@ from tiermill.functions.text import name_clean, region_key
 
 _FILE = ("kind", "period", "file_rank")
 
+# Whole amounts below this are added as integers: four thousand million of them fit a sum.
+_WHOLE = 1 << 31
+
+
+def _lead(name: str) -> Column:
+    """First grouping key of aggregations that sort: a number tells names apart where their first letters are alike."""
+    return F.xxhash64(name).alias("_lead")
+
 
 def region_filter(df: DataFrame, region: str, contains: str) -> DataFrame:
     """Keep rows whose region key contains the text; a null region never does."""
@@ -28,18 +36,25 @@ def entity_sum(rows: DataFrame, per_file: Sequence[str] = ()) -> DataFrame:
 
     The first aggregation also groups by category, so its buffers are plain numbers and
     a name with very many rows is combined before any shuffle. The second one sees a
-    handful of rows per name. Amounts are added as decimals, so the truncated total does
-    not depend on the order of the rows.
+    handful of rows per name. Whole amounts are added as integers and others as decimals,
+    which cost much more, so the truncated total does not depend on the order of the rows.
     """
-    named = rows.filter(F.col("raw_name").isNotNull())
-    partial = named.groupBy(*_FILE, *per_file, "raw_name", "category").agg(
-        F.sum(numeric_coerce(F.col("amount")).cast("decimal(28,10)")).alias("amount"),
+    named = rows.filter(F.col("raw_name").isNotNull()).withColumn("_amount", numeric_coerce(F.col("amount")))
+    amount = F.col("_amount")
+    is_whole = (amount == F.floor(amount)) & (F.abs(amount) < _WHOLE)
+    partial = named.groupBy(_lead("raw_name"), *_FILE, *per_file, "raw_name", "category").agg(
+        F.sum(F.when(is_whole, amount.cast("bigint"))).alias("whole"),
+        F.sum(F.when(~is_whole, amount.cast("decimal(28,10)"))).alias("other"),
         F.min("row_idx").alias("row_idx"),
     )
-    return partial.groupBy(*_FILE, *per_file, "raw_name").agg(
-        F.sum("amount").cast("bigint").alias("total"),
+    whole, other = F.sum("whole"), F.sum("other")
+    # Of these two types the sum keeps all ten places.
+    both = F.coalesce(whole, F.lit(0)).cast("decimal(20,0)") + other.cast("decimal(30,10)")
+    summed = partial.groupBy("_lead", *_FILE, *per_file, "raw_name").agg(
+        F.when(other.isNull(), whole).otherwise(both.cast("bigint")).alias("total"),
         F.min_by("category", "row_idx").alias("category"),
     )
+    return summed.drop("_lead")
 
 
 def region_tag(df: DataFrame, region: str, contains: Mapping[str, str]) -> DataFrame:
@@ -56,11 +71,12 @@ def collapse(totals: DataFrame, how: str = "last", within: Sequence[str] = ()) -
     loses the others, which is the default rule; ``sum`` adds them up.
     """
     clean = totals.withColumn("entity", name_clean(F.col("raw_name")))
-    grouped = clean.groupBy("kind", *within, "entity", "period")
+    key = ("kind", *within, "entity", "period")
     if how == "sum":
-        return grouped.agg(F.sum("total").alias("total"))
+        return clean.groupBy(*key).agg(F.sum("total").alias("total"))
     if how == "last":
-        return grouped.agg(F.max_by("total", F.struct("file_rank", "raw_name")).alias("total"))
+        last = F.max_by("total", F.struct("file_rank", "raw_name")).alias("total")
+        return clean.groupBy(_lead("entity"), *key).agg(last).drop("_lead")
     raise ValueError(f"unknown collapse rule {how!r}")
 
 
@@ -74,6 +90,22 @@ def category_pick(totals: DataFrame, has_category: Column | None = None, within:
     )
 
 
+def named_categories(totals: DataFrame, kinds: Sequence[str], has_category: Column, within: Sequence[str] = ()) -> DataFrame:
+    """Every clean name that one of the kinds has, and ``within`` further columns, with the category of
+    :func:`category_pick`, '' if there is none.
+
+    Totals that differ in kind and period only are made one first, so a name is cleaned once per file name and category.
+    """
+    wanted = F.coalesce(F.col("kind").isin(*kinds), F.lit(False)).alias("_wanted")
+    place = F.when(has_category, F.struct("file_rank", "raw_name")).alias("_place")
+    few = totals.select(*within, "raw_name", "category", wanted, place).distinct()
+    clean = few.withColumn("entity", name_clean(F.col("raw_name")))
+    picked = clean.groupBy(_lead("entity"), *within, "entity").agg(
+        F.coalesce(F.max_by("category", "_place"), F.lit("")).alias("category"), F.bool_or("_wanted").alias("_wanted")
+    )
+    return picked.filter("_wanted").select(*within, "entity", "category")
+
+
 def store_of(collapsed: DataFrame, kind: str, measure: str) -> DataFrame:
     """One measure as (entity, period, value)."""
     return collapsed.filter(F.col("kind") == kind).select(

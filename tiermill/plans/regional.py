@@ -22,7 +22,7 @@ from tiermill.functions.membership import member_flag
 from tiermill.functions.numeric import STORED_RATIO, member_label, safe_ratio
 from tiermill.operators.densify import dense_grid
 from tiermill.operators.keys import single_or_raise
-from tiermill.operators.reconcile import category_pick, collapse, distinct_keys, entity_sum, store_of
+from tiermill.operators.reconcile import collapse, entity_sum, named_categories, store_of
 from tiermill.plans import layers, medallion
 from tiermill.plans.warehouse import Warehouse
 from tiermill.profile import Profile
@@ -33,16 +33,17 @@ MEASURES = ("measure_a", "measure_b")
 
 
 def reconcile(rows: DataFrame, profile: Profile, collapse_rule: str = "last") -> tuple[DataFrame, list[DataFrame]]:
-    """Landed rows with a ``region`` to entities (region, entity, category, is_member) and one store per measure."""
+    """Landed rows with a ``region`` to entities (region, entity, category, is_member) and one store per measure.
+
+    The stores are one written table, in which every key is once.
+    """
     totals = freeze(entity_sum(rows, ["has_category", "region"]))
-    values = collapse(totals, collapse_rule, ["region"])
+    values = freeze(collapse(totals, collapse_rule, ["region"]))
     place = F.struct("region", "entity").alias("entity")
     placed = values.select("kind", "period", "total", place)
     stores = [store_of(placed, k, m).select("entity.*", "period", m) for k, m in zip(profile.kinds, MEASURES)]
-    named = distinct_keys([s.select(F.struct("region", "entity").alias("k")) for s in stores], "k").select("k.*")
-    categories = category_pick(totals, F.col("has_category"), ["region"])
-    full = named.join(categories, ["region", "entity"], "left").withColumn("category", F.coalesce("category", F.lit("")))
-    return full.withColumn("is_member", member_flag(F.col("entity"), profile.members)), stores
+    named = named_categories(totals, profile.kinds, F.col("has_category"), ["region"])
+    return named.withColumn("is_member", member_flag(F.col("entity"), profile.members)), stores
 
 
 def region_grid(entities: DataFrame, stores: list[DataFrame], ratio_kind: str = STORED_RATIO) -> DataFrame:
@@ -85,10 +86,17 @@ def broken_regions(fact: DataFrame, entities: DataFrame) -> dict[str, str]:
     return found
 
 
-def load(warehouse: Warehouse, entities: DataFrame, stores: list[DataFrame], ratio_kind: str = STORED_RATIO) -> dict[str, dict]:
-    """Commit the regions that occur in ``entities``; status, rows and problem of each."""
+def load(
+    warehouse: Warehouse, entities: DataFrame, stores: list[DataFrame], ratio_kind: str = STORED_RATIO, checked: bool = False
+) -> dict[str, dict]:
+    """Commit the regions that occur in ``entities``; status, rows and problem of each.
+
+    ``checked`` says that the stores are written and have every key once, as those of :func:`reconcile`.
+    """
     started = datetime.now(timezone.utc)
-    entities, stores = freeze(entities), [freeze(single_or_raise(s, ["region", "entity", "period"])) for s in stores]
+    entities = freeze(entities)
+    if not checked:
+        stores = [freeze(single_or_raise(s, ["region", "entity", "period"])) for s in stores]
     keyed = warehouse.batch("silver")
     known = warehouse.read("silver", "entity_key") if warehouse.exists("silver", "entity_key") else None
     keyed.write("entity_key", layers.entity_keys(entities, known))
@@ -154,7 +162,7 @@ def ingest(
     cells, _ = medallion.land(warehouse, source, listed)
     rows = medallion.landed_rows(cells, profile, listed, regions)
     entities, stores = reconcile(rows, profile, collapse_rule)
-    told = load(warehouse, entities, stores, ratio_kind)
+    told = load(warehouse, entities, stores, ratio_kind, checked=True)
     if not told:
         raise ValueError(f"no usable rows of {', '.join(regions)} in the workbooks below {source}")
     return told
