@@ -41,9 +41,9 @@ def _dim_entity(spark, sf):
 
 
 def _curated(spark, sf):
-    """The mart as the curated hand-off file."""
+    """The rows of the curated hand-off file, written once: the sort of the file reads them twice, and a second load again."""
     columns = [F.col(c).cast("decimal(18,2)").alias(c) if c == "ratio" else c for c in curated_csv.COLUMNS]
-    return star(spark, sf).select(*columns)
+    return freeze(star(spark, sf).select(*columns))
 
 
 # The curated frame carries order years, measured over whatever periods occur.

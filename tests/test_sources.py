@@ -457,3 +457,19 @@ def test_split_scan_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert parts[0] > 1 and len(list(folder.glob("part-*"))) > 1
     assert scanned.count() == 4000 and scanned.select("entity").distinct().count() == 1
     assert scanned.select("measure_a").distinct().count() == 4000
+
+
+def test_each_text_is_parsed_once(spark):
+    """The error list and the typed columns share one parse, so the plan has one pattern for each of the four columns."""
+    text = spark.createDataFrame([("u", "2022", "1", "x", "0.5", "c", "l")], ", ".join(f"{c} string" for c in curated_csv.COLUMNS))
+    parsed = curated_csv.split_form(curated_csv.typed_parse(text))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 4
+    row = parsed.first()
+    assert (row.errors, row._period, row._measure_a, row._measure_b, row._ratio, row.is_good) == (["measure_b: 'x'"], 2022, 1, None, None, False)
+
+
+def test_curated_rows_are_written_before_the_file_is_sorted(spark):
+    from bindings import warehousing
+
+    rows = warehousing._curated(spark, "/root/testdata/sf0.001")
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString() and rows.inputFiles()

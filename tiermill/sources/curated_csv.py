@@ -72,27 +72,27 @@ def typed_parse(
 
     A row with any error is a reject; no row fails the job.
     """
-    period, a, b, ratio = (F.col(c) for c in ("period", "measure_a", "measure_b", "ratio"))
-    whole = {"period": parse_integer(period), "measure_a": parse_integer(a), "measure_b": parse_integer(b)}
-    number = parse_number(ratio)
+    whole = {f"_{c}": parse_integer(F.col(c)) for c in ("period", "measure_a", "measure_b")}
+    typed = df.withColumns({**whole, "_number": parse_number(F.col("ratio"))})  # each text is parsed once
 
-    def failed(name: str, parsed: Column, blank_ok: bool) -> Column:
+    def failed(name: str, parsed: str, blank_ok: bool) -> Column:
         text = F.coalesce(F.col(name), F.lit(""))
-        bad = parsed.isNull() & (F.lit(not blank_ok) | (text != ""))
+        bad = F.col(parsed).isNull() & (F.lit(not blank_ok) | (text != ""))
         return F.when(bad, F.concat(F.lit(f"{name}: '"), text, F.lit("'")))
 
     problems = F.array_compact(
         F.array(
-            failed("measure_a", whole["measure_a"], True),
-            failed("measure_b", whole["measure_b"], True),
-            failed("ratio", number, True),
-            failed("period", whole["period"], False),
+            failed("measure_a", "_measure_a", True),
+            failed("measure_b", "_measure_b", True),
+            failed("ratio", "_number", True),
+            failed("period", "_period", False),
         )
     )
-    checked = df.withColumn("errors", problems)
-    stored = F.when(F.size("errors") == 0, F.round(number.cast("decimal(38,10)"), 2))
-    return checked.withColumns(
-        {**{f"_{c}": v for c, v in whole.items()}, "_ratio": fit_decimal(stored, ratio_kind, on_overflow)}
+    checked = typed.withColumn("errors", problems)
+    stored = F.when(F.size("errors") == 0, F.round(F.col("_number").cast("decimal(38,10)"), 2))
+    columns = [*df.columns, "errors", *whole]
+    return checked.select(*columns, stored.alias("_stored")).select(
+        *columns, fit_decimal(F.col("_stored"), ratio_kind, on_overflow).alias("_ratio")
     )
 
 
