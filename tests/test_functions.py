@@ -157,3 +157,13 @@ def test_pct_change(spark):
     df = spark.createDataFrame([(120, 100), (30, 60), (15, 0), (5, None), (200, 3)], "c bigint, p bigint")
     got = [r.r for r in df.select(numeric.pct_change(F.col("c"), F.col("p")).alias("r")).collect()]
     assert [None if g is None else float(g) for g in got] == [20.0, -50.0, None, None, 6566.67]
+
+
+@pytest.mark.parametrize("shard_bytes", [3, membership.SHARD_BYTES])
+def test_member_semi_join_searches_names_once(spark, shard_bytes):
+    """What the automaton told is written; the branches of the result do not search the names again."""
+    df = spark.createDataFrame([(1, "xx ab"), (2, "a"), (3, ""), (4, "zz"), (5, None), (6, "long name without any")], "i int, n string")
+    listed = spark.createDataFrame([("ab",), ("c a d",)], "m string")
+    found = membership.member_semi_join(df, "n", listed, "m", shard_bytes)
+    assert "PythonUDF" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.i for r in found.collect()) == [1, 2, 3, 5] and found.columns == ["i", "n"]

@@ -77,22 +77,31 @@ def _holds(name: Column, entries: list[str]) -> Column:
     return test(name)
 
 
-def _holders(keyed: DataFrame, entries: DataFrame, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``_key`` holds an entry, and the other rows."""
+def _holders(keyed: DataFrame, entries: DataFrame, shard_bytes: int, longest: int) -> DataFrame:
+    """Rows that hold an entry, and those short enough that an entry may hold them: a written table.
+
+    ``_holds`` tells the two apart. Every name is folded and searched once per shard; of a row that holds an entry,
+    the key is not needed any more, so it is not written.
+    """
     size = entries.agg(F.coalesce(F.sum(F.octet_length("entry")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / shard_bytes))
     shard = F.pmod(F.xxhash64("entry"), F.lit(shards))
     lists = ([r.entry for r in entries.filter(shard == k).collect()] for k in range(shards))  # one shard at a time
     if shards == 1:
-        test = _holds(F.col("_key"), next(lists))
-        return keyed.filter(test), keyed.filter(~test)
+        return _settled(keyed.withColumn("_holds", _holds(F.col("_key"), next(lists))), longest)
     digest, found = F.md5("_key"), None
     for patterns in lists:
         if patterns:
             more = freeze(keyed.filter(_holds(F.col("_key"), patterns)).select(digest.alias("_digest")).distinct())
             found = more if found is None else found.unionByName(more)
-    found, told = found.distinct(), keyed.withColumn("_digest", digest)
-    return told.join(found, "_digest", "left_semi").drop("_digest"), told.join(found, "_digest", "left_anti").drop("_digest")
+    marked = keyed.withColumn("_digest", digest).join(found.distinct().withColumn("_found", F.lit(True)), "_digest", "left")
+    return _settled(marked.withColumn("_holds", F.col("_found").isNotNull()).drop("_digest", "_found"), longest)
+
+
+def _settled(marked: DataFrame, longest: int) -> DataFrame:
+    """The rows that match or still may, written."""
+    key = F.when(~F.col("_holds"), F.col("_key"))
+    return freeze(marked.filter(F.col("_holds") | (F.length("_key") <= longest)).withColumn("_key", key))
 
 
 def _grams(df: DataFrame, column: str, sizes: Iterable[int]) -> DataFrame:
@@ -129,8 +138,8 @@ def member_semi_join(df: DataFrame, name: str, members: DataFrame, member: str,
     if not about.least:  # every name holds the empty entry
         return df
     keyed = df.withColumn("_key", match_fold(F.col(name)))
-    holders, rest = _holders(keyed, entries, shard_bytes)
-    empty = rest.filter(F.length("_key") == 0)
-    rest = rest.filter((F.length("_key") > 0) & (F.length("_key") <= about.longest))
+    told = _holders(keyed, entries, shard_bytes, about.longest)
+    sure = told.filter(F.col("_holds") | (F.length("_key") == 0))
+    rest = told.filter(~F.col("_holds") & (F.length("_key") > 0))
     held = rest.join(_held(rest.select("_key").distinct(), entries), "_key", "left_semi")
-    return holders.unionByName(empty).unionByName(held.select(holders.columns)).drop("_key")
+    return sure.unionByName(held.select(sure.columns)).drop("_key", "_holds")
