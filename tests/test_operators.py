@@ -229,6 +229,27 @@ def test_upsert(spark, rows):
         keys.upsert_merge(target, twice, ["k"]).collect()
 
 
+def test_batch_is_checked_in_the_sort_of_the_join(spark):
+    """Sides that lie by their key are sorted once each; the check holds no hash table of the batch."""
+    side = lambda: spark.range(100).selectExpr("id % 50 AS k", "id AS v").groupBy("k").agg(F.sum("v").alias("v"))
+    plan = keys.upsert_merge(side(), side(), ["k"])._jdf.queryExecution().executedPlan().toString()
+    # What is left are the two aggregations of each side itself.
+    assert (plan.count("HashAggregate("), plan.count("Sort ["), plan.count("Exchange hashpartitioning")) == (4, 2, 2)
+
+
+def test_single_or_raise_keeps_rows_and_finds_every_repeat(spark, rows):
+    schema = "k int, l string, v string, m map<string,int>, d double"
+    once = [(1, "a", None, {"x": 1}, -0.0), (1, "b", "v", None, None), (None, "a", "v", {}, 1.0), (None, None, "v", {}, 2.0)]
+    assert rows(keys.single_or_raise(spark.createDataFrame(once, schema), ["k", "l"])) == sorted(once, key=repr)
+    for repeat in once:
+        twice = spark.createDataFrame([*once, repeat], schema)
+        with pytest.raises(Exception, match="key occurs twice"):
+            keys.single_or_raise(twice, ["k", "l"]).collect()
+    many = spark.range(20000, numPartitions=5).selectExpr("0 AS k", "'x' AS l", "id AS v")
+    with pytest.raises(Exception, match="key occurs twice in one batch: 0, x"):
+        keys.single_or_raise(many, ["k", "l"]).count()
+
+
 def test_scd2(spark, rows):
     schema = "k int, v string, valid_from date, valid_to date, is_active boolean"
     start, then = date(2020, 1, 1), date(2024, 1, 1)

@@ -54,14 +54,17 @@ def seed_dim(target: DataFrame, rows: Sequence[tuple], schema: str, key: str) ->
 
 
 def single_or_raise(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The rows unchanged, keyed once; a repeated key fails the job when it is run."""
-    rest = [c for c in df.columns if c not in key]
+    """The rows unchanged, keyed once; a repeated key fails the job when it is run.
+
+    Rows are counted beside their neighbours in a sort by key, which a sort-merge join by that key takes over. Grouping
+    them would hold every row in a hash table, twice where they lie by their key already, and sort them again for the join.
+    """
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in key])
-    once = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
     checked = F.when(
         F.col("_n") > 1, F.raise_error(F.concat(F.lit("key occurs twice in one batch: "), shown))
     ).otherwise(F.lit(True))
-    return once.filter(checked).select(*df.columns)
+    return counted.filter(checked).select(*df.columns)
 
 
 def upsert_merge(
